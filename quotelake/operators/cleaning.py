@@ -77,9 +77,16 @@ def reject_reason(rules: tuple[str, ...] = ALL_RULES) -> Column:
 def flag_quotes(parsed: DataFrame, default_event_time: Column | None = None,
                 keep_fraction: bool = False,
                 rules: tuple[str, ...] = ALL_RULES) -> DataFrame:
-    """Typed quotes with ``reject_reason``; splits into clean and quarantined rows."""
-    typed = type_quotes(parsed, default_event_time, keep_fraction)
-    return typed.withColumn("reject_reason", reject_reason(rules))
+    """Typed quotes with ``reject_reason``; splits into clean and quarantined rows.
+
+    Only a rejected row keeps its ``raw_value``.
+    """
+    flagged = type_quotes(parsed, default_event_time, keep_fraction).withColumn(
+        "reject_reason", reject_reason(rules))
+    if "raw_value" in flagged.columns:
+        raw = F.when(F.col("reject_reason").isNotNull(), F.col("raw_value"))
+        flagged = flagged.withColumn("raw_value", raw)
+    return flagged
 
 
 def accepted(flagged: DataFrame) -> DataFrame:

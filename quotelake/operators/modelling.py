@@ -25,20 +25,25 @@ def dim_first_seen(quotes: DataFrame, order: tuple[str, ...] = ("event_time", "i
     )
 
 
-def dim_changes(clean: DataFrame, changed_at: str = "processing_time",
-                arrival: str = "offset") -> DataFrame:
-    """What one batch says about its symbols: the latest attributes of each.
+def dim_rows(quotes: DataFrame, changed_at: str = "processing_time",
+             arrival: str = "offset") -> DataFrame:
+    """What each quote says about its symbol, in the dimension's columns.
 
     ``arrival`` orders quotes of the same event time; a keyed topic keeps a symbol in
     one partition, so its offsets do.
     """
-    return merge_dim(clean.select(
+    return quotes.select(
         "symbol", "company_name", "sector",
         F.col(changed_at).alias("created_at"),
         F.col(changed_at).alias("updated_at"),
         F.col("event_time").alias("last_event_time"),
         F.col(arrival).alias("last_offset"),
-    ))
+    )
+
+
+def dim_changes(clean: DataFrame) -> DataFrame:
+    """What one batch says about its symbols: one row each."""
+    return merge_dim(dim_rows(clean))
 
 
 def merge_dim(changes: DataFrame) -> DataFrame:
@@ -59,9 +64,12 @@ def merge_dim(changes: DataFrame) -> DataFrame:
     )
 
 
-def dim_upsert(dim: DataFrame, changes: DataFrame) -> DataFrame:
-    """Dimension after an upsert of change rows: update where known, insert where new."""
-    return merge_dim(dim.unionByName(changes))
+def dim_upsert(dim: DataFrame, rows: DataFrame) -> DataFrame:
+    """Dimension after an upsert of dimension rows: update where known, insert where new.
+
+    One aggregate over both sides matches and merges; there is no join.
+    """
+    return merge_dim(dim.unionByName(rows))
 
 
 def fact_admitted(fact: DataFrame, dim: DataFrame) -> DataFrame:

@@ -83,9 +83,14 @@ def row_count(df: DataFrame) -> DataFrame:
 def recent(fact: DataFrame, span: str = "1 HOUR", as_of: Column | datetime | None = None) -> DataFrame:
     """Facts of the last ``span`` before ``as_of`` (now by default).
 
-    event_time stays bare on its side of the comparison, so the bound reaches the scan.
+    event_time stays bare on its side of the comparison, so the bound reaches the scan;
+    a table partitioned by event_date is also pruned to the dates in question.
     """
-    return fact.filter(F.col("event_time") >= _instant(as_of) - F.expr(f"INTERVAL {span}"))
+    since = _instant(as_of) - F.expr(f"INTERVAL {span}")
+    found = fact.filter(F.col("event_time") >= since)
+    if "event_date" in fact.columns:
+        found = found.filter(F.col("event_date") >= F.to_date(since))
+    return found
 
 
 def with_dim(fact: DataFrame, dim: DataFrame, columns: list[str]) -> DataFrame:

@@ -232,7 +232,7 @@ def dim_upsert(spark, sf):
     known = _known_dim(spark, sf).select(
         "*", start.alias("created_at"), start.alias("updated_at"),
         start.alias("last_event_time"), F.lit(-1).cast("bigint").alias("last_offset"))
-    changes = modelling.dim_changes(
+    changes = modelling.dim_rows(
         frames.named_quotes(_events(spark, sf)), changed_at="event_time", arrival="id")
     return modelling.dim_upsert(known, changes).drop("last_event_time", "last_offset")
 

@@ -12,7 +12,7 @@ from quotelake.operators.cleaning import accepted, flag_quotes, rejected
 from quotelake.operators.ingest import parse_quotes
 from quotelake.operators.modelling import dim_changes, fact_rows
 from quotelake.operators.serving import daily_partials
-from quotelake.streaming.tables import Tables, create_tables, write_batch
+from quotelake.streaming.tables import Tables, write_batch
 
 # Fixed value: trigger interval of the fact writer.
 FACT_TRIGGER = "5 seconds"
@@ -68,7 +68,6 @@ def start_star_job(messages: DataFrame, tables: Tables, checkpoint: str,
     the dimension changes and facts of each batch, for a further sink such as a database;
     what it writes is repeated when a batch is.
     """
-    create_tables(messages.sparkSession, tables)
     flagged = flag_messages(messages, **options).observe(
         "quotes", F.count("*").alias("read"), F.count("reject_reason").alias("rejected"))
 

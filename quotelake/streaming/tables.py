@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quotelake import schema
@@ -42,19 +43,6 @@ class Tables:
         return f"{self.root}/deletes"
 
 
-_SCHEMAS = {
-    "fact": schema.FACT, "dim": schema.DIM, "daily": schema.DAILY_PARTIAL,
-    "quarantine": schema.QUARANTINE, "deletes": schema.DELETES,
-}
-
-
-def create_tables(spark: SparkSession, tables: Tables) -> Tables:
-    """Make the table folders that are missing, so that readers find them before any batch."""
-    for name, columns in _SCHEMAS.items():
-        spark.createDataFrame([], columns).write.mode("append").parquet(getattr(tables, name))
-    return tables
-
-
 def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int,
                 partition_by: tuple[str, ...] = ()) -> None:
     """Write the directory of one micro-batch, replacing an earlier try."""
@@ -64,14 +52,30 @@ def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int,
     writer.parquet(f"{path}/query_id={query_id}/batch_id={batch_id}")
 
 
+def _read(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame | None:
+    """The table, or None before its first batch."""
+    try:
+        return spark.read.schema(columns).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _scan(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
-    with_keys = T.StructType([*columns.fields, *schema.BATCH_KEYS])
-    return spark.read.schema(with_keys).parquet(path)
+    columns = T.StructType([*columns.fields, *schema.BATCH_KEYS])
+    found = _read(spark, path, columns)
+    if found is not None:
+        return found
+    return spark.range(0).select(*[
+        F.lit(None).cast(field.dataType).alias(field.name) for field in columns])
 
 
 def _without_deleted(rows: DataFrame, tables: Tables) -> DataFrame:
     """Rows not covered by a later delete of their symbol."""
-    deletes = rows.sparkSession.read.schema(schema.DELETES).parquet(tables.deletes)
+    deletes = _read(rows.sparkSession, tables.deletes, schema.DELETES)
+    if deletes is None:
+        return rows
     last = deletes.groupBy("symbol").agg(F.max("deleted_at").alias("deleted_at"))
     gone = (rows["symbol"] == last["symbol"]) & (rows["load_time"] <= last["deleted_at"])
     return rows.join(last, gone, "left_anti")
@@ -117,7 +121,6 @@ def rewrite_tables(spark: SparkSession, source: Tables, target: Tables,
     ``drop_repeated_offsets`` also removes messages a second query read again from the
     start of the topic; it shuffles every fact, so it is off by default.
     """
-    create_tables(spark, target)
     facts = read_fact(spark, source)
     if drop_repeated_offsets:
         facts = facts.dropDuplicates(list(schema.SOURCE_COORDINATES))
