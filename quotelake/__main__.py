@@ -21,6 +21,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--starting", default="latest", help="offsets of the first start")
     parser.add_argument("--offsets-per-trigger", type=int, default=kafka.OFFSETS_PER_TRIGGER)
     parser.add_argument("--files-per-trigger", type=int)
+    parser.add_argument("--backfill", action="store_true", help="batches hold many days")
     parser.add_argument("--trigger", default=job.FACT_TRIGGER, help="processing-time interval")
     parser.add_argument("--once", action="store_true", help="stop when the data at hand is through")
     return parser.parse_args(argv)
@@ -34,7 +35,8 @@ def start(spark, args: argparse.Namespace):
         messages = files.stream_topic_files(spark, args.files, args.files_per_trigger)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     return job.start_star_job(
-        messages, Tables(args.tables), args.checkpoint, trigger, name="star_schema")
+        messages, Tables(args.tables), args.checkpoint, trigger, name="star_schema",
+        backfill=args.backfill)
 
 
 def main(argv: list[str] | None = None) -> None:

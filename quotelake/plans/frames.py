@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quotelake.schema import MONEY, PERCENT
 
-# Payload sizes of a quote's fields are derived from k, the number in ``props`` (0..99).
+
+# The fields a quote needs beyond value come from k, the number in ``props`` (0..99).
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,7 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+    return F.regexp_extract("props", r'"k": *(\d+)', 1).cast("bigint")
+
+
+def _at() -> Column:
+    """Event time without zone; no cast is left when the table stores it so."""
+    return F.col("ts").cast("timestamp_ntz")
 
 
 def _symbol(column: str) -> Column:
@@ -23,13 +29,13 @@ def _symbol(column: str) -> Column:
 
 def quotes(events: DataFrame) -> DataFrame:
     """events -> facts: symbol per user, price from value, the rest from k."""
-    price, k = F.col("price"), F.col("volume")
+    price, k = F.col("price"), F.col("volume").cast("decimal(4,0)")
     return events.select(
         F.col("event_id").alias("id"),
         _symbol("user_id").alias("symbol"),
         F.col("value").cast(MONEY).alias("price"),
         _k().alias("volume"),
-        F.col("ts").alias("event_time"),
+        _at().alias("event_time"),
     ).select(
         "id", "symbol", "price", "volume",
         (price + k).cast(MONEY).alias("day_high"),
@@ -47,7 +53,7 @@ def named_quotes(events: DataFrame) -> DataFrame:
         _symbol("user_id").alias("symbol"),
         F.concat(_symbol("user_id"), F.lit(" "), F.col("event_type")).alias("company_name"),
         F.col("event_type").alias("sector"),
-        F.col("ts").alias("event_time"),
+        _at().alias("event_time"),
     )
 
 
@@ -69,7 +75,7 @@ def part_quotes(lineitem: DataFrame) -> DataFrame:
         F.lit(None).cast(MONEY).alias("day_high"),
         F.lit(None).cast(MONEY).alias("day_low"),
         F.col("l_discount").cast(PERCENT).alias("change_percent"),
-        F.col("l_shipdate").alias("event_time"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("event_time"),
     )
 
 
@@ -85,10 +91,10 @@ def part_dim(part: DataFrame) -> DataFrame:
 def latencies(events: DataFrame) -> DataFrame:
     """events with a processing time of k * 37 ms after the event."""
     start = F.col("ts").cast("timestamp")
-    lag = F.make_dt_interval(secs=(_k() * F.lit("0.037").cast("decimal(4,3)")).cast("decimal(18,6)"))
+    end = F.timestamp_add("MILLISECOND", _k() * 37, start)
     return events.select(
         F.col("event_id").alias("id"), "user_id", "event_type",
-        start.alias("event_time"), (start + lag).alias("processing_time"))
+        start.alias("event_time"), end.alias("processing_time"))
 
 
 # k -> fault of the message derived from an event with that k.

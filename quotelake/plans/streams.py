@@ -7,7 +7,7 @@ hand is through, and returns the table the stream wrote.
 from __future__ import annotations
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quotelake.operators import cleaning, modelling
 from quotelake.operators.ingest import parse_quotes
@@ -21,19 +21,17 @@ from quotelake.streaming import job, queries, tables
 
 AVAILABLE_NOW = {"availableNow": True}
 
-EVENTS = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
 
+# Bytes of input per micro-batch: what a large cluster parses and keeps at once.
+BATCH_BYTES = 256 * 2**30
 
-def _events(spark: SparkSession, sf: str) -> DataFrame:
+
+def _events(spark: SparkSession, sf: str, batch_bytes: int | None = BATCH_BYTES) -> DataFrame:
+    reader = streaming_session(spark).readStream.schema(frames.table(spark, sf, "events").schema)
+    if batch_bytes:
+        reader = reader.option("maxBytesPerTrigger", batch_bytes)
     # A glob, so that the table may be one file or a folder of files.
-    return streaming_session(spark).readStream.schema(EVENTS).parquet(f"{sf}/events*.parquet")
+    return reader.parquet(f"{sf}/events*.parquet")
 
 
 def _messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -57,7 +55,7 @@ def _star(spark: SparkSession, sf: str, name: str) -> tables.Tables:
     folder = new_workdir(spark, name)
     target = tables.Tables(f"{folder}/tables")
     queries.run_available(job.start_star_job(
-        _messages(spark, sf), target, f"{folder}/checkpoint", AVAILABLE_NOW))
+        _messages(spark, sf), target, f"{folder}/checkpoint", AVAILABLE_NOW, backfill=True))
     return target
 
 
@@ -100,7 +98,8 @@ THROUGHPUT_DELAY = "1 hour"
 @query(f"""WITH {WINDOWS_SQL} SELECT * FROM windows
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def stream_throughput(spark, sf):
-    messages = _messages(spark, sf).select("timestamp")
+    # One batch: files come in no order of time, and a later batch would find rows late.
+    messages = frames.messages(_events(spark, sf, batch_bytes=None)).select("timestamp")
     windows = queries.throughput_stream(messages, "timestamp", THROUGHPUT_DELAY)
     return _zoneless(_appended(spark, windows, "stream_throughput"), "window_start", "window_end")
 
@@ -125,7 +124,7 @@ def stream_fact_replay(spark, sf):
     def run() -> None:
         queries.run_available(job.start_star_job(
             _messages(spark, sf), target, f"{folder}/checkpoint", AVAILABLE_NOW,
-            after_write=fail_once))
+            after_write=fail_once, backfill=True))
 
     try:
         run()

@@ -11,24 +11,29 @@ def read_topic_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC).parquet(path)
 
 
-def stream_topic_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of a directory of parquet files in topic layout."""
-    reader = spark.readStream.schema(TOPIC)
+def _admission(files_per_trigger: int | None, bytes_per_trigger: int | None) -> dict[str, str]:
+    """Limit of a micro-batch, by number or size of files; Spark takes one of the two."""
     if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+        return {"maxFilesPerTrigger": str(files_per_trigger)}
+    return {"maxBytesPerTrigger": str(bytes_per_trigger)} if bytes_per_trigger else {}
+
 
+def stream_topic_files(spark: SparkSession, path: str, files_per_trigger: int | None = None,
+                       bytes_per_trigger: int | None = None) -> DataFrame:
+    """Stream of a directory of parquet files in topic layout."""
+    limits = _admission(files_per_trigger, bytes_per_trigger)
+    return spark.readStream.schema(TOPIC).options(**limits).parquet(path)
 
-def stream_text_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+
+def stream_text_files(spark: SparkSession, path: str, files_per_trigger: int | None = None,
+                      bytes_per_trigger: int | None = None) -> DataFrame:
     """Stream of JSON-lines files in topic layout.
 
     Text has no row number, so the coordinates of a message are its file and the hash
     of its text; equal lines of one file share them.
     """
-    reader = spark.readStream
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.text(path).select(
+    limits = _admission(files_per_trigger, bytes_per_trigger)
+    return spark.readStream.options(**limits).text(path).select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.col("_metadata.file_path").alias("topic"),

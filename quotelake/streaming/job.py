@@ -31,7 +31,7 @@ def flag_messages(messages: DataFrame, volume=None, **options) -> DataFrame:
 
 
 def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
-               after_write: BatchHook | None = None) -> None:
+               after_write: BatchHook | None = None, backfill: bool = False) -> None:
     """Write one batch of flagged rows: dimension, facts, daily rows, quarantine.
 
     The dimension is written first and from the same rows, so no fact lacks its symbol.
@@ -46,7 +46,8 @@ def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
         changes = dim_changes(clean)
         facts = fact_rows(clean).withColumn("event_date", F.to_date("event_time"))
         write_batch(changes, tables.dim, query_id, batch_id)
-        write_batch(facts, tables.fact, query_id, batch_id, ("event_date",))
+        stored = facts.hint("rebalance", "event_date") if backfill else facts
+        write_batch(stored, tables.fact, query_id, batch_id, ("event_date",))
         daily = daily_partials(facts).withColumn("load_time", F.current_timestamp())
         write_batch(daily, tables.daily, query_id, batch_id)
         bad = rejected(flagged).select(
@@ -61,18 +62,23 @@ def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
 
 def start_star_job(messages: DataFrame, tables: Tables, checkpoint: str,
                    trigger: dict | None = None, name: str | None = None,
-                   after_write: BatchHook | None = None, **options) -> StreamingQuery:
+                   after_write: BatchHook | None = None, backfill: bool = False,
+                   **options) -> StreamingQuery:
     """Start the job on a stream in topic layout.
 
     ``trigger`` holds the arguments of ``DataStreamWriter.trigger``. ``after_write`` gets
     the dimension changes and facts of each batch, for a further sink such as a database;
-    what it writes is repeated when a batch is.
+    what it writes is repeated when a batch is. ``backfill`` is for batches of many days:
+    facts are first gathered by date, with hot dates split, so that a batch of n tasks
+    and d days writes about d files and not n times d. A live batch has one or two days
+    and needs no such shuffle.
     """
     flagged = flag_messages(messages, **options).observe(
         "quotes", F.count("*").alias("read"), F.count("reject_reason").alias("rejected"))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        write_star(batch, tables, stream_query_id(batch.sparkSession), batch_id, after_write)
+        write_star(batch, tables, stream_query_id(batch.sparkSession), batch_id,
+                   after_write, backfill)
 
     writer = (
         flagged.writeStream.foreachBatch(run_batch)

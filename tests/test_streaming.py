@@ -103,6 +103,18 @@ def test_a_batch_that_fails_after_its_write_leaves_no_duplicates(
     assert_tables(spark, star, expected)
 
 
+def test_backfill_gathers_dates_into_few_files(spark, topic, folder, expected):
+    def files_of(name, **options):
+        star = tables.Tables(f"{folder}/{name}")
+        queries.run_available(job.start_star_job(
+            files.stream_topic_files(spark, topic, bytes_per_trigger=2**40), star,
+            f"{folder}/{name}-checkpoint", NOW, **options))
+        assert_tables(spark, star, expected)
+        return len(tables.read_fact(spark, star).inputFiles())
+
+    assert files_of("backfill", backfill=True) < files_of("live")
+
+
 def test_a_lost_checkpoint_repeats_facts_and_rewrite_removes_them(spark, topic, folder, expected):
     star, fresh = tables.Tables(f"{folder}/star"), tables.Tables(f"{folder}/fresh")
     run_star(spark, topic, star, f"{folder}/first")
@@ -250,6 +262,7 @@ def test_rate_batches_feed_derived_columns(spark, folder):
 
 def test_command_line_runs_the_job(spark, topic, folder, expected):
     args = arguments(["--files", topic, "--tables", f"{folder}/star",
-                      "--checkpoint", f"{folder}/checkpoint", "--once", "--files-per-trigger", "2"])
+                      "--checkpoint", f"{folder}/checkpoint", "--once", "--files-per-trigger", "2",
+                      "--backfill"])
     queries.run_available(start(spark, args))
     assert_tables(spark, tables.Tables(f"{folder}/star"), expected)
