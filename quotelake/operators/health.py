@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotelake.functions import megabytes_per_second, per_second
@@ -12,7 +15,7 @@ MESSAGE_BYTES = 1024
 
 
 def derived_columns(df: DataFrame, column: str = "value") -> DataFrame:
-    """The column doubled and squared."""
+    """Adds ``value_doubled`` and ``value_squared``."""
     value = F.col(column)
     return df.withColumn("value_doubled", value * 2).withColumn(
         "value_squared", F.pow(value, F.lit(2)))
@@ -67,9 +70,11 @@ def _ranked_values(df: DataFrame, column: str, by: tuple[str, ...], width: int)
     come from running counts over ranges and, inside each range, over its values, so
     no task holds more than the ranges or one range's values, whatever the row count.
     """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).alias("_v")).agg(
-        F.count("*").alias("_n"))
-    counts = counts.withColumn("_range", F.floor(F.col("_v") / F.lit(width)))
+    # Nulls go by their count of 0 and the join is null-safe: a not-null filter on the
+    # value would be pushed to the rows and compute the column a second time there.
+    counts = df.groupBy(*by, F.col(column).alias("_v")).agg(F.count(column).alias("_n"))
+    counts = counts.filter(F.col("_n") > 0).withColumn(
+        "_range", F.floor(F.col("_v") / F.lit(width)))
 
     earlier_ranges = Window.partitionBy(*by).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -82,7 +87,10 @@ def _ranked_values(df: DataFrame, column: str, by: tuple[str, ...], width: int)
     earlier_values = Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, -1)
     start = F.col("_before") + F.coalesce(F.sum("_n").over(earlier_values), F.lit(0))
-    return counts.join(ranges, [*by, "_range"]).withColumn("_start", start)
+    keys = [*by, "_range"]
+    same = reduce(and_, [counts[c].eqNullSafe(ranges[c]) for c in keys])
+    joined = counts.join(ranges, same).select(counts["*"], "_before", "_total")
+    return joined.withColumn("_start", start)
 
 
 def _percentile(fraction: float) -> Column:

@@ -15,8 +15,8 @@ def _instant(as_of: Column | datetime | None) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
-def daily_partials(fact: DataFrame, zero_as_null: bool = False) -> DataFrame:
-    """Mergeable daily aggregates per symbol.
+def daily_partials(fact: DataFrame, zero_as_null: bool = False, *extra: Column) -> DataFrame:
+    """Mergeable daily aggregates per symbol, with ``extra`` aggregates if any.
 
     ``zero_as_null`` ignores day highs and lows of 0, which mean "not known" in
     messages of producers without intraday ranges.
@@ -32,6 +32,7 @@ def daily_partials(fact: DataFrame, zero_as_null: bool = False) -> DataFrame:
         F.sum("volume").alias("total_volume"),
         F.max(bound("day_high")).alias("highest_day_high"),
         F.min(bound("day_low")).alias("lowest_day_low"),
+        *extra,
     )
 
 

@@ -16,27 +16,28 @@ SECTOR_LENGTH = 100
 UNKNOWN_SECTOR = "Unknown"
 
 
+# Fields of a quote message, in order. Volume is read as text here so that
+# 1000.0 and values over 2^31 survive.
+MESSAGE = {
+    "symbol": T.StringType(),
+    "price": T.DoubleType(),
+    "volume": T.StringType(),
+    "change": T.DoubleType(),
+    "change_percent": T.DoubleType(),
+    "day_high": T.DoubleType(),
+    "day_low": T.DoubleType(),
+    "event_time": T.StringType(),
+    "company_name": T.StringType(),
+    "sector": T.StringType(),
+}
+MESSAGE_FIELDS = list(MESSAGE)
+
+
 def message_schema(volume: T.DataType | None = None) -> T.StructType:
-    """Schema of a quote message.
-
-    ``volume`` is read as text so that 1000.0 and values over 2^31 survive; pass
-    ``IntegerType()`` to null them as a 32-bit field would.
-    """
-    return T.StructType([
-        T.StructField("symbol", T.StringType()),
-        T.StructField("price", T.DoubleType()),
-        T.StructField("volume", volume or T.StringType()),
-        T.StructField("change", T.DoubleType()),
-        T.StructField("change_percent", T.DoubleType()),
-        T.StructField("day_high", T.DoubleType()),
-        T.StructField("day_low", T.DoubleType()),
-        T.StructField("event_time", T.StringType()),
-        T.StructField("company_name", T.StringType()),
-        T.StructField("sector", T.StringType()),
-    ])
-
-
-MESSAGE_FIELDS = message_schema().fieldNames()
+    """Schema of a quote message; ``IntegerType()`` nulls volumes as a 32-bit field would."""
+    types = MESSAGE | {"volume": volume or MESSAGE["volume"]}
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
 
 # What a Kafka source yields; the file twin stores the same columns.
 TOPIC = T.StructType([
@@ -49,6 +50,7 @@ TOPIC = T.StructType([
 ])
 SOURCE_COORDINATES = ("topic", "partition", "offset")
 
+# Columns of the fact table, in order.
 FACT_MEASURES = ("price", "volume", "day_high", "day_low", "change", "change_percent")
 FACT_COLUMNS = ("symbol", *FACT_MEASURES, "event_time", "processing_time", "load_time")
 

@@ -48,7 +48,7 @@ def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
         write_batch(changes, tables.dim, query_id, batch_id)
         stored = facts.hint("rebalance", "event_date") if backfill else facts
         write_batch(stored, tables.fact, query_id, batch_id, ("event_date",))
-        daily = daily_partials(facts).withColumn("load_time", F.current_timestamp())
+        daily = daily_partials(facts, False, F.max("load_time").alias("load_time"))
         write_batch(daily, tables.daily, query_id, batch_id)
         bad = rejected(flagged).select(
             "reject_reason", "raw_value", "symbol", "processing_time",

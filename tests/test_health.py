@@ -51,10 +51,13 @@ def test_latency_stats_equal_numpy(spark, values, width):
 
 def test_latency_stats_per_group(spark):
     rng = np.random.default_rng(3)
-    groups = {g: rng.integers(0, 5000, n).tolist() for g, n in [("a", 300), ("b", 1), ("c", 77)]}
+    sizes = [("a", 300), ("b", 1), ("c", 77), (None, 20)]
+    groups = {g: rng.integers(0, 5000, n).tolist() for g, n in sizes}
     rows = [(g, v) for g, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "g string, latency_ms long")
-    for row in health.latency_stats(df, by=("g",), width=100).collect():
+    found = health.latency_stats(df, by=("g",), width=100).collect()
+    assert len(found) == len(groups)
+    for row in found:
         assert tuple(row)[1:] == pytest.approx(numpy_stats(groups[row.g]), rel=1e-12)
 
 

@@ -92,7 +92,7 @@ def test_a_batch_that_fails_after_its_write_leaves_no_duplicates(
     star, calls = tables.Tables(f"{folder}/star"), []
 
     def fail_once(changes, facts):
-        calls.append(1)
+        calls.append({r.processing_time for r in facts.select("processing_time").distinct().collect()})
         if len(calls) == failing_batch + 1:
             raise RuntimeError("lost")
 
@@ -100,6 +100,7 @@ def test_a_batch_that_fails_after_its_write_leaves_no_duplicates(
         run_star(spark, topic, star, f"{folder}/checkpoint", after_write=fail_once)
     run_star(spark, topic, star, f"{folder}/checkpoint", after_write=fail_once)
     assert len(calls) == 5
+    assert calls[failing_batch] == calls[failing_batch + 1]  # the batch keeps its time
     assert_tables(spark, star, expected)
 
 
@@ -266,3 +267,12 @@ def test_command_line_runs_the_job(spark, topic, folder, expected):
                       "--backfill"])
     queries.run_available(start(spark, args))
     assert_tables(spark, tables.Tables(f"{folder}/star"), expected)
+
+
+def test_when_one_query_ends_the_others_are_stopped(spark, topic, folder):
+    spark.streams.resetTerminated()
+    endless = (files.rate_stream(spark, 1).writeStream.format("noop")
+               .option("checkpointLocation", f"{folder}/endless").start())
+    queries.start_append(files.stream_topic_files(spark, topic), f"{folder}/out", f"{folder}/c", NOW)
+    queries.run_until_any_ends(spark)
+    assert not endless.isActive and not spark.streams.active
