@@ -104,6 +104,17 @@ def stream_throughput(spark, sf):
     return _zoneless(_appended(spark, windows, "stream_throughput"), "window_start", "window_end")
 
 
+@query(f"WITH {WINDOWS_SQL} SELECT * FROM windows")
+def stream_throughput_updates(spark, sf):
+    """Every window, open ones too, kept by update-mode batches."""
+    folder = new_workdir(spark, "stream_throughput_updates")
+    queries.run_available(job.start_throughput_job(
+        _messages(spark, sf).select("timestamp"), f"{folder}/windows", f"{folder}/checkpoint",
+        AVAILABLE_NOW))
+    windows = tables.read_throughput(spark, f"{folder}/windows")
+    return _zoneless(windows, "window_start", "window_end")
+
+
 def _comparable_facts(facts: DataFrame) -> DataFrame:
     return _zoneless(facts.drop(
         "id", "processing_time", "load_time", "topic", "partition", "event_date"), "event_time")

@@ -115,3 +115,9 @@ DELETES = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("deleted_at", T.TimestampType()),
 ])
+
+THROUGHPUT = T.StructType([
+    T.StructField("window_start", T.TimestampType()),
+    T.StructField("window_end", T.TimestampType()),
+    T.StructField("records", T.LongType()),
+])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelake.operators.cleaning import accepted, flag_quotes, rejected
+from quotelake.operators.health import WINDOW_SECONDS, throughput_windows
 from quotelake.operators.ingest import parse_quotes
 from quotelake.operators.modelling import dim_changes, fact_rows
 from quotelake.operators.serving import daily_partials
@@ -86,3 +87,22 @@ def start_star_job(messages: DataFrame, tables: Tables, checkpoint: str,
         .option("checkpointLocation", checkpoint)
     )
     return (writer.queryName(name) if name else writer).start()
+
+
+def start_throughput_job(messages: DataFrame, path: str, checkpoint: str, trigger: dict,
+                         time_column: str = "timestamp", delay: str | None = None,
+                         seconds: int = WINDOW_SECONDS) -> StreamingQuery:
+    """Keep the row count of every window, open ones too, in a table of batch directories.
+
+    Update mode: a batch writes only the windows it changed, where complete mode would
+    write all of them again. Without ``delay`` no row is too late and state keeps one
+    count per window; with it, older windows leave the state.
+    """
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, path, stream_query_id(batch.sparkSession), batch_id)
+
+    return (
+        throughput_windows(messages, time_column, seconds, delay)
+        .writeStream.outputMode("update").foreachBatch(run_batch)
+        .trigger(**trigger).option("checkpointLocation", checkpoint).start()
+    )

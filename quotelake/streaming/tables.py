@@ -101,6 +101,14 @@ def read_quarantine(spark: SparkSession, tables: Tables) -> DataFrame:
     return _scan(spark, tables.quarantine, schema.QUARANTINE).drop("query_id", "batch_id")
 
 
+def read_throughput(spark: SparkSession, path: str) -> DataFrame:
+    """Rows per window: the last, so highest, count each query wrote, over all queries."""
+    written = _scan(spark, path, schema.THROUGHPUT)
+    last = written.groupBy("query_id", "window_start", "window_end").agg(
+        F.max("records").alias("records"))
+    return last.groupBy("window_start", "window_end").agg(F.sum("records").alias("records"))
+
+
 def delete_symbol_rows(spark: SparkSession, tables: Tables, symbol: str) -> None:
     """Delete a symbol's facts and daily rows loaded up to now.
 

@@ -223,6 +223,16 @@ def test_throughput_in_complete_mode_has_every_window(spark, topic, messages):
         health.throughput_latest(health.throughput_windows(messages)))
 
 
+def test_throughput_in_update_mode_keeps_late_rows(spark, topic, messages, folder):
+    query = job.start_throughput_job(
+        files.stream_topic_files(spark, topic, 1), f"{folder}/windows", f"{folder}/c", NOW,
+        seconds=3600)
+    queries.run_available(query)
+    assert len(os.listdir(f"{folder}/windows/query_id={query.id}")) >= 4
+    assert rows(tables.read_throughput(spark, f"{folder}/windows")) == rows(
+        health.throughput_windows(messages, seconds=3600))
+
+
 def test_throughput_in_append_mode_has_closed_windows(spark, topic, messages, folder):
     windows = queries.throughput_stream(
         files.stream_topic_files(spark, topic, 1), delay="40 days", seconds=3600)
