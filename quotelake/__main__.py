@@ -1,4 +1,4 @@
-"""Run the star-schema job: ``spark-submit ... -m quotelake`` or ``python -m quotelake``."""
+"""Run the star-schema job: ``python -m quotelake``, or spark-submit this file."""
 
 from __future__ import annotations
 

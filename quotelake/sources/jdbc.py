@@ -73,3 +73,12 @@ def append_facts(facts: DataFrame, db: Database, table: str = "fact_stock_prices
                  **tuning: int) -> None:
     """Insert facts; the database numbers the rows."""
     append(facts.select(*FACT_COLUMNS), write_options(db, table, **tuning))
+
+
+def star_sink(db: Database, **tuning: int):
+    """Hook for the star-schema job that also appends each batch to the database,
+    new symbols before facts. A batch that is repeated is appended again."""
+    def write(changes: DataFrame, facts: DataFrame) -> None:
+        append_new_symbols(changes, db, **tuning)
+        append_facts(facts, db, **tuning)
+    return write

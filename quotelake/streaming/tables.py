@@ -125,14 +125,17 @@ def rewrite_tables(spark: SparkSession, source: Tables, target: Tables,
     """Copy the tables into a new root, many small batch directories becoming one.
 
     Run it while no stream writes to the source, which stays as it was. Files are
-    balanced by date with hot dates split, deletes are applied and batches folded.
+    balanced by date with hot dates split and sorted by symbol and time, so that a scan
+    for a symbol skips row groups; deletes are applied and batches folded.
     ``drop_repeated_offsets`` also removes messages a second query read again from the
     start of the topic; it shuffles every fact, so it is off by default.
     """
     facts = read_fact(spark, source)
     if drop_repeated_offsets:
         facts = facts.dropDuplicates(list(schema.SOURCE_COORDINATES))
-    write_batch(facts.hint("rebalance", "event_date"), target.fact, "base", 0, ("event_date",))
+    facts = facts.hint("rebalance", "event_date").sortWithinPartitions(
+        "event_date", "symbol", "event_time")
+    write_batch(facts, target.fact, "base", 0, ("event_date",))
     write_batch(read_dim(spark, source), target.dim, "base", 0)
     if drop_repeated_offsets:
         partials = daily_partials(read_fact(spark, target))

@@ -3,7 +3,11 @@
 import pytest
 from pyspark.errors import AnalysisException
 
+from quotelake.operators import cleaning, modelling
+from quotelake.plans import frames
+from quotelake.schema import FACT_COLUMNS
 from quotelake.sources import jdbc, kafka, workdir
+from quotelake.streaming import job
 
 
 def test_kafka_source_options():
@@ -53,6 +57,24 @@ def test_jdbc_partitioned_read_options():
     assert "partitionColumn" not in jdbc.read_options(db, "t")
 
 
+def test_database_gets_new_symbols_before_facts(spark, events, monkeypatch):
+    flagged = job.flag_messages(frames.messages(events))
+    clean = cleaning.accepted(flagged)
+    changes = modelling.dim_changes(clean)
+    facts = modelling.fact_rows(clean)
+    known = spark.createDataFrame(
+        changes.orderBy("symbol").limit(3).select("symbol").collect(), "symbol string")
+    written = []
+    monkeypatch.setattr(jdbc, "scan", lambda session, options: known)
+    monkeypatch.setattr(jdbc, "append", lambda df, options: written.append(
+        (options["dbtable"], options["batchsize"], df.columns, df.count())))
+    jdbc.star_sink(jdbc.postgres("h", "d", "u", "p"), batch_rows=50)(changes, facts)
+    assert written == [
+        ("dim_stock", "50", ["symbol", "company_name", "sector", "created_at", "updated_at"],
+         changes.count() - 3),
+        ("fact_stock_prices", "50", list(FACT_COLUMNS), facts.count())]
+
+
 class Conf(dict):
     def get(self, key, default=None):
         return dict.get(self, key, default)

@@ -9,6 +9,7 @@ from plan import executed, physical
 from quotelake.operators import modelling
 from quotelake.plans import frames
 from quotelake.schema import DIM
+from quotelake.streaming import queries
 
 T0 = datetime(2024, 1, 1)
 
@@ -101,10 +102,8 @@ def skewed(spark):
     return fact, dim
 
 
-def test_hot_symbol_is_split_when_the_dimension_is_too_big_to_broadcast(spark, skewed, tmp_path):
-    fact, dim = skewed
-    fact.repartition(8).write.parquet(f"{tmp_path}/fact")
-    dim.write.parquet(f"{tmp_path}/dim")
+def no_broadcast_session(spark):
+    """Joins shuffle, and a partition over 10 KB counts as skewed."""
     session = spark.newSession()
     for key, value in {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -115,12 +114,35 @@ def test_hot_symbol_is_split_when_the_dimension_is_too_big_to_broadcast(spark, s
         "spark.sql.shuffle.partitions": "8",
     }.items():
         session.conf.set(key, value)
+    return session
+
+
+@pytest.fixture
+def skewed_tables(skewed, tmp_path):
+    fact, dim = skewed
+    fact.repartition(8).write.parquet(f"{tmp_path}/fact")
+    dim.withColumn("company_name", F.lit("c")).write.parquet(f"{tmp_path}/dim")
+
+
+def test_hot_symbol_is_split_in_a_shuffled_join(spark, skewed_tables, tmp_path):
+    session = no_broadcast_session(spark)
     admitted = modelling.fact_admitted(
         session.read.parquet(f"{tmp_path}/fact"), session.read.parquet(f"{tmp_path}/dim"))
     assert "skew=true" in executed(admitted)
     assert admitted.count() == 60_000
 
 
+def test_hot_symbol_is_split_in_a_stream(spark, skewed_tables, tmp_path):
+    session = no_broadcast_session(spark)
+    stream = session.readStream.schema("id long, symbol string, pad string").parquet(f"{tmp_path}/fact")
+    joined = queries.enrich_stream(stream, session.read.parquet(f"{tmp_path}/dim"))
+    query = queries.start_append(
+        joined, f"{tmp_path}/out", f"{tmp_path}/checkpoint", {"availableNow": True})
+    queries.run_available(query)
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 60_000
+    assert "skew=true" in query._jsq.explainInternal(False)
+
+
 def test_aggregates_reduce_before_the_shuffle(spark, skewed):
     fact, _ = skewed
     text = physical(modelling.duplicate_keys(fact, ["symbol"]))

@@ -28,3 +28,12 @@ def test_entry_returns_rows(spark):
 def test_query_equals_sql(spark, duck, name):
     difference = oracle.compare(QUERIES[name](spark, SF), duck, entry_points.oracle_sql()[name])
     assert difference is None, difference
+
+
+@pytest.mark.parametrize("name", ["daily_summary", "stream_star_schema", "stream_throughput"])
+def test_tables_may_be_folders_of_files(spark, duck, tmp_path, name):
+    for table in ("events", "customer"):
+        spark.read.parquet(f"{SF}/{table}.parquet").repartition(5).write.parquet(
+            f"{tmp_path}/{table}.parquet")
+    df = QUERIES[name](spark, str(tmp_path))
+    assert oracle.compare(df, duck, entry_points.oracle_sql()[name]) is None
