@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quotelake.operators.serving import daily_partials
+from quotelake.operators.serving import daily_partials, time_order
 
 
 def latest_quote(fact: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """``columns`` of each symbol's newest fact, ties by id.
+    """``columns`` of each symbol's newest fact.
 
     An aggregate rather than a window: it keeps one row per symbol on the map side,
     so a hot symbol costs no more to shuffle than any other.
     """
-    rest = [c for c in columns if c not in ("event_time", "id")]
-    newest = F.max(F.struct("event_time", "id", *rest))
+    order = time_order(fact)
+    newest = F.max(F.struct(*order, *[c for c in columns if c not in order]))
     return fact.groupBy("symbol").agg(newest.alias("newest")).select(
         "symbol", *[F.col(f"newest.{c}") for c in columns])
 
@@ -26,7 +26,7 @@ def latest_price(fact: DataFrame) -> DataFrame:
 
 def price_trend(fact: DataFrame, bucket: str = "hour") -> DataFrame:
     """Average, low, high, first and last price per symbol and time bucket."""
-    stamp = F.struct("event_time", "id", "price")
+    stamp = F.struct(*time_order(fact), "price")
     at = F.date_trunc(bucket, "event_time").cast(fact.schema["event_time"].dataType)
     return (
         fact.groupBy("symbol", at.alias("bucket"))

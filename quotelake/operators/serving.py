@@ -119,9 +119,18 @@ def recent_with_company(fact: DataFrame, dim: DataFrame, span: str = "1 DAY",
     return joined.select(*fact.columns, "company_name")
 
 
+def time_order(fact: DataFrame) -> list[str]:
+    """Columns that put facts in order: event time, then arrival.
+
+    Where facts carry the source offset, it tells which of two quotes of the same time
+    came later; the id makes the order total.
+    """
+    return ["event_time", *(c for c in ("offset", "id") if c in fact.columns)]
+
+
 def newest(fact: DataFrame, n: int = 1000) -> DataFrame:
-    """The n newest facts, ties by id."""
-    return fact.orderBy(F.col("event_time").desc_nulls_last(), F.col("id").desc_nulls_last()).limit(n)
+    """The n newest facts."""
+    return fact.orderBy(*[F.col(c).desc_nulls_last() for c in time_order(fact)]).limit(n)
 
 
 def register_views(spark, fact: DataFrame, dim: DataFrame) -> None:

@@ -27,12 +27,13 @@ def stream_query_id(spark: SparkSession) -> str:
 
 
 def flag_messages(messages: DataFrame, volume=None, **options) -> DataFrame:
-    """Messages -> typed rows with a reject reason. Options as in ``flag_quotes``."""
+    """Messages -> typed rows with a reject reason; options as in ``flag_quotes``."""
     return flag_quotes(parse_quotes(messages, volume, keep_raw=True), **options)
 
 
 def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
-               after_write: BatchHook | None = None, backfill: bool = False) -> None:
+               after_write: BatchHook | None = None, backfill: bool = False,
+               zero_as_null: bool = False) -> None:
     """Write one batch of flagged rows: dimension, facts, daily rows, quarantine.
 
     The dimension is written first and from the same rows, so no fact lacks its symbol.
@@ -49,7 +50,7 @@ def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
         write_batch(changes, tables.dim, query_id, batch_id)
         stored = facts.hint("rebalance", "event_date") if backfill else facts
         write_batch(stored, tables.fact, query_id, batch_id, ("event_date",))
-        daily = daily_partials(facts, False, F.max("load_time").alias("load_time"))
+        daily = daily_partials(facts, zero_as_null, F.max("load_time").alias("load_time"))
         write_batch(daily, tables.daily, query_id, batch_id)
         bad = rejected(flagged).select(
             "reject_reason", "raw_value", "symbol", "processing_time",
@@ -64,7 +65,7 @@ def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
 def start_star_job(messages: DataFrame, tables: Tables, checkpoint: str,
                    trigger: dict | None = None, name: str | None = None,
                    after_write: BatchHook | None = None, backfill: bool = False,
-                   **options) -> StreamingQuery:
+                   zero_as_null: bool = False, **options) -> StreamingQuery:
     """Start the job on a stream in topic layout.
 
     ``trigger`` holds the arguments of ``DataStreamWriter.trigger``. ``after_write`` gets
@@ -72,14 +73,15 @@ def start_star_job(messages: DataFrame, tables: Tables, checkpoint: str,
     what it writes is repeated when a batch is. ``backfill`` is for batches of many days:
     facts are first gathered by date, with hot dates split, so that a batch of n tasks
     and d days writes about d files and not n times d. A live batch has one or two days
-    and needs no such shuffle.
+    and needs no such shuffle. ``zero_as_null`` is that of ``daily_partials``; other
+    options are those of ``flag_messages``.
     """
     flagged = flag_messages(messages, **options).observe(
         "quotes", F.count("*").alias("read"), F.count("reject_reason").alias("rejected"))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         write_star(batch, tables, stream_query_id(batch.sparkSession), batch_id,
-                   after_write, backfill)
+                   after_write, backfill, zero_as_null)
 
     writer = (
         flagged.writeStream.foreachBatch(run_batch)

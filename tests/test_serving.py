@@ -104,6 +104,14 @@ def test_latest_price_and_trend(spark):
     assert [(float(r.first_price), float(r.last_price)) for r in trend] == [(9.0, 9.0), (1.0, 2.0)]
 
 
+def test_the_later_offset_wins_among_equal_times(spark):
+    df = fact(spark, ("A", 1, 1, 1, 1, 5, DAY), ("A", 2, 1, 1, 1, 6, DAY))
+    df = df.withColumn("offset", 10 - F.col("id"))
+    assert float(analytics.latest_price(df).first().price) == 1.0
+    assert float(analytics.price_trend(df).first().last_price) == 1.0
+    assert float(serving.newest(df, 1).first().price) == 1.0
+
+
 def test_moving_average_by_dates_and_by_calendar(spark):
     days = [0, 1, 9]
     df = fact(spark, *[("A", 10 * (i + 1), 1, 1, 1, 1, DAY + timedelta(days=d)) for i, d in enumerate(days)])

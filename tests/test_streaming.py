@@ -107,10 +107,13 @@ def test_a_batch_that_fails_after_its_write_leaves_no_duplicates(
 def test_backfill_gathers_dates_into_few_files(spark, topic, folder, expected):
     def files_of(name, **options):
         star = tables.Tables(f"{folder}/{name}")
-        queries.run_available(job.start_star_job(
+        query = job.start_star_job(
             files.stream_topic_files(spark, topic, bytes_per_trigger=2**40), star,
-            f"{folder}/{name}-checkpoint", NOW, **options))
+            f"{folder}/{name}-checkpoint", NOW, **options)
+        queries.run_available(query)
         assert_tables(spark, star, expected)
+        (batch,) = [p for p in query.recentProgress if p["numInputRows"]]
+        assert batch["observedMetrics"]["quotes"]["read"] == 1000
         return len(tables.read_fact(spark, star).inputFiles())
 
     assert files_of("backfill", backfill=True) < files_of("live")
