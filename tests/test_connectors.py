@@ -15,8 +15,9 @@ def test_kafka_source_options():
     assert options == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "stock_prices",
         "startingOffsets": "latest", "failOnDataLoss": "false",
-        "kafka.isolation.level": "read_committed", "maxOffsetsPerTrigger": "1000",
+        "kafka.isolation.level": "read_committed", "maxOffsetsPerTrigger": "1000000",
         "kafka.security.protocol": "SSL"}
+    assert kafka.source_options("b", offsets_per_trigger=1000)["maxOffsetsPerTrigger"] == "1000"
     assert "maxOffsetsPerTrigger" not in kafka.source_options("b", offsets_per_trigger=None)
     assert kafka.source_options("b", starting="earliest")["startingOffsets"] == "earliest"
 

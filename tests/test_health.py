@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plan import physical
+from plan import executed, physical
 from quotelake.operators import health
 from quotelake.plans import frames
 
@@ -73,6 +73,13 @@ def test_percentiles_count_values_before_they_shuffle(spark, events):
     assert "percentile" not in text and "partial_count" in text
 
 
+def test_percentiles_scan_the_rows_once(spark, events):
+    df = frames.latencies(events).select(
+        F.timestamp_diff("MILLISECOND", "event_time", "processing_time").alias("latency_ms"))
+    final = executed(health.latency_stats(df)).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_group_and_two_level(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 10)], "worker string, latency_ms long")
     by_worker = {r.worker: tuple(r)[1:] for r in health.latency_by_group(df, "worker").collect()}
