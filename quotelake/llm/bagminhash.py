@@ -18,7 +18,7 @@ the nodes outside the largest one with all others, block by block. So no pairs a
 only links of a spanning forest, no task holds more than two blocks of a bucket at a time,
 and no link is lost. Components come from label propagation with pointer jumping.
 
-Class ids are the smallest doc_id of the class. Null and empty texts are equal texts. A null
+Class ids are the smallest doc_id of the class. Texts without a word, null ones too, are one class. A null
 doc_id counts as none: it is a class id only of a class without others. Repeated rows are in
 one class. An empty table gives no rows. Other columns are not read.
 """

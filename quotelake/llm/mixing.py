@@ -171,10 +171,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     and text are one document whose takes add up."""
     names = docs.columns
     key_a, key_b = (k.alias(f"__{n}") for k, n in zip(row_key(), ("key_a", "key_b")))
-    takes = (taken_words(docs).groupBy("key_a", "key_b")
+    takes = (taken_words(docs).groupBy(F.col("key_a").alias("__a"), F.col("key_b").alias("__b"))
              .agg(F.sum("taken").alias("__taken"), F.first("size").alias("__size")).filter("__taken > 0"))
     once = docs.select("*", key_a, key_b).dropDuplicates(["__key_a", "__key_b"])
-    joined = once.join(takes, (F.col("__key_a") == F.col("key_a")) & (F.col("__key_b") == F.col("key_b")))
+    joined = once.join(takes, (F.col("__key_a") == F.col("__a")) & (F.col("__key_b") == F.col("__b")))
     copies = joined.withColumn("__copy", F.explode(F.sequence(
         F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")))))
     left = F.col("__taken") - (F.col("__copy") - 1) * F.col("__size")

@@ -1,0 +1,178 @@
+"""The registered queries on whole small tables: against their SQL, or against brute force."""
+
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+import oracle
+from conftest import SF, SF_SMALL
+from quotelake.llm import bagminhash, decontaminate, host_quality, mixing, queries, substring_dedup
+from quotelake.llm.common import read_table, stage_table
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = oracle.connect(SF)
+    yield con
+    con.close()
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, duck, name):
+    difference = oracle.compare(queries.QUERIES[name](spark, SF), duck, queries.ORACLES[name])
+    assert difference is None, difference
+
+
+def expected_tokens(rows):
+    """doc_id, start, n_tokens and ids_crc32, each whole text encoded by the library."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
+    start, result = 0, []
+    for doc_id, text in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [queries.END_ID]
+        result.append((doc_id, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        start += len(ids)
+    return result
+
+
+def test_token_files_hold_what_the_library_encodes(spark):
+    rows = sorted((r.doc_id, r.text) for r in read_table(spark, SF, "documents").collect())
+    got = sorted(map(tuple, queries.op3_token_files(spark, SF).collect()))
+    assert got == expected_tokens(rows)
+
+
+def word_bag(text):
+    words = (text or "").lower().encode().split()
+    size = min(5, len(words))
+    return Counter(tuple(words[i:i + size]) for i in range(len(words) - size + 1)) if words else Counter()
+
+
+def near_classes(rows):
+    """doc_id to class_id, by all pairs of texts that share a shingle."""
+    bags = {i: word_bag(t) for i, t in rows}
+    holders = defaultdict(list)
+    for i, bag in bags.items():
+        for shingle in bag or [()]:
+            holders[shingle].append(i)
+    up = {i: i for i in bags}
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in {(a, b) for v in holders.values() for k, a in enumerate(v) for b in v[k + 1:]}:
+        both, either = (bags[a] & bags[b]).total(), (bags[a] | bags[b]).total()
+        if 100 * both >= 80 * either:
+            x, y = sorted((find(a), find(b)))
+            up[y] = x
+    return {i: find(i) for i in bags}
+
+
+@pytest.mark.parametrize("block", [bagminhash.BLOCK, 3])
+def test_classes_equal_all_pairs(spark, block):
+    docs = read_table(spark, SF, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {r.doc_id: r.class_id for r in bagminhash.classes(docs, block).collect()}
+    assert got == near_classes(rows)
+
+
+def test_shared_passages_are_found_and_others_left(spark):
+    docs = read_table(spark, SF, "documents").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = substring_dedup.find_repeats(docs).collect()
+    by_place = defaultdict(set)
+    for doc_id, text in texts.items():
+        for i in range(len(text) - 39):
+            by_place[text[i:i + 40]].add(doc_id)
+    for r in found:
+        passage = texts[r.doc_id][r.start:r.start + r.n_chars]
+        assert len(passage) == r.n_chars >= substring_dedup.MIN_CHARS
+        assert all(len(by_place[passage[i:i + 40]]) > 1 for i in range(0, len(passage) - 39, 20))
+        assert r.kept == (r.first_id == r.doc_id)
+    spans, long = defaultdict(set), defaultdict(set)
+    for doc_id, text in texts.items():
+        words = text.split()
+        for i in range(len(words) - 59):
+            window = tuple(words[i:i + 60])
+            if len(set(window)) > 20:  # not one word over and over
+                long[window].add(doc_id)
+    shared = set().union(*(v for v in long.values() if len(v) > 1))
+    missed = shared - {r.doc_id for r in found}
+    assert len(missed) <= 0.02 * len(shared), missed
+
+
+def test_removing_repeats_keeps_each_passage_once(spark):
+    docs = read_table(spark, SF, "documents")
+    left = substring_dedup.remove_repeats(docs)
+    assert left.columns == docs.columns and left.count() == docs.count()
+    cut = stage_table(left, "left")
+    assert cut.filter("n_chars <> length(text)").count() == 0
+    dropped = {r.doc_id: r.n for r in substring_dedup.find_repeats(docs).filter("not kept")
+               .groupBy("doc_id").agg({"n_chars": "sum"}).toDF("doc_id", "n").collect()}
+    before = {r.doc_id: len(r.text) for r in docs.collect()}
+    assert all(before[r.doc_id] - len(r.text) == dropped.get(r.doc_id, 0) for r in cut.collect())
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    docs = read_table(spark, SF_SMALL, "documents")
+    columns = docs.columns
+
+    # rules
+    judged = {r.doc_id: r.kept for r in host_quality.judge(docs).collect()}
+    passed = stage_table(corpus_pipeline.quality_rules(spark, docs, SF_SMALL), "passed")
+    assert passed.columns == columns
+    assert sorted(r.doc_id for r in passed.collect()) == sorted(i for i, kept in judged.items() if kept)
+
+    # one document of each class, unchanged
+    once = stage_table(corpus_pipeline.near_duplicates(spark, passed, SF_SMALL), "once")
+    classes = near_classes([(r.doc_id, r.text) for r in passed.collect()])
+    assert once.columns == columns
+    assert sorted(map(tuple, once.collect())) == sorted(tuple(r) for r in passed.collect() if classes[r.doc_id] == r.doc_id)
+
+    # no benchmark item left, nothing else lost
+    items = [set(word_bag(r.text)) for r in read_table(spark, SF_SMALL, "benchmark").collect()]
+    clean = stage_table(corpus_pipeline.decontamination(spark, once, SF_SMALL), "clean")
+    holds = {r.doc_id: any(100 * len(set(word_bag(r.text)) & item) >= 80 * len(item) for item in items) for r in once.collect()}
+    assert any(holds.values())
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, h in holds.items() if not h)
+
+    # the mix: each document as often as its words are taken
+    mixed = stage_table(corpus_pipeline.source_mix(spark, clean, SF_SMALL), "mixed")
+    taken = {r.doc_id: (r.size, r.taken) for r in mixing.taken_words(clean).collect()}
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    got = defaultdict(list)
+    for r in mixed.collect():
+        got[r.doc_id].append(r.text)
+        assert r.n_chars == len(r.text)
+    for i, (size, words) in taken.items():
+        full, rest = divmod(words, size) if size else (0, 0)
+        assert sorted(got[i], key=len, reverse=True) == [texts[i]] * full + [" ".join(texts[i].split()[:rest])] * (rest > 0)
+
+    # token files
+    rows = sorted(((r.doc_id, r.text) for r in mixed.collect()))
+    out = sorted(map(tuple, corpus_pipeline.token_output(spark, mixed, SF_SMALL).collect()))
+    expected = expected_tokens(rows)
+    assert [r[:1] + r[2:3] for r in out] and Counter((r[0], r[2], r[3]) for r in out) == Counter((r[0], r[2], r[3]) for r in expected)
+    assert sum(r[2] for r in out) == max(r[1] + r[2] for r in out)
+
+
+def test_pipeline_runs_through(spark):
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert len(names) == 5 and len(set(names)) == 5
+    assert corpus_pipeline.run(spark, SF_SMALL).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_benchmark_items_are_found_in_long_documents(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    filler = " ".join(f"w{i}" for i in range(20_000))
+    docs = spark.createDataFrame([
+        (1, f"{filler} {item} {filler}"), (2, filler), (3, item.replace("six", "6")), (4, item.upper()),
+        (5, f"{item} tail"), (6, " ".join(item.split()[:11])), (7, " ".join(item.split()[:6]))], "doc_id long, text string")
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    got = {r.doc_id: r.n_found for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: 8, 4: 8, 5: 8, 6: 7}
