@@ -27,7 +27,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5        # of all words
 MOST = 2           # times a source's words
 BLOCK_WORDS = 1024
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 5_000
 GOLDEN = (math.sqrt(5) - 1) / 2
 CHUNK = 1 << 16
 
