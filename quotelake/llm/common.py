@@ -36,12 +36,12 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(shutil.make_archive(f"{folder}/quotelake", "zip", ROOT, "quotelake"))
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a frame to the folder all nodes share and read it back: what follows neither
     repeats the work above nor depends on the executors that did it."""
     spark = df.sparkSession
     path = new_workdir(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

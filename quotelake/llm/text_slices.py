@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 8 * 1024 * 1024
 
 
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:

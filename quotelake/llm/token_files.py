@@ -8,9 +8,9 @@ a numpy table. Records lie in Parquet files in ascending doc_id order, null firs
 per range of ids, written by Spark's committer, so a lost executor only repeats its tasks.
 The table of ids by rank is beside the records.
 
-The texts are encoded twice, once to count ids and once to write them: the ids are never
-stored in a wider form. Memory is bounded by slices of ``SLICE_BYTES`` of text, or the
-longest text. Rows of one doc_id share a file and follow in order of their ids.
+The texts are encoded once, into a staged table of fixed-width ids; counting and writing
+read that. Memory is bounded by slices of ``SLICE_BYTES`` of text, or the longest text. Rows
+of one doc_id share a file and follow in order of their ids.
 
 The tokenizer must drop white space, so that words can be encoded apart and remembered.
 Null and empty texts have the end id alone; repeated rows are records of their own; an empty
@@ -19,10 +19,12 @@ table gives no records; other columns are not read.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +35,8 @@ from quotelake.llm.common import attach, ship_package, stage_table
 from quotelake.llm.text_slices import slices
 from quotelake.sources.workdir import new_workdir
 
-MEMORY_WORDS = 1_000_000
-SEPARATOR = "<|endoftext|>"
-WORDS_PER_CALL = 256
+MEMORY_WORDS = 1_200_000
+WORDS_PER_CALL = 512
 
 RECORD = "doc_id long, file int, n_tokens long, start long, control binary, data binary"
 
@@ -51,8 +52,28 @@ class TokenFiles:
     ranks: str
 
 
+# Signs but for the apostrophe, and letters whose small forms are letters again: the
+# tokenizer takes a word of such letters apart from the signs that follow.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+SIMPLE = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*$"
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _joined(runs: np.ndarray, ends: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs at all places, one after another, and where each ends; run i is from
+    ``ends[i]`` to ``ends[i + 1]``."""
+    begins, counts = ends[places], ends[places + 1] - ends[places]
+    sums = np.cumsum(counts)
+    return runs[np.repeat(begins - sums + counts, counts) + np.arange(sums[-1] if len(sums) else 0)], sums
+
+
 class WordEncoder:
-    """Encodes texts word by word and remembers words; one per Python worker."""
+    """Encodes texts word by word and remembers words; one per Python worker.
+
+    Words are remembered as their letters in small form; the signs at their end are words of
+    their own. Many letter words are encoded in one call, with spaces between: each gives
+    one run of ids that closes with a token of a word's end.
+    """
 
     _made: dict[str, WordEncoder] = {}
 
@@ -63,58 +84,82 @@ class WordEncoder:
         return cls._made[path]
 
     def __init__(self, path: str) -> None:
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.ids = array("I")
-        self.ends = array("q", [0])
+        """Place 0 is the empty word."""
+        self.words: dict[str, int] = {"": 0}
+        self.ids = np.zeros(1 << 16, dtype=np.uint32)
+        self.ends = np.zeros(2, dtype=np.int64)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, dtype=np.uint32) for c in coded]
 
     def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if "<|" not in w]
-        odd = [w for w in new if "<|" in w]
-        encode = self.tokenizer.encode_batch_fast
-        groups = [plain[i:i + WORDS_PER_CALL] for i in range(0, len(plain), WORDS_PER_CALL)]
-        for group, coded in zip(groups, encode([SEPARATOR.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(coded.ids, dtype=np.uint32)
-            stops = np.append(np.flatnonzero(ids == self.separator), len(ids))
-            base = len(self.ids)
-            self.ids.frombytes(ids[ids != self.separator].tobytes())
-            self.ends.frombytes((base + stops - np.arange(len(stops))).astype(np.int64).tobytes())
-            self._place(group)
-        for word, coded in zip(odd, encode(odd, add_special_tokens=False)):
-            self.ids.extend(coded.ids)
-            self.ends.append(len(self.ids))
-            self._place([word])
-
-    def _place(self, group: list[str]) -> None:
-        first = len(self.places)
-        self.places.update(zip(group, range(first, first + len(group))))
+        letters = [w for w in new if LETTERS.fullmatch(w)]
+        others = [w for w in new if not LETTERS.fullmatch(w)]
+        runs, ends, names = [], [], []
+        used = int(self.ends[-1])
+        groups = [letters[i:i + WORDS_PER_CALL] for i in range(0, len(letters), WORDS_PER_CALL)]
+        for group, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
+            stops = np.flatnonzero(self.closes[ids]) + 1
+            if len(stops) == len(group):
+                runs.append(ids)
+                ends.append(used + stops)
+                names += group
+                used += len(ids)
+            else:
+                others += group
+        for name, ids in zip(others, self._encode(others)):
+            runs.append(ids)
+            used += len(ids)
+            ends.append(np.array([used]))
+            names.append(name)
+        if used > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(used, dtype=np.uint32)))
+        if runs:
+            self.ids[int(self.ends[-1]):used] = np.concatenate(runs)
+        first = len(self.ends) - 1
+        self.ends = np.concatenate((self.ends, *ends))
+        self.words.update(zip(names, range(first, first + len(names))))
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        places = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(places < 0).tolist()
+        if unknown:
+            new = [words[i] for i in unknown]
+            self._learn(list(dict.fromkeys(new)))
+            places[unknown] = np.fromiter(map(self.words.__getitem__, new), np.int64, len(new))
+        return places
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text closed by ``end_id``, and where each text ends."""
-        if len(self.places) > MEMORY_WORDS:
+        if len(self.words) > MEMORY_WORDS:
             self.forget()
-        flat = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
-        split = pc.split_pattern(flat, " ")
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
-        unique = coded.dictionary.to_pylist()
-        new = [w for w in unique if w not in self.places]
-        if new:
-            self._learn(new)
-        places = np.fromiter(map(self.places.__getitem__, unique), np.int64, len(unique))
-        ids, ends = np.array(self.ids, dtype=np.uint32), np.array(self.ends, dtype=np.int64)
-        word = places[coded.indices.to_numpy()]
-        begins, counts = ends[word], ends[word + 1] - ends[word]
-        sums = np.concatenate(([0], np.cumsum(counts)))
-        gathered = ids[np.repeat(begins - sums[:-1], counts) + np.arange(sums[-1])]
-        stops = sums[np.cumsum(pc.list_value_length(split).to_numpy())]
-        return np.insert(gathered, stops, end_id), stops + np.arange(1, len(stops) + 1)
+        words = coded.dictionary
+        simple = pc.match_substring_regex(words, SIMPLE)
+        small = pc.utf8_lower(words)
+        stems = pc.if_else(simple, pc.utf8_rtrim(small, characters=SIGNS), words)
+        stem = stems.dictionary_encode()
+        parts = np.zeros(2 * len(words), dtype=np.int64)
+        parts[::2] = self._places(stem.dictionary.to_pylist())[stem.indices.to_numpy()]
+        cut = (pc.binary_length(small).to_numpy() - pc.binary_length(stems).to_numpy()) * simple.to_numpy(zero_copy_only=False)
+        signed = np.flatnonzero(cut)
+        tails = [w[-n:] for w, n in zip(words.take(pa.array(signed)).to_pylist(), cut[signed].tolist())]
+        parts[2 * signed + 1] = self._places(tails)
+        own, ends = _joined(self.ids, self.ends, parts)
+        ids, sums = _joined(own, np.concatenate(([0], ends[1::2])), coded.indices.to_numpy())
+        stops = np.concatenate(([0], sums))[np.cumsum(pc.list_value_length(split).to_numpy())]
+        return np.insert(ids, stops, end_id), stops + np.arange(1, len(stops) + 1)
 
 
 def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -158,20 +203,39 @@ def unpack(control: pa.Array, data: pa.Array, counts: np.ndarray) -> np.ndarray:
     return values
 
 
-def id_ranks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """id, n and rank of every id in the texts; the most frequent has rank 0, ties by id."""
+def id_type(tokenizer: str, end_id: int) -> str:
+    """Little-endian numbers wide enough for all ids."""
+    from tokenizers import Tokenizer
+    largest = max(end_id, *Tokenizer.from_file(tokenizer).get_vocab().values())
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, kind: str) -> DataFrame:
+    """doc_id and the ids of every document, as bytes of numbers of ``kind``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                ids, ends = WordEncoder.of(tokenizer).encode(part.column(1), end_id)
+                raw = ids.astype(kind)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), _binary(raw.view(np.uint8), ends * raw.itemsize)], names=["doc_id", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+
+
+def id_ranks(ids: DataFrame, kind: str) -> DataFrame:
+    """id, n and rank of every id; the most frequent has rank 0, ties by id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for part in slices(batch, 0):
-                ids, _ = WordEncoder.of(tokenizer).encode(part.column(0), end_id)
-                counts = np.bincount(ids, minlength=len(total))
+                counts = np.bincount(_bytes(part.column(0)).view(kind), minlength=len(total))
                 counts[:len(total)] += total
                 total = counts
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], names=["id", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # At most as many rows as the vocabulary.
     order = Window.orderBy(F.desc("n"), "id")
     return stage_table(counted.withColumn("rank", F.row_number().over(order) - 1), "ranks")
@@ -187,21 +251,24 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, files: int |
     spark = docs.sparkSession
     ship_package(spark)
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = id_ranks(docs, tokenizer, end_id)
+    kind = id_type(tokenizer, end_id)
+    staged = stage_table(encoded(docs, tokenizer, end_id, kind), "token-ids", compression="zstd")
+    ranked = id_ranks(staged, kind)
     table = ranked.toPandas()  # bounded by the vocabulary
     rank_of = np.zeros(int(table["id"].max()) + 1 if len(table) else 1, dtype=np.uint32)
     rank_of[table["id"].to_numpy()] = table["rank"].to_numpy()
-    bounds = _file_bounds(docs, files)
+    bounds = _file_bounds(staged, files)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                ids, ends = WordEncoder.of(tokenizer).encode(part.column(1), end_id)
-                control, data = pack(rank_of[ids], ends)
+                sizes = pc.binary_length(part.column(1)).to_numpy().astype(np.int64) // np.dtype(kind).itemsize
+                ends = np.cumsum(sizes)
+                control, data = pack(rank_of[_bytes(part.column(1)).view(kind)], ends)
                 doc_id = part.column(0)
                 file = np.searchsorted(bounds, pc.fill_null(doc_id, np.iinfo(np.int64).min).to_numpy(), side="left")
                 yield pa.RecordBatch.from_arrays(
-                    [doc_id, pa.array(file, pa.int32()), pa.array(np.diff(ends, prepend=0), pa.int64()), control, data],
+                    [doc_id, pa.array(file, pa.int32()), pa.array(sizes, pa.int64()), control, data],
                     names=["doc_id", "file", "n_tokens", "control", "data"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,9 +281,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, files: int |
                 [*batch.columns[:3], pa.array(sums - counts, pa.int64()), *batch.columns[3:]],
                 names=["doc_id", "file", "n_tokens", "start", "control", "data"])
 
-    encoded = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        encode, "doc_id long, file int, n_tokens long, control binary, data binary")
-    ordered = encoded.repartitionById(files, "file").sortWithinPartitions("doc_id", "n_tokens", "control", "data")
+    records = staged.mapInArrow(coded, "doc_id long, file int, n_tokens long, control binary, data binary")
+    ordered = records.repartitionById(files, "file").sortWithinPartitions("doc_id", "n_tokens", "control", "data")
     path = new_workdir(spark, "token-files")
     ordered.mapInArrow(place, RECORD).write.parquet(path)
     ranks = new_workdir(spark, "token-ranks")
