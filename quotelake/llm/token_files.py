@@ -35,7 +35,7 @@ from quotelake.llm.common import attach, ship_package, stage_table
 from quotelake.llm.text_slices import slices
 from quotelake.sources.workdir import new_workdir
 
-MEMORY_WORDS = 1_200_000
+MEMORY_WORDS = 400_000
 WORDS_PER_CALL = 512
 
 RECORD = "doc_id long, file int, n_tokens long, start long, control binary, data binary"
