@@ -19,7 +19,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     source.add_argument("--files", metavar="FOLDER", help="folder of topic files")
     parser.add_argument("--topic", default=kafka.DEFAULT_TOPIC)
     parser.add_argument("--starting", default="latest", help="offsets of the first start")
-    parser.add_argument("--offsets-per-trigger", type=int, default=kafka.OFFSETS_PER_TRIGGER)
+    parser.add_argument("--offsets-per-trigger", type=int)
     parser.add_argument("--files-per-trigger", type=int)
     parser.add_argument("--backfill", action="store_true", help="batches hold many days")
     parser.add_argument("--trigger", default=job.FACT_TRIGGER, help="processing-time interval")

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quotelake.operators.serving import daily_partials, time_order
+from quotelake.operators.serving import arrival_order, daily_partials, volume_sum
 
 
 def latest_quote(fact: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """``columns`` of each symbol's newest fact.
+    """``columns`` (of fixed width) of each symbol's newest fact.
 
     An aggregate rather than a window: it keeps one row per symbol on the map side,
-    so a hot symbol costs no more to shuffle than any other.
+    so a hot symbol costs no more to shuffle than any other. The order is one number, so
+    the aggregate hashes; a struct would make Spark sort every fact.
     """
-    order = time_order(fact)
-    newest = F.max(F.struct(*order, *[c for c in columns if c not in order]))
-    return fact.groupBy("symbol").agg(newest.alias("newest")).select(
-        "symbol", *[F.col(f"newest.{c}") for c in columns])
+    order = arrival_order(fact)
+    return fact.groupBy("symbol").agg(*[F.max_by(c, order).alias(c) for c in columns])
 
 
 def latest_price(fact: DataFrame) -> DataFrame:
@@ -26,31 +25,25 @@ def latest_price(fact: DataFrame) -> DataFrame:
 
 def price_trend(fact: DataFrame, bucket: str = "hour") -> DataFrame:
     """Average, low, high, first and last price per symbol and time bucket."""
-    stamp = F.struct(*time_order(fact), "price")
+    order = arrival_order(fact)
     at = F.date_trunc(bucket, "event_time").cast(fact.schema["event_time"].dataType)
-    return (
-        fact.groupBy("symbol", at.alias("bucket"))
-        .agg(
-            (F.sum("price").cast("double") / F.count("price")).alias("avg_price"),
-            F.min("price").alias("min_price"),
-            F.max("price").alias("max_price"),
-            F.min(stamp).alias("first"),
-            F.max(stamp).alias("last"),
-        )
-        .select("symbol", "bucket", "avg_price", "min_price", "max_price",
-                F.col("first.price").alias("first_price"),
-                F.col("last.price").alias("last_price"))
+    return fact.groupBy("symbol", at.alias("bucket")).agg(
+        (F.sum("price").cast("double") / F.count("price")).alias("avg_price"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        F.min_by("price", order).alias("first_price"),
+        F.max_by("price", order).alias("last_price"),
     )
 
 
 def volume_by_symbol(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("symbol").agg(F.sum("volume").alias("total_volume"))
+    return fact.groupBy("symbol").agg(volume_sum().alias("total_volume"))
 
 
 def volume_over_time(fact: DataFrame) -> DataFrame:
     """Volume per symbol and day with the running total of the symbol."""
     per_day = fact.groupBy("symbol", F.to_date("event_time").alias("trade_date")).agg(
-        F.sum("volume").alias("total_volume"))
+        volume_sum().alias("total_volume"))
     so_far = Window.partitionBy("symbol").orderBy("trade_date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return per_day.withColumn("running_volume", F.sum("total_volume").over(so_far))
@@ -77,7 +70,7 @@ def _per_symbol(fact: DataFrame) -> DataFrame:
     return fact.groupBy("symbol").agg(
         F.sum("change_percent").alias("sum_change_percent"),
         F.count("change_percent").alias("num_change_percent"),
-        F.sum("volume").alias("total_volume"),
+        volume_sum().alias("total_volume"),
         F.count("*").alias("num_transactions"),
     )
 
@@ -98,10 +91,12 @@ def sector_performance(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def sector_matrix(fact: DataFrame, dim: DataFrame, sectors: list[str]) -> DataFrame:
-    """One row per symbol, one column per sector: the average change percent."""
+    """One row per symbol, one column per sector: the average change percent. Sectors
+    outside the list, and none, are in the column ``other``."""
     joined = _per_symbol(fact).join(dim.select("symbol", "sector"), "symbol")
     average = F.col("sum_change_percent").cast("double") / F.col("num_change_percent")
-    return joined.groupBy("symbol").pivot("sector", sectors).agg(F.max(average))
+    named = joined.withColumn("sector", F.when(F.col("sector").isin(sectors), F.col("sector")).otherwise("other"))
+    return named.groupBy("symbol").pivot("sector", [*sectors, "other"]).agg(F.max(average))
 
 
 def risk_return(fact: DataFrame, digits: int = 6) -> DataFrame:

@@ -63,33 +63,52 @@ def latest_by_time(df: DataFrame, time_column: str, tie: str, n: int = 100) -> D
     return df.orderBy(F.col(time_column).desc_nulls_last(), F.col(tie).desc_nulls_last()).limit(n)
 
 
+def latest_stats(df: DataFrame, time_column: str, tie: str, column: str = "latency_ms",
+                 n: int = 100) -> DataFrame:
+    """Mean, maximum and minimum of a column over the n newest rows."""
+    return latest_by_time(df, time_column, tie, n).agg(
+        F.avg(column).alias("avg_latency_ms"), F.max(column).alias("max_latency_ms"),
+        F.min(column).alias("min_latency_ms"))
+
+
+def _before(counts: DataFrame, keys: list[str], level: str, name: str) -> DataFrame:
+    """Rows of a level with the sum of ``_n`` over the earlier ones of the same keys."""
+    earlier = Window.partitionBy(*keys).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy(*keys, level).agg(F.sum("_n").alias("_n"))
+    return sums.withColumn(name, F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], *added: str) -> DataFrame:
+    same = reduce(and_, [left[c].eqNullSafe(right[c]) for c in keys])
+    return left.join(right, same).select(left["*"], *(right[c] for c in added))
+
+
 def _ranked_values(df: DataFrame, column: str, by: tuple[str, ...], width: int) -> DataFrame:
     """Distinct values with their count, first rank and the group's total.
 
-    Rows are first counted per value, then the values per range of ``width``. Ranks
-    come from running counts over ranges and, inside each range, over its values, so
-    no task holds more than the ranges or one range's values, whatever the row count.
+    Rows are first counted per value, then the values per range of ``width`` and the
+    ranges per block of ``width`` ranges. Ranks come from running counts over blocks, over
+    the ranges of each block and over the values of each range, so no task holds more than
+    ``width`` ranges or values, whatever the row count; the last window has a row per
+    ``width`` squared of the spread.
     """
     # Nulls go by their count of 0 and the join is null-safe: a not-null filter on the
     # value would be pushed to the rows and compute the column a second time there.
     counts = df.groupBy(*by, F.col(column).alias("_v")).agg(F.count(column).alias("_n"))
     counts = counts.filter(F.col("_n") > 0).withColumn(
-        "_range", F.floor(F.col("_v") / F.lit(width)))
-
-    earlier_ranges = Window.partitionBy(*by).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1)
-    ranges = (
-        counts.groupBy(*by, "_range").agg(F.sum("_n").alias("_in_range"))
-        .withColumn("_before", F.coalesce(F.sum("_in_range").over(earlier_ranges), F.lit(0)))
-        .withColumn("_total", F.sum("_in_range").over(Window.partitionBy(*by)))
-        .drop("_in_range")
-    )
-    earlier_values = Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(
+        "_range", F.floor(F.col("_v") / F.lit(width))).withColumn(
+        "_block", F.floor(F.col("_range") / F.lit(width)))
+
+    keys = list(by)
+    blocks = _before(counts, keys, "_block", "_blocks_before").withColumn(
+        "_total", F.sum("_n").over(Window.partitionBy(*keys)))
+    ranges = _before(counts, [*keys, "_block"], "_range", "_ranges_before")
+    ranges = _joined(ranges, blocks, [*keys, "_block"], "_blocks_before", "_total")
+    earlier_values = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, -1)
-    start = F.col("_before") + F.coalesce(F.sum("_n").over(earlier_values), F.lit(0))
-    keys = [*by, "_range"]
-    same = reduce(and_, [counts[c].eqNullSafe(ranges[c]) for c in keys])
-    joined = counts.join(ranges, same).select(counts["*"], "_before", "_total")
+    start = (F.col("_blocks_before") + F.col("_ranges_before")
+             + F.coalesce(F.sum("_n").over(earlier_values), F.lit(0)))
+    joined = _joined(counts, ranges, [*keys, "_range"], "_blocks_before", "_ranges_before", "_total")
     return joined.withColumn("_start", start)
 
 

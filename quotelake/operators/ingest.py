@@ -38,12 +38,12 @@ def parse_quotes(messages: DataFrame, volume: T.DataType | None = None,
     return messages.select(*kept, F.inline(F.array(parsed)))
 
 
-def normalize_vendor(payloads: DataFrame) -> DataFrame:
-    """Vendor payload text -> message fields.
+def flag_vendor(payloads: DataFrame) -> DataFrame:
+    """Vendor payload text -> message fields, the payload and a reject reason.
 
     Input columns: symbol, payload (JSON text), fetched_at. An absent field takes its
     default, a payload without the root object is all defaults. A payload that is not
-    JSON, or a field that is present but not a number, drops the row.
+    JSON is ``payload_malformed``, a field that is present but not a number ``<field>_bad``.
     """
     schema = T.StructType([
         T.StructField(VENDOR_ROOT, T.MapType(T.StringType(), T.StringType())),
@@ -51,8 +51,7 @@ def normalize_vendor(payloads: DataFrame) -> DataFrame:
     ])
     document = F.from_json("payload", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
     opened = payloads.select(
-        F.trim("symbol").alias("symbol"), "fetched_at", F.inline(F.array(document))
-    ).filter(F.col("_corrupt_record").isNull())
+        F.trim("symbol").alias("symbol"), "payload", "fetched_at", F.inline(F.array(document)))
 
     fields = F.col(f"`{VENDOR_ROOT}`")
 
@@ -72,8 +71,23 @@ def normalize_vendor(payloads: DataFrame) -> DataFrame:
         F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"),
         F.col("symbol").alias("company_name"),
         F.lit(UNKNOWN_SECTOR).alias("sector"),
+        "payload", "_corrupt_record",
     )
-    return typed.dropna(subset=list(VENDOR_FIELDS))
+    reason = F.when(F.col("_corrupt_record").isNotNull(), "payload_malformed")
+    for name in VENDOR_FIELDS:
+        reason = reason.when(F.col(name).isNull(), f"{name}_bad")
+    return typed.withColumn("reject_reason", reason).drop("_corrupt_record")
+
+
+def normalize_vendor(payloads: DataFrame) -> DataFrame:
+    """The message fields of the payloads that are in order."""
+    return flag_vendor(payloads).filter(F.col("reject_reason").isNull()).drop("payload", "reject_reason")
+
+
+def quarantine_vendor(payloads: DataFrame) -> DataFrame:
+    """symbol, payload and reject_reason of the others."""
+    bad = flag_vendor(payloads).filter(F.col("reject_reason").isNotNull())
+    return bad.select("symbol", "payload", "reject_reason")
 
 
 def symbol_list(symbols_csv: str) -> list[str]:

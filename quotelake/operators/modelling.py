@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quotelake.operators.serving import packed_order
 from quotelake.schema import FACT_COLUMNS, SOURCE_COORDINATES
 
 
@@ -17,12 +18,27 @@ def fact_rows(clean: DataFrame) -> DataFrame:
     return clean.select(source_id().alias("id"), *FACT_COLUMNS, *SOURCE_COORDINATES)
 
 
-def dim_first_seen(quotes: DataFrame, order: tuple[str, ...] = ("event_time", "id")) -> DataFrame:
+def first_quotes(quotes: DataFrame, order: tuple[str, str] = ("event_time", "id"),
+                 changed_at: str = "processing_time") -> DataFrame:
+    """Each symbol's earliest quote: its names, its ``changed_at`` as updated_at, its order.
+
+    Raw rows meet fixed-width aggregates only, per symbol and names; the choice among a
+    symbol's few names follows. The result can be folded with that of other rows.
+    """
+    time, tie = order
+    at = packed_order(F.col(time), F.col(tie))
+    named = quotes.groupBy("symbol", "company_name", "sector").agg(
+        F.min(at).alias("at"), F.min_by(changed_at, at).alias("updated_at"),
+        F.min_by(time, at).alias(time), F.min_by(tie, at).alias(tie))
+    first = F.min(F.struct("at", "company_name", "sector", "updated_at", time, tie))
+    return named.groupBy("symbol").agg(first.alias("first")).select(
+        "symbol", "first.company_name", "first.sector", "first.updated_at", f"first.{time}", f"first.{tie}")
+
+
+def dim_first_seen(quotes: DataFrame, order: tuple[str, str] = ("event_time", "id"),
+                   changed_at: str = "processing_time") -> DataFrame:
     """One row per symbol, taken from its earliest quote."""
-    first = F.min(F.struct(*order, "company_name", "sector"))
-    return quotes.groupBy("symbol").agg(first.alias("first")).select(
-        "symbol", "first.company_name", "first.sector",
-    )
+    return first_quotes(quotes, order, changed_at).drop(*order)
 
 
 def dim_rows(quotes: DataFrame, changed_at: str = "processing_time",
@@ -51,11 +67,18 @@ def merge_dim(changes: DataFrame) -> DataFrame:
 
     The row with the latest (event time, offset) wins and created_at stays the earliest,
     so the fold gives the same dimension for any order, grouping or repeat of batches.
+    Rows are first reduced per symbol, names and change time, which is one for a whole
+    batch, by fixed-width aggregates: no raw row is sorted.
     """
+    at = packed_order(F.col("last_event_time"), F.col("last_offset"))
+    reduced = changes.groupBy("symbol", "company_name", "sector", "updated_at").agg(
+        F.max_by("last_event_time", at).alias("last_event_time"),
+        F.max_by("last_offset", at).alias("last_offset"),
+        F.min("created_at").alias("created_at"))
     latest = F.max(F.struct(
         "last_event_time", "last_offset", "updated_at", "company_name", "sector"))
     return (
-        changes.groupBy("symbol")
+        reduced.groupBy("symbol")
         .agg(latest.alias("latest"), F.min("created_at").alias("created_at"))
         .select(
             "symbol", "latest.company_name", "latest.sector", "created_at",

@@ -9,10 +9,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 DAILY_KEYS = ("symbol", "trade_date")
 
 
-def _instant(as_of: Column | datetime | None) -> Column:
-    if as_of is None:
-        return F.current_timestamp()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of)
+def since(span: str, as_of: DataFrame | datetime | None) -> Column:
+    """``span`` before ``as_of``: a time, now, or the only value of a one-row frame.
+
+    The span is taken off inside the subquery: a bare subquery result is pushed to the
+    scan as a bound, arithmetic on it is not.
+    """
+    interval = F.expr(f"INTERVAL {span}")
+    if isinstance(as_of, DataFrame):
+        return as_of.select(F.col(as_of.columns[0]) - interval).scalar()
+    return (F.current_timestamp() if as_of is None else F.lit(as_of)) - interval
+
+
+def volume_sum(name: str = "volume") -> Column:
+    """Sum of volumes, as a decimal: honest volumes exceed 64 bits in the end."""
+    return F.sum(F.col(name).cast("decimal(38,0)"))
 
 
 def daily_partials(fact: DataFrame, zero_as_null: bool = False, *extra: Column) -> DataFrame:
@@ -29,7 +40,7 @@ def daily_partials(fact: DataFrame, zero_as_null: bool = False, *extra: Column)
         F.sum("price").alias("sum_price"),
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
-        F.sum("volume").alias("total_volume"),
+        volume_sum().alias("total_volume"),
         F.max(bound("day_high")).alias("highest_day_high"),
         F.min(bound("day_low")).alias("lowest_day_low"),
         *extra,
@@ -73,7 +84,7 @@ def symbol_totals(fact: DataFrame) -> DataFrame:
     """Average price and total volume per symbol."""
     return fact.groupBy("symbol").agg(
         (F.sum("price").cast("double") / F.count("price")).alias("avg_price"),
-        F.sum("volume").alias("total_volume"),
+        volume_sum().alias("total_volume"),
     )
 
 
@@ -81,16 +92,19 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n"))
 
 
-def recent(fact: DataFrame, span: str = "1 HOUR", as_of: Column | datetime | None = None) -> DataFrame:
+def recent(fact: DataFrame, span: str = "1 HOUR",
+           as_of: DataFrame | datetime | None = None) -> DataFrame:
     """Facts of the last ``span`` before ``as_of`` (now by default).
 
-    event_time stays bare on its side of the comparison, so the bound reaches the scan;
-    a table partitioned by event_date is also pruned to the dates in question.
+    event_time stays bare on its side of the comparison, so the bound reaches the scan:
+    with times stored as micros (a setting of ``quotelake.session``) it skips row groups. A
+    table partitioned by event_date is also pruned to the dates in question. Columns of
+    type timestamp_ntz get no such bound from Spark.
     """
-    since = _instant(as_of) - F.expr(f"INTERVAL {span}")
-    found = fact.filter(F.col("event_time") >= since)
+    start = since(span, as_of)
+    found = fact.filter(F.col("event_time") >= start)
     if "event_date" in fact.columns:
-        found = found.filter(F.col("event_date") >= F.to_date(since))
+        found = found.filter(F.col("event_date") >= F.to_date(start))
     return found
 
 
@@ -105,7 +119,7 @@ def with_dim(fact: DataFrame, dim: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def dashboard(fact: DataFrame, dim: DataFrame, span: str = "1 HOUR",
-              as_of: Column | datetime | None = None) -> DataFrame:
+              as_of: DataFrame | datetime | None = None) -> DataFrame:
     """Recent facts with company and sector, newest first."""
     joined = with_dim(recent(fact, span, as_of), dim, ["company_name", "sector"])
     return joined.select(*fact.columns, "company_name", "sector").orderBy(
@@ -113,7 +127,7 @@ def dashboard(fact: DataFrame, dim: DataFrame, span: str = "1 HOUR",
 
 
 def recent_with_company(fact: DataFrame, dim: DataFrame, span: str = "1 DAY",
-                        as_of: Column | datetime | None = None) -> DataFrame:
+                        as_of: DataFrame | datetime | None = None) -> DataFrame:
     """Recent facts with their company name."""
     joined = with_dim(recent(fact, span, as_of), dim, ["company_name"])
     return joined.select(*fact.columns, "company_name")
@@ -128,14 +142,32 @@ def time_order(fact: DataFrame) -> list[str]:
     return ["event_time", *(c for c in ("offset", "id") if c in fact.columns)]
 
 
+def packed_order(time: Column, tie: Column) -> Column:
+    """A time and a 64-bit number as one decimal of the same order, which aggregates on
+    fixed-width buffers can compare."""
+    micros = F.unix_micros(time.cast("timestamp")).cast("decimal(18,0)")
+    return (micros * F.lit(str(2 ** 64)).cast("decimal(20,0)")).cast("decimal(38,0)") + tie.cast("decimal(19,0)")
+
+
+def arrival_order(fact: DataFrame) -> Column:
+    """``time_order`` as one number. Facts of one symbol, time and offset are one message."""
+    _, tie, *_ = time_order(fact)
+    return packed_order(F.col("event_time"), F.col(tie))
+
+
 def newest(fact: DataFrame, n: int = 1000) -> DataFrame:
     """The n newest facts."""
     return fact.orderBy(*[F.col(c).desc_nulls_last() for c in time_order(fact)]).limit(n)
 
 
-def register_views(spark, fact: DataFrame, dim: DataFrame) -> None:
-    """Temp views under the warehouse's table and view names, for SQL users."""
+def register_views(spark, fact: DataFrame, dim: DataFrame, daily: DataFrame) -> None:
+    """Temp views under the warehouse's table and view names, for SQL users.
+
+    ``daily`` is the stored summary (``tables.read_daily``), which the stream keeps up to
+    date, so that a day's figures cost no scan of facts.
+    """
+    # Names that existing SQL uses.
     fact.createOrReplaceTempView("fact_stock_prices")
     dim.createOrReplaceTempView("dim_stock")
-    daily_summary(fact).createOrReplaceTempView("mv_daily_stock_summary")
+    daily.createOrReplaceTempView("mv_daily_stock_summary")
     dashboard(fact, dim).createOrReplaceTempView("vw_realtime_stock_dashboard")

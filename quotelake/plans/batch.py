@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quotelake.functions import latency_ms, whole_second_latency_ms
 from quotelake.operators import analytics, cleaning, health, ingest, modelling, serving
@@ -47,8 +47,8 @@ def _dim(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _known_dim(spark: SparkSession, sf: str) -> DataFrame:
-    """A dimension that lacks one sector's symbols."""
-    return _dim(spark, sf).filter(F.col("sector") != "MACHINERY")
+    """A dimension that lacks many of the quoted symbols: there are fewer suppliers than users."""
+    return frames.supplier_dim(frames.table(spark, sf, "supplier"))
 
 
 def _part_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,8 +59,8 @@ def _parsed(spark: SparkSession, sf: str, **options) -> DataFrame:
     return ingest.parse_quotes(frames.messages(_events(spark, sf)), **options)
 
 
-def _last_event(fact: DataFrame) -> Column:
-    return fact.agg(F.max("event_time")).scalar()
+def _last_event(fact: DataFrame) -> DataFrame:
+    return fact.agg(F.max("event_time"))
 
 
 def _zoneless(df: DataFrame, *columns: str) -> DataFrame:
@@ -80,11 +80,13 @@ fact AS (
   FROM p)"""
 DIM_SQL = """dim AS (SELECT 'S' || c_custkey AS symbol, c_name AS company_name,
   c_mktsegment AS sector FROM customer)"""
+KNOWN_SQL = """known AS (SELECT 'S' || s_suppkey AS symbol, s_name AS company_name,
+  'Nation ' || s_nationkey AS sector FROM supplier)"""
 DAILY_SQL = """daily AS (
   SELECT symbol, CAST(event_time AS DATE) AS trade_date, count(*) AS num_transactions,
     CAST(sum(price) AS DOUBLE) / count(*) AS avg_price,
     max(price) AS max_price, min(price) AS min_price,
-    CAST(sum(volume) AS BIGINT) AS total_volume,
+    CAST(sum(volume) AS DECIMAL(38,0)) AS total_volume,
     max(day_high) AS highest_day_high, min(day_low) AS lowest_day_low
   FROM fact GROUP BY ALL)"""
 LATEST_SQL = """latest AS (
@@ -180,6 +182,14 @@ def normalize_vendor(spark, sf):
     return ingest.normalize_vendor(frames.vendor_payloads(_events(spark, sf)))
 
 
+@query(f"""WITH {WITH_K}
+SELECT 'S' || user_id AS symbol,
+  CASE k WHEN 4 THEN 'payload_malformed' ELSE 'price_bad' END AS reject_reason
+FROM k WHERE k IN (4, 5)""")
+def quarantine_vendor(spark, sf):
+    return ingest.quarantine_vendor(frames.vendor_payloads(_events(spark, sf))).drop("payload")
+
+
 @query(f"""WITH {FACT_SQL}
 SELECT * FROM fact WHERE symbol IN ('S1', 'S2', 'S3', 'S5', 'S8', 'S13')""")
 def symbol_filter(spark, sf):
@@ -212,28 +222,33 @@ NAMED_SQL = """named AS (SELECT event_id AS id, 'S' || user_id AS symbol,
 
 
 @query(f"""WITH {NAMED_SQL}
-SELECT symbol, company_name, sector FROM named
+SELECT symbol, company_name, sector, event_time AS updated_at FROM named
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time, id) = 1""")
 def dim_first_seen(spark, sf):
-    return modelling.dim_first_seen(frames.named_quotes(_events(spark, sf)))
+    return modelling.dim_first_seen(
+        frames.named_quotes(_events(spark, sf)), changed_at="event_time")
 
 
-@query(f"""WITH {NAMED_SQL}, {DIM_SQL},
+@query(f"""WITH {NAMED_SQL}, {KNOWN_SQL},
 rows AS (
-  SELECT symbol, company_name, sector, TIMESTAMP '2023-12-01 00:00:00' AS changed_at, -1 AS arrival
-  FROM dim WHERE sector <> 'MACHINERY'
-  UNION ALL SELECT symbol, company_name, sector, event_time, id FROM named)
+  SELECT symbol, company_name, sector, TIMESTAMP '2023-12-01 00:00:00' AS event_time,
+    TIMESTAMP '2023-12-01 00:00:00' AS changed_at, -1 AS arrival FROM known
+  UNION ALL
+  SELECT symbol, company_name, sector, event_time, TIMESTAMP '2024-02-01 00:00:00', id FROM named)
 SELECT symbol, company_name, sector,
   min(changed_at) OVER (PARTITION BY symbol) AS created_at, changed_at AS updated_at
 FROM rows
-QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY changed_at DESC, arrival DESC) = 1""")
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time DESC, arrival DESC) = 1""")
 def dim_upsert(spark, sf):
+    """One batch of quotes, loaded at one time, into a dimension that is there."""
     start = F.lit("2023-12-01 00:00:00").cast("timestamp_ntz")
+    loaded = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
     known = _known_dim(spark, sf).select(
         "*", start.alias("created_at"), start.alias("updated_at"),
         start.alias("last_event_time"), F.lit(-1).cast("bigint").alias("last_offset"))
     changes = modelling.dim_rows(
-        frames.named_quotes(_events(spark, sf)), changed_at="event_time", arrival="id")
+        frames.named_quotes(_events(spark, sf)).withColumn("loaded", loaded),
+        changed_at="loaded", arrival="id")
     return modelling.dim_upsert(known, changes).drop("last_event_time", "last_offset")
 
 
@@ -244,14 +259,14 @@ def fact_rows(spark, sf):
         facts.drop("id", "processing_time", "load_time", "topic", "partition"), "event_time")
 
 
-@query(f"""WITH {FACT_SQL}, {DIM_SQL}
-SELECT * FROM fact WHERE symbol IN (SELECT symbol FROM dim WHERE sector <> 'MACHINERY')""")
+@query(f"""WITH {FACT_SQL}, {KNOWN_SQL}
+SELECT * FROM fact WHERE symbol IN (SELECT symbol FROM known)""")
 def fact_admitted(spark, sf):
     return modelling.fact_admitted(_fact(spark, sf), _known_dim(spark, sf))
 
 
-@query(f"""WITH {FACT_SQL}, {DIM_SQL}
-SELECT * FROM fact WHERE symbol NOT IN (SELECT symbol FROM dim WHERE sector <> 'MACHINERY')""")
+@query(f"""WITH {FACT_SQL}, {KNOWN_SQL}
+SELECT * FROM fact WHERE symbol NOT IN (SELECT symbol FROM known)""")
 def fact_orphans(spark, sf):
     return modelling.fact_orphans(_fact(spark, sf), _known_dim(spark, sf))
 
@@ -293,14 +308,14 @@ def daily_summary_parts(spark, sf):
 
 @query(f"""WITH {FACT_SQL}
 SELECT symbol, CAST(sum(price) AS DOUBLE) / count(price) AS avg_price,
-  CAST(sum(volume) AS BIGINT) AS total_volume FROM fact GROUP BY symbol""")
+  CAST(sum(volume) AS DECIMAL(38,0)) AS total_volume FROM fact GROUP BY symbol""")
 def symbol_totals(spark, sf):
     return serving.symbol_totals(_fact(spark, sf))
 
 
 @query(f"""WITH {PART_FACT_SQL}
 SELECT symbol, CAST(sum(price) AS DOUBLE) / count(price) AS avg_price,
-  CAST(sum(volume) AS BIGINT) AS total_volume FROM fact GROUP BY symbol""")
+  CAST(sum(volume) AS DECIMAL(38,0)) AS total_volume FROM fact GROUP BY symbol""")
 def symbol_totals_parts(spark, sf):
     return serving.symbol_totals(_part_fact(spark, sf))
 
@@ -354,14 +369,14 @@ def latest_price(spark, sf):
 
 
 @query(f"""WITH {FACT_SQL}
-SELECT symbol, CAST(sum(volume) AS BIGINT) AS total_volume FROM fact GROUP BY symbol""")
+SELECT symbol, CAST(sum(volume) AS DECIMAL(38,0)) AS total_volume FROM fact GROUP BY symbol""")
 def volume_by_symbol(spark, sf):
     return analytics.volume_by_symbol(_fact(spark, sf))
 
 
 @query(f"""WITH {FACT_SQL}, {DAILY_SQL}
 SELECT symbol, trade_date, total_volume,
-  CAST(sum(total_volume) OVER (PARTITION BY symbol ORDER BY trade_date) AS BIGINT)
+  CAST(sum(total_volume) OVER (PARTITION BY symbol ORDER BY trade_date) AS DECIMAL(38,0))
     AS running_volume
 FROM daily""")
 def volume_over_time(spark, sf):
@@ -369,7 +384,7 @@ def volume_over_time(spark, sf):
 
 
 @query(f"""WITH {FACT_SQL}, v AS (
-  SELECT symbol, CAST(sum(volume) AS BIGINT) AS total_volume FROM fact GROUP BY symbol)
+  SELECT symbol, CAST(sum(volume) AS DECIMAL(38,0)) AS total_volume FROM fact GROUP BY symbol)
 SELECT symbol, total_volume,
   CAST(total_volume AS DOUBLE) / (SELECT CAST(sum(total_volume) AS DOUBLE) FROM v) AS share
 FROM v""")
@@ -385,20 +400,22 @@ def sector_distribution(spark, sf):
 
 
 SECTOR_COLUMNS = ", ".join(
-    f"max(CASE WHEN sector = '{s}' THEN average END) AS \"{s}\"" for s in SECTORS)
+    f"max(CASE WHEN sector = '{s}' THEN average END) AS \"{s}\"" for s in SECTORS[:-1])
 
 
 @query(f"""WITH {FACT_SQL}, {DIM_SQL}, s AS (
   SELECT symbol, sector, CAST(sum(change_percent) AS DOUBLE) / count(change_percent) AS average
   FROM fact JOIN dim USING (symbol) GROUP BY ALL)
-SELECT symbol, {SECTOR_COLUMNS} FROM s GROUP BY symbol""")
+SELECT symbol, {SECTOR_COLUMNS}, max(CASE WHEN sector = '{SECTORS[-1]}' THEN average END) AS other
+FROM s GROUP BY symbol""")
 def sector_matrix(spark, sf):
-    return analytics.sector_matrix(_fact(spark, sf), _dim(spark, sf), SECTORS)
+    """A column for each sector but one, which is in ``other``."""
+    return analytics.sector_matrix(_fact(spark, sf), _dim(spark, sf), SECTORS[:-1])
 
 
 SECTOR_PERFORMANCE_SQL = """
 SELECT sector, CAST(sum(change_percent) AS DOUBLE) / count(change_percent) AS avg_change_percent,
-  CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS num_transactions
+  CAST(sum(volume) AS DECIMAL(38,0)) AS total_volume, count(*) AS num_transactions
 FROM fact JOIN dim USING (symbol) GROUP BY sector"""
 
 
@@ -509,6 +526,18 @@ def latency_latest_100(spark, sf):
     return _zoneless(health.latest_by_time(rows, "event_time", "id"), "event_time", "processing_time")
 
 
+@query(f"""WITH {LATENCY_SQL}, newest AS (
+  SELECT (epoch(date_trunc('second', processing_time)) - epoch(date_trunc('second', event_time)))::BIGINT
+    * 1000 AS latency_ms FROM lat ORDER BY event_time DESC, id DESC LIMIT 100)
+SELECT avg(latency_ms) AS avg_latency_ms, max(latency_ms) AS max_latency_ms,
+  min(latency_ms) AS min_latency_ms FROM newest""")
+def latency_latest_100_stats(spark, sf):
+    rows = frames.latencies(_events(spark, sf)).select(
+        "id", "event_time",
+        whole_second_latency_ms(F.col("event_time"), F.col("processing_time")).alias("latency_ms"))
+    return health.latest_stats(rows, "event_time", "id")
+
+
 LATENCY_STATS_SQL = """CAST(sum(latency_ms) AS DOUBLE) / count(*) AS avg_latency_ms,
   round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms,
   round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms,

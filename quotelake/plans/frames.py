@@ -66,6 +66,15 @@ def dim(customers: DataFrame) -> DataFrame:
     )
 
 
+def supplier_dim(suppliers: DataFrame) -> DataFrame:
+    """supplier -> dimension with the nation as sector."""
+    return suppliers.select(
+        _symbol("s_suppkey").alias("symbol"),
+        F.col("s_name").alias("company_name"),
+        F.concat(F.lit("Nation "), F.col("s_nationkey").cast("string")).alias("sector"),
+    )
+
+
 def part_quotes(lineitem: DataFrame) -> DataFrame:
     """lineitem -> facts with one symbol per part, for runs on more rows."""
     return lineitem.select(

@@ -50,6 +50,9 @@ TOPIC = T.StructType([
 ])
 SOURCE_COORDINATES = ("topic", "partition", "offset")
 
+# Partition of messages whose source numbers no rows; their offset is a hash.
+NO_PARTITION = -1
+
 # Columns of the fact table, in order.
 FACT_MEASURES = ("price", "volume", "day_high", "day_low", "change", "change_percent")
 FACT_COLUMNS = ("symbol", *FACT_MEASURES, "event_time", "processing_time", "load_time")
@@ -88,6 +91,15 @@ DIM = T.StructType([
     T.StructField("last_offset", T.LongType()),
 ])
 
+FIRST_SEEN = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("company_name", T.StringType()),
+    T.StructField("sector", T.StringType()),
+    T.StructField("updated_at", T.TimestampType()),
+    T.StructField("event_time", T.TimestampType()),
+    T.StructField("offset", T.LongType()),
+])
+
 DAILY_PARTIAL = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("trade_date", T.DateType()),
@@ -95,7 +107,7 @@ DAILY_PARTIAL = T.StructType([
     T.StructField("sum_price", T.DecimalType(38, 2)),
     T.StructField("max_price", MONEY),
     T.StructField("min_price", MONEY),
-    T.StructField("total_volume", T.LongType()),
+    T.StructField("total_volume", T.DecimalType(38, 0)),
     T.StructField("highest_day_high", MONEY),
     T.StructField("lowest_day_low", MONEY),
     T.StructField("load_time", T.TimestampType()),

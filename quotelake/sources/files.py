@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotelake.schema import TOPIC
+from quotelake.schema import NO_PARTITION, TOPIC
 
 
 def read_topic_files(spark: SparkSession, path: str) -> DataFrame:
@@ -30,14 +30,14 @@ def stream_text_files(spark: SparkSession, path: str, files_per_trigger: int | N
     """Stream of JSON-lines files in topic layout.
 
     Text has no row number, so the coordinates of a message are its file and the hash
-    of its text; equal lines of one file share them.
+    of its text; equal lines of one file share them, which the partition tells.
     """
     limits = _admission(files_per_trigger, bytes_per_trigger)
     return spark.readStream.options(**limits).text(path).select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.col("_metadata.file_path").alias("topic"),
-        F.lit(0).alias("partition"),
+        F.lit(NO_PARTITION).alias("partition"),
         F.xxhash64("value").alias("offset"),
         F.col("_metadata.file_modification_time").alias("timestamp"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quotelake.operators.cleaning import accepted, flag_quotes, rejected
 from quotelake.operators.health import WINDOW_SECONDS, throughput_windows
 from quotelake.operators.ingest import parse_quotes
-from quotelake.operators.modelling import dim_changes, fact_rows
+from quotelake.operators.modelling import dim_changes, fact_rows, first_quotes
 from quotelake.operators.serving import daily_partials
 from quotelake.streaming.tables import Tables, write_batch
 
@@ -91,6 +91,20 @@ def start_star_job(messages: DataFrame, tables: Tables, checkpoint: str,
     return (writer.queryName(name) if name else writer).start()
 
 
+def start_first_seen_job(clean: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Keep each symbol's first quote in a table of batch directories.
+
+    A batch is reduced to a row per symbol before its shuffle and readers fold the batches,
+    so no row of a hot symbol is shuffled and there is no state to grow.
+    """
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        first = first_quotes(batch, ("event_time", "offset"))
+        write_batch(first, path, stream_query_id(batch.sparkSession), batch_id)
+
+    return (clean.writeStream.foreachBatch(run_batch).trigger(**trigger)
+            .option("checkpointLocation", checkpoint).start())
+
+
 def start_throughput_job(messages: DataFrame, path: str, checkpoint: str, trigger: dict,
                          time_column: str = "timestamp", delay: str | None = None,
                          seconds: int = WINDOW_SECONDS) -> StreamingQuery:

@@ -8,27 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 from quotelake.operators.health import WINDOW_SECONDS, throughput_windows
 from quotelake.operators.serving import with_dim
 
-# Sub-groups a symbol is spread over before its first quote is chosen.
-FIRST_SEEN_SALTS = 32
-
-
-def first_seen_stream(quotes: DataFrame, salts: int = FIRST_SEEN_SALTS) -> DataFrame:
-    """Each symbol once per checkpoint lifetime, with the attributes of the quote chosen.
-
-    A stream's dropDuplicates shuffles every row to its key's task. Rows are first
-    deduplicated per (symbol, salt), so the quotes of a hot symbol spread over
-    ``salts`` tasks and at most that many reach the second step in its lifetime.
-    State grows with the number of symbols; it is never dropped.
-    """
-    salt = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(salts))
-    return (
-        quotes.select("symbol", "company_name", "sector", salt.alias("salt"))
-        .dropDuplicates(["symbol", "salt"])
-        .drop("salt")
-        .dropDuplicates(["symbol"])
-    )
-
-
 def first_seen_within(quotes: DataFrame, delay: str) -> DataFrame:
     """First-seen symbols with state bounded by a watermark: a symbol may come again later."""
     return (

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quotelake import schema
-from quotelake.operators.modelling import merge_dim
+from quotelake.operators.modelling import first_quotes, merge_dim
 from quotelake.operators.serving import daily_partials, finish_daily, merge_daily
 
 
@@ -97,16 +97,24 @@ def read_daily(spark: SparkSession, tables: Tables) -> DataFrame:
     return finish_daily(merge_daily(_without_deleted(partials, tables)))
 
 
+def read_first_seen(spark: SparkSession, path: str) -> DataFrame:
+    """Each symbol's first quote, folded from what each batch saw first."""
+    rows = _scan(spark, path, schema.FIRST_SEEN)
+    return first_quotes(rows, ("event_time", "offset"), "updated_at").drop("event_time", "offset")
+
+
 def read_quarantine(spark: SparkSession, tables: Tables) -> DataFrame:
     return _scan(spark, tables.quarantine, schema.QUARANTINE).drop("query_id", "batch_id")
 
 
 def read_throughput(spark: SparkSession, path: str) -> DataFrame:
-    """Rows per window: the last, so highest, count each query wrote, over all queries."""
+    """Rows per window: the last, so highest, count written.
+
+    Counts of different queries are not added: a query that replaces one whose checkpoint
+    was lost reads, and counts, the topic again.
+    """
     written = _scan(spark, path, schema.THROUGHPUT)
-    last = written.groupBy("query_id", "window_start", "window_end").agg(
-        F.max("records").alias("records"))
-    return last.groupBy("window_start", "window_end").agg(F.sum("records").alias("records"))
+    return written.groupBy("window_start", "window_end").agg(F.max("records").alias("records"))
 
 
 def delete_symbol_rows(spark: SparkSession, tables: Tables, symbol: str) -> None:
@@ -121,24 +129,28 @@ def delete_symbol_rows(spark: SparkSession, tables: Tables, symbol: str) -> None
 
 
 def rewrite_tables(spark: SparkSession, source: Tables, target: Tables,
-                   drop_repeated_offsets: bool = False) -> Tables:
+                   drop_repeated_offsets: bool = False, zero_as_null: bool = False) -> Tables:
     """Copy the tables into a new root, many small batch directories becoming one.
 
     Run it while no stream writes to the source, which stays as it was. Files are
     balanced by date with hot dates split and sorted by symbol and time, so that a scan
     for a symbol skips row groups; deletes are applied and batches folded.
     ``drop_repeated_offsets`` also removes messages a second query read again from the
-    start of the topic; it shuffles every fact, so it is off by default.
+    start of the topic; it shuffles every fact, so it is off by default. Messages without
+    an offset (partition ``schema.NO_PARTITION``, from text files) all stay: equal ones
+    may be quotes of their own. ``zero_as_null`` must be what the job was started with.
     """
     facts = read_fact(spark, source)
     if drop_repeated_offsets:
-        facts = facts.dropDuplicates(list(schema.SOURCE_COORDINATES))
+        numbered = F.col("partition") != schema.NO_PARTITION
+        facts = facts.filter(numbered).dropDuplicates(list(schema.SOURCE_COORDINATES)).unionByName(
+            facts.filter(~numbered))
     facts = facts.hint("rebalance", "event_date").sortWithinPartitions(
         "event_date", "symbol", "event_time")
     write_batch(facts, target.fact, "base", 0, ("event_date",))
     write_batch(read_dim(spark, source), target.dim, "base", 0)
     if drop_repeated_offsets:
-        partials = daily_partials(read_fact(spark, target))
+        partials = daily_partials(read_fact(spark, target), zero_as_null)
     else:
         rows = _scan(spark, source.daily, schema.DAILY_PARTIAL)
         partials = merge_daily(_without_deleted(rows, source))

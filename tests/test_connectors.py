@@ -10,13 +10,14 @@ from quotelake.sources import jdbc, kafka, workdir
 from quotelake.streaming import job
 
 
+# The connectors' option names and values here are fixed.
+
 def test_kafka_source_options():
     options = kafka.source_options("broker:9092", **{"kafka.security.protocol": "SSL"})
     assert options == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "stock_prices",
         "startingOffsets": "latest", "failOnDataLoss": "false",
-        "kafka.isolation.level": "read_committed", "maxOffsetsPerTrigger": "1000000",
-        "kafka.security.protocol": "SSL"}
+        "kafka.isolation.level": "read_committed", "kafka.security.protocol": "SSL"}
     assert kafka.source_options("b", offsets_per_trigger=1000)["maxOffsetsPerTrigger"] == "1000"
     assert "maxOffsetsPerTrigger" not in kafka.source_options("b", offsets_per_trigger=None)
     assert kafka.source_options("b", starting="earliest")["startingOffsets"] == "earliest"
@@ -47,7 +48,7 @@ def test_jdbc_write_options():
         "driver": "org.postgresql.Driver", "stringtype": "unspecified",
         "reWriteBatchedInserts": "true", "dbtable": "fact_stock_prices",
         "batchsize": "500", "numPartitions": "4"}
-    assert jdbc.write_options(db, "t")["batchsize"] == "1000"
+    assert jdbc.write_options(db, "t", connections=1)["batchsize"] == "1000"
     assert "secret" not in repr(db)
 
 
@@ -58,22 +59,27 @@ def test_jdbc_partitioned_read_options():
     assert "partitionColumn" not in jdbc.read_options(db, "t")
 
 
-def test_database_gets_new_symbols_before_facts(spark, events, monkeypatch):
-    flagged = job.flag_messages(frames.messages(events))
-    clean = cleaning.accepted(flagged)
-    changes = modelling.dim_changes(clean)
-    facts = modelling.fact_rows(clean)
-    known = spark.createDataFrame(
-        changes.orderBy("symbol").limit(3).select("symbol").collect(), "symbol string")
-    written = []
-    monkeypatch.setattr(jdbc, "scan", lambda session, options: known)
-    monkeypatch.setattr(jdbc, "append", lambda df, options: written.append(
-        (options["dbtable"], options["batchsize"], df.columns, df.count())))
-    jdbc.star_sink(jdbc.postgres("h", "d", "u", "p"), batch_rows=50)(changes, facts)
-    assert written == [
-        ("dim_stock", "50", ["symbol", "company_name", "sector", "created_at", "updated_at"],
-         changes.count() - 3),
-        ("fact_stock_prices", "50", list(FACT_COLUMNS), facts.count())]
+def test_database_gets_symbols_merged_before_facts(spark, events, monkeypatch):
+    clean = cleaning.accepted(job.flag_messages(frames.messages(events)))
+    changes, facts = modelling.dim_changes(clean), modelling.fact_rows(clean)
+    done = []
+    monkeypatch.setattr(jdbc, "replace", lambda df, options: done.append(
+        (options["dbtable"], options["truncate"], options["numPartitions"], df.columns, df.count())))
+    monkeypatch.setattr(jdbc, "append", lambda df, options: done.append(
+        (options["dbtable"], options["batchsize"], options["numPartitions"], df.columns, df.count())))
+    jdbc.star_sink(jdbc.postgres("h", "d", "u", "p"), 16, done.append, batch_rows=50)(changes, facts)
+    assert done == [
+        ("dim_stock_staging", "true", "16", list(jdbc.DIM_COLUMNS), changes.count()),
+        jdbc.merge_statement(),
+        ("fact_stock_prices", "50", "16", list(FACT_COLUMNS), facts.count())]
+
+
+def test_merge_updates_known_symbols_and_keeps_their_creation():
+    text = jdbc.merge_statement("d", "s")
+    assert text.startswith("INSERT INTO d (symbol, company_name, sector, created_at, updated_at) SELECT ")
+    update = text.split("DO UPDATE SET ")[1]
+    assert "company_name = excluded.company_name" in update and "sector = excluded.sector" in update
+    assert "created_at" not in update and "d.updated_at <= excluded.updated_at" in update
 
 
 class Conf(dict):

@@ -33,7 +33,8 @@ def test_first_seen_takes_earliest(spark):
             ("B", "b", "x", at(3), 2)]
     df = spark.createDataFrame(
         rows, "symbol string, company_name string, sector string, event_time timestamp, id long")
-    assert as_set(modelling.dim_first_seen(df)) == {("A", "old", "y"), ("B", "b", "x")}
+    assert as_set(modelling.dim_first_seen(df, changed_at="event_time")) == {
+        ("A", "old", "y", at(1)), ("B", "b", "x", at(3))}
 
 
 def test_upsert_updates_inserts_and_keeps_created_at(spark):

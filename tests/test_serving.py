@@ -62,11 +62,10 @@ def test_views_answer_sql(spark):
     now = spark.sql("select current_timestamp() t").first().t
     df = fact(spark, ("A", 2, 1, 1, 1, 1, now - timedelta(minutes=1)))
     dim = spark.createDataFrame([("A", "Alpha", "Tech")], "symbol string, company_name string, sector string")
-    serving.register_views(spark, df, dim)
+    serving.register_views(spark, df, dim, serving.daily_summary(df))
     assert spark.sql("SELECT * FROM vw_realtime_stock_dashboard").count() == 1
     assert spark.sql("SELECT num_transactions FROM mv_daily_stock_summary").first()[0] == 1
-    assert spark.sql("SELECT f.*, s.company_name FROM fact_stock_prices f JOIN dim_stock s "
-                     "ON f.symbol = s.symbol WHERE f.event_time >= NOW() - INTERVAL '1 day'").count() == 1
+    assert spark.sql("SELECT count(*) FROM dim_stock NATURAL JOIN fact_stock_prices").first()[0] == 1
 
 
 def test_time_bound_reaches_the_scan(spark, tmp_path):
@@ -80,6 +79,32 @@ def test_time_bound_reaches_the_scan(spark, tmp_path):
     assert serving.recent(stored).count() == 0
 
 
+def rows_read(df):
+    """Rows that the scan of a plan without shuffles gave out."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_time_bounds_skip_row_groups(spark, tmp_path):
+    quotes = spark.range(100_000).select(
+        "id", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("event_time"))
+    quotes.coalesce(1).write.option("parquet.block.size", 64 * 1024).parquet(f"{tmp_path}/fact")
+    stored = spark.read.parquet(f"{tmp_path}/fact")
+    assert rows_read(serving.recent(stored, "1 HOUR", datetime(2023, 11, 16, 2, 0))) < 50_000
+    last = stored.agg(F.max("event_time"))
+    assert serving.recent(stored, "1 HOUR", last).count() == 3601
+    assert "ReusedSubquery" in physical(serving.recent(stored, "1 HOUR", last)) or "GreaterThanOrEqual" in physical(
+        serving.recent(stored, "1 HOUR", last)) or "ScalarSubquery" in physical(serving.recent(stored, "1 HOUR", last))
+
+
+def test_sectors_outside_the_list_are_in_other(spark):
+    df = fact(spark, ("A", 1, 1, 1, 1, 5, DAY), ("B", 1, 1, 1, 1, 7, DAY), ("C", 1, 1, 1, 1, 9, DAY))
+    dim = spark.createDataFrame([("A", "Tech"), ("B", "Unknown"), ("C", None)], "symbol string, sector string")
+    rows = {r.symbol: (r.Tech, r.other) for r in analytics.sector_matrix(df, dim, ["Tech"]).collect()}
+    assert rows == {"A": (5.0, None), "B": (None, 7.0), "C": (None, 9.0)}
+
+
 def test_symbol_and_date_predicates_reach_the_scan(spark, tmp_path):
     fact(spark, ("A", 1, 1, 1, 1, 1, DAY)).write.parquet(f"{tmp_path}/fact")
     stored = spark.read.parquet(f"{tmp_path}/fact")
@@ -170,6 +195,13 @@ def test_facts_are_reduced_before_any_shuffle(spark, name):
     assert reduces_before_shuffle(physical(batch.QUERIES[name](spark, SF)))
 
 
+@pytest.mark.parametrize("name", ["latest_price", "price_trend", "gainers", "losers", "dim_first_seen", "dim_upsert"])
+def test_raw_facts_are_hashed_not_sorted(spark, name):
+    text = physical(batch.QUERIES[name](spark, SF))
+    below = text[text.rindex("Exchange hashpartitioning(symbol"):]
+    assert "HashAggregate" in below and "SortAggregate" not in below and "Sort [" not in below
+
+
 def test_the_shuffle_check_finds_raw_rows(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
     assert not reduces_before_shuffle(physical(events.repartition(4, "user_id")))

@@ -1,5 +1,6 @@
 """Streams against batch, over several files in any order; replays; state; progress."""
 
+import json
 import os
 import random
 from datetime import datetime, timedelta
@@ -181,20 +182,51 @@ def test_text_twin(spark, folder):
     queries.run_available(job.start_star_job(stream, star, f"{folder}/c", NOW))
     assert tables.read_fact(spark, star).count() == 2
     assert tables.read_quarantine(spark, star).count() == 1
+    fresh = tables.rewrite_tables(spark, star, tables.Tables(f"{folder}/fresh"), drop_repeated_offsets=True)
+    assert tables.read_fact(spark, fresh).count() == 2  # equal lines are quotes of their own
+
+
+def quote(**fields):
+    base = {"symbol": "A", "price": 1.5, "volume": "1", "event_time": "2024-01-02T03:04:05"}
+    return json.dumps(base | fields)
+
+
+def run_text(spark, folder, lines, **options):
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/a.json", "w") as out:
+        out.write("\n".join(lines) + "\n")
+    star = tables.Tables(f"{folder}/star")
+    queries.run_available(job.start_star_job(
+        files.stream_text_files(spark, f"{folder}/in"), star, f"{folder}/c", NOW, **options))
+    return star
+
+
+def test_volumes_beyond_64_bits_add_up(spark, folder):
+    large = 9 * 10**18
+    star = run_text(spark, folder, [quote(volume=str(large)), quote(volume=str(large), price=2.0)])
+    assert tables.read_daily(spark, star).first().total_volume == 2 * large
+
+
+def test_rewrite_keeps_the_zero_rule(spark, folder):
+    star = run_text(spark, folder, [quote(day_low=0.0), quote(day_low=1.2)], zero_as_null=True)
+    for drop in (False, True):
+        fresh = tables.Tables(f"{folder}/fresh{drop}")
+        tables.rewrite_tables(spark, star, fresh, drop_repeated_offsets=drop, zero_as_null=True)
+        assert float(tables.read_daily(spark, fresh).first().lowest_day_low) == 1.2
 
 
 def clean_stream(spark, topic):
     return cleaning.clean_quotes(parse_quotes(files.stream_topic_files(spark, topic, 1)))
 
 
-@pytest.mark.parametrize("salts", [1, 8])
-def test_first_seen_stream_emits_each_symbol_once(spark, topic, messages, folder, salts):
-    first = queries.first_seen_stream(clean_stream(spark, topic), salts)
-    queries.run_available(queries.start_append(first, f"{folder}/out", f"{folder}/c", NOW))
-    found = [r.symbol for r in spark.read.parquet(f"{folder}/out").collect()]
+def test_first_seen_job_keeps_the_first_quote_of_each_symbol(spark, topic, messages, folder):
+    queries.run_available(job.start_first_seen_job(
+        clean_stream(spark, topic), f"{folder}/first", f"{folder}/c", NOW))
     clean = cleaning.clean_quotes(parse_quotes(messages))
-    assert len(found) == len(set(found))
-    assert set(found) == {r.symbol for r in clean.select("symbol").distinct().collect()}
+    first = modelling.dim_first_seen(clean, ("event_time", "offset"))
+    found = tables.read_first_seen(spark, f"{folder}/first")
+    assert found.columns == ["symbol", "company_name", "sector", "updated_at"]
+    assert rows(found) == rows(first)
 
 
 def test_first_seen_within_a_watermark(spark, topic, messages, folder):
@@ -218,9 +250,9 @@ def test_enriched_stream_equals_batch(spark, topic, messages, folder):
 def test_throughput_in_complete_mode_has_every_window(spark, topic, messages):
     windows = queries.throughput_stream(files.stream_topic_files(spark, topic, 1))
     query = (windows.writeStream.outputMode("complete").format("memory")
-             .queryName("throughput_metrics").trigger(**NOW).start())
+             .queryName("window_counts").trigger(**NOW).start())
     queries.run_available(query)
-    found = spark.table("throughput_metrics")
+    found = spark.table("window_counts")
     assert rows(found) == rows(health.throughput_windows(messages))
     assert rows(health.throughput_latest(found)) == rows(
         health.throughput_latest(health.throughput_windows(messages)))
@@ -232,8 +264,12 @@ def test_throughput_in_update_mode_keeps_late_rows(spark, topic, messages, folde
         seconds=3600)
     queries.run_available(query)
     assert len(os.listdir(f"{folder}/windows/query_id={query.id}")) >= 4
-    assert rows(tables.read_throughput(spark, f"{folder}/windows")) == rows(
-        health.throughput_windows(messages, seconds=3600))
+    expected = rows(health.throughput_windows(messages, seconds=3600))
+    assert rows(tables.read_throughput(spark, f"{folder}/windows")) == expected
+    queries.run_available(job.start_throughput_job(  # the checkpoint is lost
+        files.stream_topic_files(spark, topic, 1), f"{folder}/windows", f"{folder}/c2", NOW,
+        seconds=3600))
+    assert rows(tables.read_throughput(spark, f"{folder}/windows")) == expected
 
 
 def test_throughput_in_append_mode_has_closed_windows(spark, topic, messages, folder):
@@ -261,7 +297,7 @@ def test_progress_reports(spark, topic, folder):
 
 def test_rate_batches_feed_derived_columns(spark, folder):
     stream = health.derived_columns(files.rate_batches(spark, rows_per_batch=20))
-    query = (stream.writeStream.format("memory").queryName("latency_test")
+    query = (stream.writeStream.format("memory").queryName("derived_rows")
              .option("checkpointLocation", f"{folder}/c").trigger(processingTime="0 seconds").start())
     try:
         while not query.lastProgress or query.lastProgress["batchId"] < 2:
@@ -269,7 +305,7 @@ def test_rate_batches_feed_derived_columns(spark, folder):
         query.stop()
     finally:
         queries.stop_all(spark)
-    found = spark.table("latency_test").filter("value = 7").first()
+    found = spark.table("derived_rows").filter("value = 7").first()
     assert (found.value_doubled, found.value_squared) == (14, 49.0)
     assert files.rate_stream(spark, 10).isStreaming
 
