@@ -2,10 +2,12 @@
 
 A chunk ends after a character where the gear hash of the last 16 bytes falls under a fixed
 bound, every ``AVERAGE`` bytes on average, so an insertion moves no chunk ends but those
-beside it. A stretch of ``LONG`` bytes without an end, such as one word over and over, ends
-wherever its hash is smallest, which is at the same place of each repetition; what is then
-still longer is cut every ``LONG`` bytes. The hash of all positions of a text is computed at
-once in numpy, by doubling the window.
+beside it. A stretch of ``LONG`` bytes without an end, such as one word over and over, also
+ends wherever its hash is the smallest of the ``REACH`` bytes on either side, which is at the
+same place of each repetition; what is then still longer is cut every ``LONG`` bytes. Of
+ends that equal ones follow at one distance of up to ``REACH`` bytes, as in repetitions of a
+short word, so many are passed over that ``AVERAGE`` bytes lie between. The hash of all
+positions of a text is computed at once in numpy, by doubling the window.
 
 A chunk whose digest and length stand in two or more documents is a repeat; the document
 with the smallest doc_id keeps it. Neighbouring repeats are a passage, reported from
@@ -31,6 +33,7 @@ from quotelake.llm.text_slices import slices
 
 AVERAGE = 40
 LONG = 160
+REACH = 24
 MIN_CHARS = 100
 
 # One random number per byte value.
@@ -48,6 +51,31 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return total
 
 
+def local_lows(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """Whether each hash is the smallest within ``reach`` places, by doubling the window."""
+    low = np.pad(hashes, reach, constant_values=np.iinfo(hashes.dtype).max)
+    done, width = 1, 2 * reach + 1
+    while done < width:
+        step = min(done, width - done)
+        low = np.minimum(low[:-step], low[step:])
+        done += step
+    return hashes == low
+
+
+def spread_ends(ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The ends without those that follow equal ones too closely."""
+    if len(ends) < 3:
+        return ends
+    gap = np.diff(ends, prepend=0)
+    near = np.append(False, hashes[ends[1:] - 1] == hashes[ends[:-1] - 1]) & (gap <= REACH)
+    near[1:] &= ~near[:-1] | (gap[1:] == gap[:-1])
+    place = np.arange(len(ends))
+    nth = place - np.maximum.accumulate(np.where(near, 0, place))
+    keep = nth % -(-AVERAGE // gap) == 0
+    keep[-1] = True
+    return ends[keep]
+
+
 def chunk_ends(data: np.ndarray) -> np.ndarray:
     """Where the chunks of a text's UTF-8 bytes end, after whole characters."""
     if not len(data):
@@ -58,13 +86,11 @@ def chunk_ends(data: np.ndarray) -> np.ndarray:
     ends = np.flatnonzero((hashes < (1 << 16) // AVERAGE) & last) + 1
     ends = np.union1d(ends, [len(data)])
     begins = np.concatenate(([0], ends[:-1]))
-    more = [ends]
-    for a, b in zip(begins[ends - begins > LONG].tolist(), ends[ends - begins > LONG].tolist()):
-        inside = whole[np.searchsorted(whole, a + 16, "right"):np.searchsorted(whole, b)]  # the window is full
-        if len(inside):
-            at = hashes[inside - 1]
-            more.append(inside[at == at.min()])
-    ends = np.unique(np.concatenate(more))
+    long = ends - begins > LONG
+    if long.any():
+        lows = np.flatnonzero(local_lows(np.where(last, hashes, np.iinfo(hashes.dtype).max)) & last) + 1
+        ends = np.union1d(ends, lows[long[np.searchsorted(ends, lows)]])
+    ends = spread_ends(ends, hashes)
     begins = np.concatenate(([0], ends[:-1]))
     extra = (ends - begins - 1) // LONG
     if extra.any():

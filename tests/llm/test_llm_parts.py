@@ -181,6 +181,29 @@ def test_chunks_cover_the_text_and_resist_insertion():
     assert max(np.diff(substring_dedup.chunk_ends(np.zeros(5000, np.uint8)), prepend=0)) <= substring_dedup.LONG
 
 
+def test_one_word_over_and_over_is_cut_alike_anywhere():
+    def pieces(text):
+        raw = text.encode()
+        ends = substring_dedup.chunk_ends(np.frombuffer(raw, np.uint8)).tolist()
+        return [(raw[a:b], b - a) for a, b in zip([0, *ends], ends)]
+
+    rng = np.random.default_rng(4)
+    for word in ("The", "Lyatble", "réeuxon", "Ed", "漢字", "x"):
+        run = f"{word} " * 120
+        heads, tails = (["".join(rng.choice(list("abcdefgh \n"), int(n))) for n in rng.integers(0, 400, 20)] for _ in "ab")
+        found = [pieces(head + run + tail) for head, tail in zip(heads, tails)]
+        for one, other in zip(found, found[1:]):
+            known = {piece for piece, _ in other}
+            longest = length = 0
+            for piece, size in one:
+                length = length + size if piece in known else 0
+                longest = max(longest, length)
+            assert len(one) < (len(run.encode()) + 400) / 10
+            assert longest >= len(run.encode()) - 2 * (substring_dedup.REACH + substring_dedup.AVERAGE + 16)
+    lows = substring_dedup.local_lows(hashes := rng.integers(0, 9, 300).astype(np.uint16), 5)
+    assert lows.tolist() == [h == hashes[max(i - 5, 0):i + 6].min() for i, h in enumerate(hashes)]
+
+
 def test_gear_hash_is_a_sum_over_sixteen_bytes():
     data = np.frombuffer(bytes(range(40, 100)), np.uint8)
     got = substring_dedup.gear_hash(data)
