@@ -57,12 +57,21 @@ NO_PARTITION = -1
 FACT_MEASURES = ("price", "volume", "day_high", "day_low", "change", "change_percent")
 FACT_COLUMNS = ("symbol", *FACT_MEASURES, "event_time", "processing_time", "load_time")
 
-# Batch directories add these two to every table written by the streaming job.
+# Batch directories add these two to the markers and to tables without them.
 BATCH_KEYS = [
     T.StructField("query_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ]
 
+# What the marker of a batch, or of a compaction of one table, says.
+COMMIT = T.StructType([
+    T.StructField("name", T.StringType()),
+    T.StructField("dates", T.ArrayType(T.DateType())),
+    T.StructField("table", T.StringType()),
+    T.StructField("replaces", T.ArrayType(T.StringType())),
+    T.StructField("committed_at", T.TimestampType()),
+])
+
 FACT = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("symbol", T.StringType()),

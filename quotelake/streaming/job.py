@@ -13,7 +13,7 @@ from quotelake.operators.health import WINDOW_SECONDS, throughput_windows
 from quotelake.operators.ingest import parse_quotes
 from quotelake.operators.modelling import dim_changes, fact_rows, first_quotes
 from quotelake.operators.serving import daily_partials
-from quotelake.streaming.tables import Tables, write_batch
+from quotelake.streaming.tables import Tables, commit, is_committed, new_try, write_batch, write_part, written_dates
 
 # Fixed value: trigger interval of the fact writer.
 FACT_TRIGGER = "5 seconds"
@@ -34,12 +34,16 @@ def flag_messages(messages: DataFrame, volume=None, **options) -> DataFrame:
 def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
                after_write: BatchHook | None = None, backfill: bool = False,
                zero_as_null: bool = False) -> None:
-    """Write one batch of flagged rows: dimension, facts, daily rows, quarantine.
+    """Write one batch of flagged rows: dimension, facts, daily rows, quarantine, marker.
 
-    The dimension is written first and from the same rows, so no fact lacks its symbol.
-    The batch is parsed once and kept while the four tables are written; lost blocks
-    are computed again from the source.
+    The dimension comes from the same rows, so no fact lacks its symbol. Readers see the
+    four tables' rows when the marker is written, last, after ``after_write``; a batch that
+    has one is left alone. The batch is parsed once and kept while the tables are written;
+    lost blocks are computed again from the source.
     """
+    spark = flagged.sparkSession
+    if is_committed(spark, tables, query_id, batch_id):
+        return
     flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if flagged.isEmpty():
@@ -47,17 +51,17 @@ def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
         clean = accepted(flagged)
         changes = dim_changes(clean)
         facts = fact_rows(clean).withColumn("event_date", F.to_date("event_time"))
-        write_batch(changes, tables.dim, query_id, batch_id)
-        stored = facts.hint("rebalance", "event_date") if backfill else facts
-        write_batch(stored, tables.fact, query_id, batch_id, ("event_date",))
-        daily = daily_partials(facts, zero_as_null, F.max("load_time").alias("load_time"))
-        write_batch(daily, tables.daily, query_id, batch_id)
+        name = new_try(query_id, batch_id)
+        write_part(changes, tables, "dim", name)
+        write_part(facts.hint("rebalance", "event_date") if backfill else facts, tables, "fact", name)
+        write_part(daily_partials(facts, zero_as_null, F.max("load_time").alias("load_time")), tables, "daily", name)
         bad = rejected(flagged).select(
             "reject_reason", "raw_value", "symbol", "processing_time",
             "topic", "partition", "offset")
-        write_batch(bad, tables.quarantine, query_id, batch_id)
+        write_part(bad, tables, "quarantine", name)
         if after_write:
             after_write(changes, facts)
+        commit(spark, tables, query_id, batch_id, name, written_dates(facts))
     finally:
         flagged.unpersist()
 

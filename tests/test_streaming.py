@@ -3,7 +3,7 @@
 import json
 import os
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -80,7 +80,7 @@ def test_star_job_over_micro_batches_equals_batch(spark, topic, folder, expected
     star = tables.Tables(f"{folder}/star")
     query = run_star(spark, topic, star, f"{folder}/checkpoint")
     assert_tables(spark, star, expected)
-    batches = os.listdir(f"{star.fact}/query_id={query.id}")
+    batches = os.listdir(f"{star.commits}/query_id={query.id}")
     assert sum(b.startswith("batch_id=") for b in batches) == 4
     metrics = [p["observedMetrics"]["quotes"] for p in query.recentProgress if p["numInputRows"]]
     assert sum(m["read"] for m in metrics) == 1000 == spark.read.parquet(topic).count()
@@ -99,12 +99,58 @@ def test_a_batch_that_fails_after_its_write_leaves_no_duplicates(
 
     with pytest.raises(StreamingQueryException):
         run_star(spark, topic, star, f"{folder}/checkpoint", after_write=fail_once)
+    assert os.path.isdir(star.fact)  # written but not committed: in no table
+    found = stored(spark, star)
+    seen = found["fact"].count() + found["quarantine"].count()
+    assert found["daily"].agg(F.sum("num_transactions")).first()[0] == (found["fact"].count() or None)
+    assert (seen == 0) == (failing_batch == 0) and seen < 1000
     run_star(spark, topic, star, f"{folder}/checkpoint", after_write=fail_once)
     assert len(calls) == 5
     assert calls[failing_batch] == calls[failing_batch + 1]  # the batch keeps its time
     assert_tables(spark, star, expected)
 
 
+def test_a_committed_batch_is_not_written_again(spark, messages, folder, expected):
+    star = tables.Tables(f"{folder}/star")
+    for _ in range(2):
+        job.write_star(job.flag_messages(messages), star, "q", 0)
+    assert_tables(spark, star, expected)
+
+
+def test_compaction_beside_the_stream_keeps_the_tables(spark, messages, folder, expected):
+    star, last = tables.Tables(f"{folder}/star"), date(2024, 1, 15)
+    parts = messages.withColumn("part", F.col("offset") % 4)
+
+    def write(part):
+        job.write_star(job.flag_messages(parts.filter(F.col("part") == part).drop("part")), star, "q", part)
+
+    write(0), write(1)
+    before = tables._markers(spark, star)
+    old = tables.read_fact(spark, star)
+    count = old.count()
+    assert tables.compact(spark, star, last) > 4
+    assert tables.compact(spark, star, last) == 0
+    assert tables.read_fact(spark, star).count() == count == old.count()  # an earlier reader goes on
+    days = {day: len(names) for day, names in tables._live(tables._markers(spark, star), "fact").items()}
+    assert all(n == 1 for day, n in days.items() if day < last) and max(days.values()) == 2
+    write(2), write(3)
+    assert_tables(spark, star, expected)
+    rival = tables.new_try("late", 0)  # a second compaction of the same directories counts for nothing
+    day, names = next((d, n) for d, n in tables._live(before, "fact").items() if d < last)
+    tables.commit(spark, star, "late", 0, rival, [day], "fact", names)
+    assert_tables(spark, star, expected)
+
+
+def test_reads_of_a_day_list_its_directories_only(spark, topic, folder, expected):
+    star, day = tables.Tables(f"{folder}/star"), date(2024, 1, 10)
+    run_star(spark, topic, star, f"{folder}/checkpoint")
+    facts = tables.read_fact(spark, star, day, day)
+    assert facts.inputFiles() and all(f"event_date={day}" in name for name in facts.inputFiles())
+    assert rows(facts) == rows(expected["fact"].filter(F.col("event_date") == day))
+    assert rows(tables.read_daily(spark, star, day, day)) == rows(expected["daily"].filter(F.col("trade_date") == day))
+    assert tables.read_fact(spark, star, date(2031, 1, 1)).count() == 0
+
+
 def test_backfill_gathers_dates_into_few_files(spark, topic, folder, expected):
     def files_of(name, **options):
         star = tables.Tables(f"{folder}/{name}")
