@@ -33,13 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quotelake.llm.common import BROADCAST_BYTES, attach, ship_package, stage_table, table_bytes
-from quotelake.llm.text_slices import slices
+from quotelake.llm.text_slices import SLICE_BYTES, slices
 
 SHINGLE = 5
 SLOTS = 80
 BANDS = 20
 PERCENT = 80
 BLOCK = 512
+ROW_BYTES = 500  # of a row's numbers in Python
 # Texts at the threshold share fewer slots in one case of 300,000.
 LEAST_EQUAL = int(SLOTS * PERCENT / 100 - 4.5 * (SLOTS * PERCENT * (100 - PERCENT)) ** 0.5 / 100)
 
@@ -224,7 +225,12 @@ _MEMBER_NAMES = [field.split()[0] for field in _MEMBER.split(", ")]
 
 def _members(docs: DataFrame, places: DataFrame) -> DataFrame:
     """The rows to compare. ``places`` has a node's first_id, label and an array of bucket,
-    part and side; each becomes a row with the node's band marks, slots and bag."""
+    part and side; each becomes a row with the node's band marks, slots and bag. A node of
+    a large bucket has many places, so rows leave in batches of ``SLICE_BYTES``."""
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(column, kind) for column, kind in zip(zip(*out), _MEMBER_TYPES)], names=_MEMBER_NAMES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 0):
@@ -233,13 +239,20 @@ def _members(docs: DataFrame, places: DataFrame) -> DataFrame:
                 hashes = band_hashes(times)
                 marks = hashes.view(np.uint64).astype(np.uint32)
                 slots = _mixed(times.view(np.uint64)).astype(np.uint16)
-                out = []
-                for i, (node, label, where) in enumerate(zip(*(part.column(k).to_pylist() for k in (1, 2, 3)))):
+                out, size = [], 0
+                for i, (node, label) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
                     band = {h: b for b, h in enumerate(hashes[i].tolist())}
                     own = marks[i].tobytes(), slots[i].tobytes(), flat_bag(bags[i]).tobytes()
-                    out += [(w["bucket"], w["part"], node, label, band[w["bucket"]], w["side"], *own) for w in where]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(zip(*out), _MEMBER_TYPES)], names=_MEMBER_NAMES)
+                    weight = sum(map(len, own)) + ROW_BYTES
+                    where = part.column(3)[i].values
+                    for bucket, block, side in zip(*(where.field(k).to_numpy() for k in ("bucket", "part", "side"))):
+                        out.append((bucket, block, node, label, band[int(bucket)], side, *own))
+                        size += weight
+                        if size >= SLICE_BYTES:
+                            yield rows(out)
+                            out, size = [], 0
+                if out:
+                    yield rows(out)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), digest().alias("__node"), "text")
     places_size = table_bytes(places) + 24 * (places.agg(F.sum(F.size("places"))).first()[0] or 0)
