@@ -149,13 +149,14 @@ def find_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     shared = totals.filter("low != high").select(
         F.col("digest").alias("__digest"), F.col("n_chars").alias("__chars"), "copies", "first_id")
     repeats = found.join(shared, (F.col("digest") == F.col("__digest")) & (F.col("n_chars") == F.col("__chars")))
-    in_text = Window.partitionBy("node", "doc_id").orderBy("nth")
+    # Passages break where kept changes: a document's own go on standing beside those of others.
+    in_text = Window.partitionBy("node", "doc_id", "kept").orderBy("nth")
     island = F.col("nth") - F.dense_rank().over(in_text)
     kept = F.coalesce("doc_id", none) == F.col("first_id")
     passages = (repeats.withColumn("kept", kept).withColumn("island", island)
-                .groupBy("doc_id", "node", "island").agg(
+                .groupBy("doc_id", "node", "kept", "island").agg(
                     F.min("start").alias("start"), F.max(F.col("start") + F.col("n_chars")).alias("end"),
-                    F.min("first_id").alias("first_id"), F.max("copies").alias("copies"), F.min("kept").alias("kept"))
+                    F.min("first_id").alias("first_id"), F.max("copies").alias("copies"))
                 .filter(F.col("end") - F.col("start") >= min_chars))
     return passages.select("doc_id", "node", "start", (F.col("end") - F.col("start")).alias("n_chars"),
                            F.nullif("first_id", none).alias("first_id"), "copies", "kept")

@@ -222,6 +222,22 @@ def test_repeats_of_odd_rows(odd, none, clashing):
     assert substring_dedup.find_repeats(none).collect() == []
 
 
+def test_adjacent_passages_of_different_keepers_are_each_left_once(spark):
+    rng = np.random.default_rng(11)
+
+    def passage(n):  # up to a chunk's end, so that chunks do not go over to what follows
+        text = " ".join("".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(n))
+        return text[:substring_dedup.chunk_ends(np.frombuffer(text.encode(), np.uint8))[-2]]
+
+    a, b, ends = passage(90), passage(90), [passage(60) for _ in range(6)]
+    docs = spark.createDataFrame([(3, ends[0] + a + ends[1]), (5, ends[2] + a + b + ends[3]), (9, ends[4] + b + ends[5])],
+                                 "doc_id long, text string")
+    found = {(r.doc_id, r.kept): r.first_id for r in substring_dedup.find_repeats(docs).collect()}
+    assert found == {(3, True): 3, (5, False): 3, (5, True): 5, (9, False): 5}
+    left = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs).collect()}
+    assert [i for i, t in left.items() if a in t] == [3] and [i for i, t in left.items() if b in t] == [5]
+
+
 # ---- decontamination, quality, licences
 
 def test_contamination_of_odd_rows(spark, odd, none, clashing):
