@@ -1,31 +1,35 @@
-"""Substring dedup: content-defined chunks by a gear rolling hash, deduplicated by digest.
-
-A chunk ends after a character where the gear hash of the last 16 bytes falls under a fixed
-bound, every ``AVERAGE`` bytes on average, so an insertion moves no chunk ends but those
-beside it. A stretch of ``LONG`` bytes without an end, such as one word over and over, also
-ends wherever its hash is the smallest of the ``REACH`` bytes on either side, which is at the
-same place of each repetition; what is then still longer is cut every ``LONG`` bytes. Of
-ends that equal ones follow at one distance of up to ``REACH`` bytes, as in repetitions of a
-short word, so many are passed over that ``AVERAGE`` bytes lie between. The hash of all
-positions of a text is computed at once in numpy, by doubling the window.
-
-A chunk whose digest and length stand in two or more documents is a repeat; the document
-with the smallest doc_id keeps it. Neighbouring repeats are a passage, reported from
-``MIN_CHARS`` characters, so that common phrases of a few words are not. A passage of over
-fifty words that documents share has whole chunks inside, but for the ends.
+"""Substring dedup: anchors chosen by a gear rolling hash, passages by exact windows around them.
+
+Wherever ``MIN_CHARS`` characters stand in two texts, both choose an anchor of ``KEY``
+characters in them: that of the smallest gear hash (of its last 16 characters) among all that
+lie in the window. Equal anchors that follow each other closely, as in repetitions of a word,
+are thinned as far as each window still has one. An anchor is a candidate only. What counts
+is its context, the windows in which its hash is the smallest. Are all contexts of an anchor
+the same, they are shared; else every window of ``MIN_CHARS`` characters in each
+different context is digested, and those are shared that stand in two documents. So every
+shared passage of ``MIN_CHARS`` characters is found, to its first and last character; two texts
+are taken as equal by 64-bit digests.
+
+The smallest doc_id with a shared window keeps it. A passage is a run of shared windows, each
+one character after the last, that one document keeps. Those that a document keeps itself may
+overlap. Of the others count the characters outside of kept ones, from ``MIN_CHARS`` in a row,
+divided where the passage changes. A part under ``MIN_CHARS`` goes with the part beside it if
+their passages go ``AVERAGE`` characters into each other; else it is no passage, and is left.
+Without the passages that others keep, each shared window is left in the document that keeps it.
 
 Rows equal in doc_id and text are one document. A null doc_id is after all others. Null and
-empty texts have no chunk; one text of any length is handled by one task. An empty table
+empty texts have no anchor; one text of any length is handled by one task. An empty table
 gives no rows. ``find_repeats`` reads doc_id and text only; ``remove_repeats`` keeps all columns.
+``chunk_ends`` cuts a text at gear hashes under a bound; passages do not depend on it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotelake.llm.common import ship_package, stage_table
@@ -34,6 +38,7 @@ from quotelake.llm.text_slices import slices
 AVERAGE = 40
 LONG = 160
 REACH = 24
+KEY = 32
 MIN_CHARS = 100
 
 # One random number per byte value.
@@ -100,30 +105,98 @@ def chunk_ends(data: np.ndarray) -> np.ndarray:
     return ends
 
 
-_CHUNK = "doc_id long, node long, nth int, start int, n_chars int, digest long"
+BASE = 0x9E3779B97F4A7C15  # odd: powers have inverses modulo 2^64
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+def _scramble(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    result = np.full(n + 1, base, dtype=np.uint64)
+    result[0] = 1
+    return np.cumprod(result, dtype=np.uint64)
+
+
+def code_points(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").encode("utf-32-le"), dtype=np.uint32)
+
+
+class Digests:
+    """Digests of any parts of a text, by sums of its characters times powers of a number."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        values = _scramble(codes.astype(np.uint64) + np.uint64(BASE))
+        self.sums = np.append(np.uint64(0), np.cumsum(values * _powers(INVERSE, len(codes))[:-1], dtype=np.uint64))
+        self.powers = _powers(BASE, len(codes))
+
+    def of(self, begins: np.ndarray, ends: np.ndarray, salt: np.ndarray | int = 0) -> np.ndarray:
+        part = (self.sums[ends] - self.sums[begins]) * self.powers[begins]
+        length = np.asarray((ends - begins) * 65536 + salt, dtype=np.uint64)
+        return _scramble(part ^ _scramble(length + np.uint64(1))).view(np.int64)
+
+
+def slide(values: np.ndarray, width: int, fold: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The fold of each ``width`` values in a row, by doubling the window."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = fold(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def anchors(codes: np.ndarray, digests: Digests, min_chars: int = MIN_CHARS) -> tuple[np.ndarray, ...]:
+    """Where the anchors of a text begin, their digests, and the characters before and from
+    there in the windows in which none has a smaller hash."""
+    key = min(KEY, min_chars)
+    reach = min_chars - key + 1  # anchors to choose from in a window
+    order = gear_hash((codes ^ (codes >> 8)).astype(np.uint8))[key - 1:].astype(np.uint32) + 1
+    lows = np.pad(slide(order, reach, np.minimum), reach - 1)
+    begins = np.flatnonzero(slide(lows, reach, np.maximum) == order)
+    found = digests.of(begins, begins + key)
+    if reach > 1 and len(begins) > 2:
+        follows = np.append(False, (found[1:] == found[:-1]) & (np.diff(begins) <= reach // 2))
+        place = np.arange(len(begins))
+        part = (begins - begins[np.maximum.accumulate(np.where(follows, 0, place))]) // (reach // 2)
+        keep = ~follows | ~np.append(follows[1:], False) | np.append(True, part[1:] != part[:-1])
+        begins, found = begins[keep], found[keep]
+    around = np.lib.stride_tricks.sliding_window_view(lows, reach)
+    lead, tail = np.zeros(len(begins), np.int64), np.zeros(len(begins), np.int64)
+    for i in range(0, len(begins), 1 << 16):
+        some = begins[i:i + (1 << 16)]
+        least = around[some] == order[some][:, None]
+        lead[i:i + len(some)] = reach - 1 - least.argmax(axis=1)
+        tail[i:i + len(some)] = min_chars - least[:, ::-1].argmax(axis=1)
+    return begins, found, lead, tail
+
 
+_ANCHOR = "doc_id long, node long, start int, lead int, tail int, digest long, context long"
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, node (of the text), nth, start and n_chars (characters) and digest of every chunk."""
+
+def anchor_rows(docs: DataFrame, min_chars: int) -> DataFrame:
+    """doc_id, node (of the text), start of every anchor, characters of its context before the
+    start and from it on, and digests of both."""
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
-        counts, starts, sizes, digests = [], [], [], []
+        counts, columns = [], []
         for text in part.column(2):
-            raw = (text.as_py() or "").encode()
-            data = np.frombuffer(raw, dtype=np.uint8)
-            ends = chunk_ends(data)
-            chars = np.cumsum((data & 0xC0) != 0x80)[ends - 1] if len(ends) else ends
-            starts.append(np.concatenate(([0], chars[:-1])) if len(ends) else ends)
-            sizes.append(chars - starts[-1])
-            counts.append(len(ends))
-            stops = ends.tolist()
-            digests += [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip([0, *stops], stops)]
-        repeat = np.repeat(np.arange(part.num_rows), counts)
-        first = np.repeat(np.cumsum(counts) - counts, counts)
+            codes = code_points(text.as_py())
+            counts.append(0)
+            if len(codes) < min_chars:
+                continue
+            digests = Digests(codes)
+            begins, found, lead, tail = anchors(codes, digests, min_chars)
+            counts[-1] = len(begins)
+            columns.append((begins, lead, tail, found, digests.of(begins - lead, begins + tail, lead)))
+        repeat = pa.array(np.repeat(np.arange(part.num_rows), counts))
+        kinds = (np.int32, np.int32, np.int32, np.int64, np.int64)
+        joined = [np.concatenate([c[i] for c in columns] or [np.zeros(0)]).astype(k) for i, k in enumerate(kinds)]
         return pa.RecordBatch.from_arrays(
-            [part.column(0).take(pa.array(repeat)), part.column(1).take(pa.array(repeat)),
-             pa.array(np.arange(len(repeat)) - first, pa.int32()), pa.array(np.concatenate(starts), pa.int32()),
-             pa.array(np.concatenate(sizes), pa.int32()), pa.array(np.array(digests, dtype=np.uint64).view(np.int64))],
-            names=["doc_id", "node", "nth", "start", "n_chars", "digest"])
+            [part.column(0).take(repeat), part.column(1).take(repeat), *map(pa.array, joined)],
+            names=["doc_id", "node", "start", "lead", "tail", "digest", "context"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,35 +204,164 @@ def chunks(docs: DataFrame) -> DataFrame:
                 yield rows(part)
 
     ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), _node().alias("node"), "text").mapInArrow(run, _CHUNK)
+    return docs.select(F.col("doc_id").cast("long"), _node().alias("node"), "text").mapInArrow(run, _ANCHOR)
 
 
 def _node() -> Column:
     return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
 
 
+_WINDOW = "context long, at int, window long, low long, high long, first_id long"
+
+
+def context_windows(docs: DataFrame, contexts: DataFrame, min_chars: int) -> DataFrame:
+    """The digest of each window of ``min_chars`` characters in each context of (context, node,
+    start, lead, tail, low, high, first_id), and at: where it begins, from the anchor's start."""
+    def rows(part: pa.RecordBatch) -> pa.RecordBatch:
+        columns = [[] for _ in range(6)]
+        flat = {}
+        lists = part.column(1)
+        values, stops = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
+        for name in ("context", "start", "lead", "tail", "low", "high", "first_id"):
+            flat[name] = values.field(name).to_numpy(zero_copy_only=False)
+        for text, begin, stop in zip(part.column(0), [0, *stops[:-1].tolist()], stops.tolist()):
+            codes = code_points(text.as_py())
+            digests = Digests(codes)
+            starts = flat["start"][begin:stop].astype(np.int64)
+            firsts = starts - flat["lead"][begin:stop]
+            sizes = flat["lead"][begin:stop] + flat["tail"][begin:stop] - min_chars + 1
+            of = np.repeat(np.arange(stop - begin), sizes)
+            begins = firsts[of] + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            columns[0].append(flat["context"][begin:stop][of])
+            columns[1].append((begins - starts[of]).astype(np.int32))
+            columns[2].append(digests.of(begins, begins + min_chars))
+            for column, name in zip(columns[3:], ("low", "high", "first_id")):
+                column.append(flat[name][begin:stop][of])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns],
+                                          names=["context", "at", "window", "low", "high", "first_id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0):
+                for i in range(0, part.num_rows, 16):
+                    yield rows(part.slice(i, 16))
+
+    listed = contexts.groupBy(F.col("node").alias("__node")).agg(
+        F.collect_list(F.struct("context", "start", "lead", "tail", "low", "high", "first_id")).alias("contexts"))
+    texts = docs.select(_node().alias("node"), "text")
+    return texts.join(listed, F.col("node") == F.col("__node")).select("text", "contexts").mapInArrow(run, _WINDOW)
+
+
+Passage = tuple[int, int, int, int, bool]  # start, end, first_id, copies, kept
+
+
+def resolve(spans: Sequence[tuple[int, int, int, int]], own: int, min_chars: int) -> list[Passage]:
+    """The passages of a document by its shared spans (start, end, first_id, copies)."""
+    runs: list[list[int]] = []  # first_id, start, end, copies: all windows inside are shared
+    for first, start, end, copies in sorted((f, a, b, c) for a, b, f, c in spans):
+        if runs and runs[-1][0] == first and start <= runs[-1][2] - min_chars + 1:
+            runs[-1][2], runs[-1][3] = max(runs[-1][2], end), max(runs[-1][3], copies)
+        else:
+            runs.append([first, start, end, copies])
+    kept = [r for r in runs if r[0] == own]
+    others = sorted((r for r in runs if r[0] != own), key=lambda r: r[1])
+    points = sorted({p for r in runs for p in r[1:3]})
+    parts: list[list[int]] = []
+    heap: list[list[int]] = []
+    nth = of_kept = 0
+    last = None
+    for begin, end in zip(points, points[1:]):
+        while nth < len(others) and others[nth][1] <= begin:
+            heapq.heappush(heap, others[nth])
+            nth += 1
+        while heap and heap[0][2] <= begin:
+            heapq.heappop(heap)
+        while of_kept < len(kept) and kept[of_kept][2] <= begin:
+            of_kept += 1
+        if not heap or of_kept < len(kept) and kept[of_kept][1] <= begin:
+            continue
+        if parts and parts[-1][1] == begin and last is heap[0]:
+            parts[-1][1] = end
+        else:
+            parts.append([begin, end, heap[0][0], heap[0][3], *heap[0][1:3]])
+        last = heap[0]
+    # A short part takes what its run has in the part beside it, if enough is left there; else
+    # both are one, if the runs go ``AVERAGE`` characters into each other.
+    whole: list[list[int]] = []
+    for part in parts:
+        if whole and whole[-1][1] == part[0]:
+            before = whole[-1]
+            room = part[1] - before[0] >= 2 * min_chars
+            into = part[4] <= part[0] - AVERAGE or before[5] >= part[0] + AVERAGE
+            if part[1] - part[0] < min_chars <= before[1] - before[0]:
+                if room and part[4] <= part[1] - min_chars:
+                    before[1] = part[0] = part[1] - min_chars
+                elif into:
+                    before[1], before[5] = part[1], max(before[5], part[5])
+                    continue
+            elif before[1] - before[0] < min_chars:
+                if room and before[5] >= before[0] + min_chars:
+                    before[1] = part[0] = before[0] + min_chars
+                elif into:
+                    part[0], part[4] = whole.pop()[0], min(before[4], part[4])
+        whole.append(part)
+    return ([(a, b, own, copies, True) for _, a, b, copies in kept]
+            + [(a, b, first, copies, False) for a, b, first, copies, *_ in whole if b - a >= min_chars])
+
+
+_NONE = 2 ** 63 - 1
+
+
 def find_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per repeated passage: doc_id, node, start and n_chars (characters), first_id
-    (of the document that keeps it), copies (most chunks of one digest), kept."""
-    found = stage_table(chunks(docs), "chunks")
-    none = F.lit(2 ** 63 - 1)
-    totals = found.groupBy("digest", "n_chars").agg(
+    (of the document that keeps it), copies (most of one anchor), kept."""
+    found = anchor_rows(docs, min_chars)  # worked out twice: less than to write and read it
+    none = F.lit(_NONE)
+    totals = found.groupBy("digest").agg(
         F.count("*").alias("copies"), F.min("node").alias("low"), F.max("node").alias("high"),
-        F.min(F.coalesce("doc_id", none)).alias("first_id"))
-    shared = totals.filter("low != high").select(
-        F.col("digest").alias("__digest"), F.col("n_chars").alias("__chars"), "copies", "first_id")
-    repeats = found.join(shared, (F.col("digest") == F.col("__digest")) & (F.col("n_chars") == F.col("__chars")))
-    # Passages break where kept changes: a document's own go on standing beside those of others.
-    in_text = Window.partitionBy("node", "doc_id", "kept").orderBy("nth")
-    island = F.col("nth") - F.dense_rank().over(in_text)
-    kept = F.coalesce("doc_id", none) == F.col("first_id")
-    passages = (repeats.withColumn("kept", kept).withColumn("island", island)
-                .groupBy("doc_id", "node", "kept", "island").agg(
-                    F.min("start").alias("start"), F.max(F.col("start") + F.col("n_chars")).alias("end"),
-                    F.min("first_id").alias("first_id"), F.max("copies").alias("copies"))
-                .filter(F.col("end") - F.col("start") >= min_chars))
-    return passages.select("doc_id", "node", "start", (F.col("end") - F.col("start")).alias("n_chars"),
-                           F.nullif("first_id", none).alias("first_id"), "copies", "kept")
+        F.min(F.coalesce("doc_id", none)).alias("first_id"),
+        (F.min("context") != F.max("context")).alias("mixed"))
+    shared = totals.filter("low != high").select(F.col("digest").alias("__digest"), "copies", "first_id", "mixed")
+    repeats = stage_table(found.join(shared, F.col("digest") == F.col("__digest")).drop("digest", "__digest"), "repeats")
+    mixed = repeats.filter("mixed")
+    one = F.min(F.struct("node", "start", "lead", "tail"))
+    contexts = mixed.groupBy("context").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.coalesce("doc_id", none)).alias("first_id"),
+        *(one[name].alias(name) for name in ("node", "start", "lead", "tail")))
+    windows = stage_table(context_windows(docs, contexts, min_chars), "windows")
+    held = windows.groupBy(F.col("window").alias("__window")).agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min("first_id").alias("held_by"))
+    in_context = Window.partitionBy("context", "held_by").orderBy("at")
+    hits = (windows.select("context", "at", "window")
+            .join(held.filter("low != high"), F.col("window") == F.col("__window"))
+            .withColumn("run", F.col("at") - F.dense_rank().over(in_context))
+            .groupBy(F.col("context").alias("__context"), "held_by", "run")
+            .agg(F.min("at").alias("from"), (F.max("at") + min_chars).alias("to")))
+    span = [F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "first_id", "copies"]
+    spans = (repeats.filter("not mixed").select(
+        "doc_id", "node", (F.col("start") - F.col("lead")).alias("start"),
+        (F.col("start") + F.col("tail")).alias("end"), "first_id", "copies")
+        .unionByName(mixed.join(hits, F.col("context") == F.col("__context")).select(
+            "doc_id", "node", (F.col("start") + F.col("from")).alias("start"),
+            (F.col("start") + F.col("to")).alias("end"), F.col("held_by").alias("first_id"), "copies")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                doc_ids, nodes = part.column(0).to_pylist(), part.column(1).to_pylist()
+                values, stops = part.column(2).flatten(), np.cumsum(part.column(2).value_lengths().to_numpy()).tolist()
+                flat = list(zip(*(values.field(n).to_pylist() for n in ("start", "end", "first_id", "copies"))))
+                rows = [(doc, node, a, b - a, None if first == _NONE else first, copies, kept)
+                        for doc, node, begin, stop in zip(doc_ids, nodes, [0, *stops], stops)
+                        for a, b, first, copies, kept in resolve(flat[begin:stop], _NONE if doc is None else doc, min_chars)]
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
+                    names=["doc_id", "node", "start", "n_chars", "first_id", "copies", "kept"])
+
+    return spans.groupBy("doc_id", "node").agg(F.collect_list(F.struct(*span)).alias("spans")).mapInArrow(
+        run, "doc_id long, node long, start int, n_chars int, first_id long, copies long, kept boolean")
 
 
 def remove_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:

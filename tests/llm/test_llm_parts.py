@@ -238,6 +238,68 @@ def test_adjacent_passages_of_different_keepers_are_each_left_once(spark):
     assert [i for i, t in left.items() if a in t] == [3] and [i for i, t in left.items() if b in t] == [5]
 
 
+def test_every_shared_window_of_51_words_is_found(spark):
+    rng = np.random.default_rng(51)
+
+    def words(n, least, most, pool="abcdefghijklmnopqrstuvwxyz"):
+        return " ".join("".join(rng.choice(list(pool), rng.integers(least, most + 1))) for _ in range(n))
+
+    rows, shared = [], []
+    for i in range(400):
+        least, most = ((1, 1), (2, 4), (3, 8), (1, 3))[i % 4]
+        passage = words(51, least, most, "abé漢" if i % 3 == 0 else "abcdefghijklmnopqrstuvwxyz")
+        if i % 10 == 0:
+            passage = " ".join([words(1, 1, 2, "漢é") + str(i)] * 60)  # one word over and over
+        for doc_id in (2 * i, 2 * i + 1):
+            before, after = words(rng.integers(0, 40), 2, 7), words(rng.integers(0, 40), 2, 7)
+            rows.append((doc_id, f"{before} #{doc_id}# {passage} #{doc_id}# {after}"))
+        shared.append(passage)
+    texts = dict(rows)
+    found = {}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in substring_dedup.find_repeats(docs).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.start + r.n_chars, r.first_id, r.kept))
+    for i, passage in enumerate(shared):
+        for doc_id in (2 * i, 2 * i + 1):
+            begin = texts[doc_id].index(passage)
+            if len(passage) >= substring_dedup.MIN_CHARS:
+                assert any(a <= begin and begin + len(passage) <= b for a, b, _, _ in found[doc_id]), (doc_id, passage)
+    left = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs).collect()}
+    for i, passage in enumerate(shared):
+        if len(passage) >= substring_dedup.MIN_CHARS:
+            assert passage in left[2 * i] and passage not in left[2 * i + 1]
+
+
+def test_passages_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    size = substring_dedup.MIN_CHARS
+    pieces = ["".join(rng.choice(list("ab é"), rng.integers(40, 260))) for _ in range(12)] + ["ab" * 90, "a" * 150]
+    rows = [(i, "".join(pieces[j] for j in rng.integers(0, len(pieces), rng.integers(1, 7)))) for i in range(80)]
+    holders = {}
+    for i, text in rows:
+        for k in range(len(text) - size + 1):
+            holders.setdefault(text[k:k + size], set()).add((i, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {}
+    for r in substring_dedup.find_repeats(docs).collect():
+        found.setdefault(r.doc_id, []).append(r)
+    for i, text in rows:
+        own, others = set(), set()
+        for k in range(len(text) - size + 1):
+            who = holders[text[k:k + size]]
+            if len(who) > 1:
+                (own if min(w[0] for w in who) == i else others).update(range(k, k + size))
+        got = {kept: {c for r in found.get(i, []) if r.kept == kept for c in range(r.start, r.start + r.n_chars)} for kept in (True, False)}
+        assert got[True] == own
+        assert got[False] <= others - own
+        missing = np.array(sorted(others - own - got[False]), int)
+        assert all(len(run) < size for run in np.split(missing, np.flatnonzero(np.diff(missing) > 1) + 1))
+    left = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs).collect()}
+    for window, who in holders.items():
+        if len(who) > 1:
+            assert window in left[min(who)[0]]
+
+
 # ---- decontamination, quality, licences
 
 def test_contamination_of_odd_rows(spark, odd, none, clashing):
