@@ -354,6 +354,29 @@ def test_licences_of_odd_paths(spark, none):
     assert license_scan.scan(files.limit(0)).collect() == []
 
 
+def test_licence_texts_headers_and_wrapped_statements(spark):
+    def file(name):
+        return license_scan.TEXTS[name]
+
+    apache = "\n".join(f"# {line}" for line in license_scan.HEADERS["Apache-2.0"].split("\n"))
+    gpl = "/*\n" + "\n".join(f" * {' '.join(words[i:i + 7])}" for words in [license_scan.HEADERS["GPL-3.0"].split()]
+                              for i in range(0, len(words), 7)) + "\n */"
+    prose = [(100 + i, f"p/{i}.txt", " ".join(f"w{(i * 7 + k * k) % 97}" for k in range(200))) for i in range(30)]
+    rows = [
+        (1, "m/LICENSE", file("MIT").replace("MIT License", "The MIT License\n\nCopyright (c) 2020 Some One")), (2, "m/src/a.py", "w1 w2"),
+        (3, "g/COPYING", file("GPL-3.0")), (4, "g/a/b/c.py", "w3"), (5, "x/a.py", f"{apache}\n\nimport w1\n{prose[0][2]}"),
+        (6, "x/b.c", f"{gpl}\nint w1;\n{prose[1][2]}"), (7, "x/c.py", "w5 w6\nThis work is licensed under the GNU\nGeneral Public License, version 3.\n" + prose[2][2]),
+        (8, "x/d.py", "w8"), (9, "b/LICENSE", "Copyright (c) 2001 A B.\nAll rights reserved.\n" + file("BSD-3-Clause")),
+        (10, "b/x", ""), (11, "h/LICENSE", file("Apache-2.0")), (12, "h/x", None), *prose]
+    files = spark.createDataFrame(rows, "file_id long, path string, text string")
+    got = {r.file_id: (r.licence, r.origin, r.from_dir) for r in license_scan.scan(files).collect()}
+    stated = {1: "MIT", 3: "GPL-3.0", 5: "Apache-2.0", 6: "GPL-3.0", 7: "GPL-3.0", 9: "BSD-3-Clause", 11: "Apache-2.0"}
+    given = {2: ("MIT", "m"), 4: ("GPL-3.0", "g"), 10: ("BSD-3-Clause", "b"), 12: ("Apache-2.0", "h")}
+    for i, _, _ in rows:
+        expected = (stated[i], "statement", None) if i in stated else (given[i][0], "directory", given[i][1]) if i in given else (None,) * 3
+        assert got[i] == expected, (i, got[i])
+
+
 # ---- sharding, mixing
 
 @pytest.mark.parametrize("limit", [300, 5_000, 10 ** 9])
