@@ -23,7 +23,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_RATE = 0.5
 Z = 1.645
 
-# Suffixes of two labels under which names are registered.
+# Suffixes of two labels under which names are registered, if no table of suffixes is given.
 SECOND_LEVEL = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "org.uk")
 
 Rule = tuple[str, str, str]  # verdict, host, path
@@ -50,6 +50,28 @@ def registered_domain(host: Column) -> Column:
     return F.when(last_two.isin(*SECOND_LEVEL), F.substring_index(host, ".", -3)).otherwise(last_two)
 
 
+def with_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """The hosts, one row each, with domain and suffix. ``suffixes`` has the rules of a public
+    suffix list in a column suffix: names, ``*.`` for any label and ``!`` for exceptions; the
+    longest that fits counts, an exception before others. Hosts under none fall back."""
+    fallback = hosts.withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", suffix(F.col("host")))
+    if suffixes is None:
+        return fallback
+    rules = stage_table(suffixes.select(F.translate("suffix", UPPER, LOWER).alias("rule")).dropna().distinct(), "suffix-rules")
+    size = F.size(F.split("host", r"\."))
+    ends = hosts.select("host", F.explode(F.sequence(F.lit(1), size)).alias("labels")).withColumn(
+        "end", F.expr("substring_index(host, '.', -labels)"))
+    wild = F.concat(F.lit("*"), F.regexp_replace("end", r"^[^.]*", ""))
+    tries = ends.select("host", "labels", F.explode(F.array("end", wild, F.concat(F.lit("!"), "end"))).alias("rule"))
+    fits = attach(tries, rules.withColumn("fits", F.lit(True)), ["rule"], "inner").groupBy(F.col("host").alias("__host")).agg(
+        F.max(F.when(F.startswith("rule", F.lit("!")), F.col("labels") - 1)).alias("but"), F.max("labels").alias("longest"))
+    n = F.coalesce("but", "longest")
+    found = fallback.join(fits.select("__host", n.alias("__n")), F.col("host") == F.col("__host"), "left")
+    return found.select(
+        *hosts.columns, F.expr("if(__n is null, domain, substring_index(host, '.', -(__n + 1)))").alias("domain"),
+        F.expr("if(__n is null, suffix, substring_index(host, '.', -__n))").alias("suffix"))
+
+
 def match_rules(rules: Sequence[Rule], host: Column, path: Column) -> tuple[Column, Column]:
     """The longest fitting rule's text and verdict, null without one. The rules are a list
     that people write: they become one expression."""
@@ -69,12 +91,11 @@ def outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
             .join(once, F.col("page_id") == F.col("__id"), "left").select("host", "bad"))
 
 
-def reputation(observed: DataFrame, max_rate: float = MAX_RATE, z: float = Z) -> DataFrame:
+def reputation(observed: DataFrame, max_rate: float = MAX_RATE, z: float = Z,
+               suffixes: DataFrame | None = None) -> DataFrame:
     """One row per host of (host, bad) rows: n, bad, domain, suffix, low and blocked."""
-    hosts = stage_table(
-        observed.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-        .withColumn("domain", registered_domain(F.col("host")))
-        .withColumn("suffix", suffix(F.col("host"))), "hosts")
+    counted = observed.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    hosts = stage_table(with_domains(counted, suffixes), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("bad").alias("dbad"))
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("sn"), F.sum("bad").alias("sbad"))
 
@@ -92,9 +113,9 @@ def reputation(observed: DataFrame, max_rate: float = MAX_RATE, z: float = Z) ->
     return stage_table(rated.withColumn("low", low).withColumn("blocked", low > max_rate), "reputation")
 
 
-def filter_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def filter_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], suffixes: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule and verdict of every page."""
-    verdicts = reputation(outcomes(pages, labels)).select("host", "blocked")
+    verdicts = reputation(outcomes(pages, labels), suffixes=suffixes).select("host", "blocked")
     parsed = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     rule, verdict = match_rules(rules, F.col("host"), F.col("path"))
     return attach(parsed, verdicts, ["host"]).select(

@@ -491,6 +491,18 @@ def test_reputation_is_shrunk_to_the_domain(spark):
     assert url_reputation.reputation(observed.limit(0)).collect() == []
 
 
+def test_a_table_of_suffixes_parts_strangers(spark):
+    names = spark.createDataFrame([(s,) for s in ("za", "co.za", "io", "github.io", "*.ck", "!www.ck")], "suffix string")
+    hosts = spark.createDataFrame([(h,) for h in ("a.b.co.za", "x.github.io", "a.b.c.ck", "a.www.ck", "q.co.uk", "co.za", "")], "host string")
+    got = {r.host: (r.domain, r.suffix) for r in url_reputation.with_domains(hosts, names).collect()}
+    assert got == {"a.b.co.za": ("b.co.za", "co.za"), "x.github.io": ("x.github.io", "github.io"), "a.b.c.ck": ("b.c.ck", "c.ck"),
+                   "a.www.ck": ("www.ck", "ck"), "q.co.uk": ("q.co.uk", "co.uk"), "co.za": ("co.za", "co.za"), "": ("", "")}
+    rows = [("bad.co.za", True)] * 300 + [("fine.com", False)] * 300 + [("new.co.za", None)]
+    observed = spark.createDataFrame(rows, "host string, bad boolean").withColumn("bad", F.col("bad").cast("int"))
+    domains = {r.host: r.domain for r in url_reputation.reputation(observed, suffixes=names).collect()}
+    assert domains["new.co.za"] != domains["bad.co.za"]
+
+
 def test_registered_domains(spark):
     hosts = ["a.b.co.uk", "b.com", "com", "", "x.y.z.org"]
     frame = spark.createDataFrame([(h,) for h in hosts], "host string")
