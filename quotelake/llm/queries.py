@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotelake.llm import (bagminhash, chat_windows, decontaminate, host_quality, license_scan, mixing, sharding,
-                           substring_dedup, token_files, url_reputation)
+from quotelake.llm import (bagminhash, chat_windows, decontaminate, host_quality, lexical_search, license_scan, merkle,
+                           mixing, sharding, substring_dedup, token_files, url_reputation)
 from quotelake.llm.common import read_table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -310,3 +310,100 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
     formatted = chat_windows.stage_table(chat_windows.windows(rows.unionByName(probe)), "chat")
     return chat_windows.digests(formatted)
+
+
+@query(rf"""
+WITH terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{lexical_search.UPPER}', '{lexical_search.LOWER}'), '{lexical_search.TERM}')) AS term
+    FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY 1),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, total GROUP BY term),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{lexical_search.UPPER}', '{lexical_search.LOWER}'), '{lexical_search.TERM}')) AS term
+    FROM benchmark),
+scores AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total.terms)))) AS BIGINT) AS score
+    FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), total GROUP BY ALL),
+ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= {lexical_search.TOP}
+""")
+def op11_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(read_table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, read_table(spark, sf_dir, "benchmark"))
+
+
+# crc32 of an ASCII text, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(c)::BIGINT FOR c IN string_split({text}, '')]),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(0, 8)),
+        lambda x, bit: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+
+def _sql_field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _sql_leaf(text: str = "text") -> str:
+    return "sha256(" + " || ".join(_sql_field(text if c == "text" else c) for c in merkle.FIELDS) + ")"
+
+
+# Levels of a tree: as many as MERKLE_SQL_ROWS leaves need.
+_MERKLE_LEVELS = 11  # 3^11 leaves
+
+
+def _sql_tree(name: str, key: str) -> str:
+    """Levels of the trees over {name}_0 (key, pos, h): {name}_l has those of level l."""
+    steps = []
+    for i in range(_MERKLE_LEVELS):
+        steps.append(f"""{name}_{i + 1} AS (
+    SELECT {key}, pos // 3 AS pos, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h,
+           max(n) = 1 AS top, (max(n) + 2) // 3 AS n FROM {name}_{i} GROUP BY {key}, pos // 3)""")
+    return ",\n".join(steps)
+
+
+def _sql_path(tree: str, key: str) -> str:
+    """Proof text and fold through the levels of a tree."""
+    steps = []
+    for i in range(_MERKLE_LEVELS):
+        steps.append(f"""{tree}_p{i + 1} AS (
+    SELECT p.doc_id, p.k, p.pos // 3 AS pos, proof || coalesce(before, '') || coalesce(after, '') AS proof,
+           CASE WHEN n = 1 THEN fold ELSE sha256(coalesce(before, '') || fold || coalesce(after, '')) END AS fold, {key}
+    FROM (SELECT p.*, max(s.n) AS n, string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos < p.pos) AS before,
+                 string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos > p.pos) AS after
+          FROM {tree}_p{i} p JOIN {tree}_{i} s ON s.{key} IS NOT DISTINCT FROM p.{key} AND s.pos // 3 = p.pos // 3
+          GROUP BY ALL) p)""")
+    return ",\n".join(steps)
+
+
+_TAMPERED = f"CASE WHEN {_CRC.format(text='CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+
+
+@query(f"""
+WITH leaves AS (
+    SELECT doc_id, source, {_sql_leaf()} AS leaf, {_sql_leaf('(' + _TAMPERED + ')')} AS fold FROM documents),
+a_0 AS (
+    SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS h,
+           count(*) OVER (PARTITION BY source) AS n, doc_id, fold FROM leaves),
+{_sql_tree("a", "source")},
+subroots AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS spos FROM a_{_MERKLE_LEVELS}),
+b_0 AS (SELECT 0 AS one, spos AS pos, subroot AS h, count(*) OVER () AS n FROM subroots),
+{_sql_tree("b", "one")},
+a_p0 AS (SELECT doc_id, pos AS k, pos, '' AS proof, fold, source FROM a_0),
+{_sql_path("a", "source")},
+b_p0 AS (SELECT doc_id, k, spos AS pos, proof, fold, p.source, 0 AS one
+         FROM a_p{_MERKLE_LEVELS} p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source),
+{_sql_path("b", "one").replace("SELECT p.doc_id, p.k,", "SELECT p.doc_id, p.k, p.source,")}
+SELECT p.doc_id, h AS leaf, subroot, root, sha256(proof) AS proof_sha256, p.fold AS folded_root, p.fold = root AS verified
+FROM b_p{_MERKLE_LEVELS} p JOIN a_0 l ON l.pos = p.k AND l.source IS NOT DISTINCT FROM p.source
+JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source, (SELECT h AS root FROM b_{_MERKLE_LEVELS})
+""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second document, by checksum of its id, is checked with its line feeds deleted."""
+    struck = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = F.when(struck, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.verify(read_table(spark, sf_dir, "documents"), tampered)
