@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotelake.llm import (bagminhash, chat_windows, decontaminate, host_quality, lexical_search, license_scan, merkle,
-                           mixing, sharding, substring_dedup, token_files, url_reputation)
+from quotelake.llm import (bagminhash, chat_windows, decontaminate, host_quality, interpolated_lm, lexical_search,
+                           license_scan, merkle, mixing, sharding, substring_dedup, token_files, url_reputation)
 from quotelake.llm.common import read_table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -407,3 +407,8 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     struck = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     tampered = F.when(struck, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     return merkle.verify(read_table(spark, sf_dir, "documents"), tampered)
+
+
+@query()
+def op13_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score(read_table(spark, sf_dir, "documents"))
