@@ -339,7 +339,7 @@ def search(index: DataFrame, items: DataFrame, k: int = TOP, text: str = "text",
         best = _search_block(index, chosen, size.docs, size.terms, k)
         found = best if found is None else found.unionByName(best)
     if found is None:
-        found = spark.range(0).select(F.lit(None).cast("long").alias(c) for c in ("item", "doc_id", "score"))
+        found = spark.range(0).select(*(F.lit(None).cast("long").alias(c) for c in ("item", "doc_id", "score")))
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     names = named.select(F.col("item").alias("__item"), "item_id")
