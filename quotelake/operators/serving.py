@@ -47,8 +47,8 @@ def daily_partials(fact: DataFrame, zero_as_null: bool = False, *extra: Column)
     )
 
 
-def merge_daily(partials: DataFrame) -> DataFrame:
-    """Fold partials of several batches to one per symbol and date."""
+def merge_daily(partials: DataFrame, *extra: Column) -> DataFrame:
+    """Fold partials of several batches to one per symbol and date, with ``extra`` aggregates if any."""
     return partials.groupBy(*DAILY_KEYS).agg(
         F.sum("num_transactions").alias("num_transactions"),
         F.sum("sum_price").alias("sum_price"),
@@ -57,15 +57,16 @@ def merge_daily(partials: DataFrame) -> DataFrame:
         F.sum("total_volume").alias("total_volume"),
         F.max("highest_day_high").alias("highest_day_high"),
         F.min("lowest_day_low").alias("lowest_day_low"),
+        *extra,
     )
 
 
-def finish_daily(partials: DataFrame) -> DataFrame:
-    """Merged partials -> the summary's columns."""
+def finish_daily(partials: DataFrame, *extra: str) -> DataFrame:
+    """Merged partials -> the summary's columns, and ``extra`` ones."""
     return partials.select(
         "symbol", "trade_date", "num_transactions",
         (F.col("sum_price").cast("double") / F.col("num_transactions")).alias("avg_price"),
-        "max_price", "min_price", "total_volume", "highest_day_high", "lowest_day_low",
+        "max_price", "min_price", "total_volume", "highest_day_high", "lowest_day_low", *extra,
     )
 
 

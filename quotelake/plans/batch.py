@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quotelake.functions import latency_ms, whole_second_latency_ms
-from quotelake.operators import analytics, cleaning, health, ingest, modelling, serving
+from quotelake.operators import analytics, cleaning, health, ingest, layout, modelling, offsets, serving, sketches
 from quotelake.plans import frames
 from quotelake.schema import MESSAGE_FIELDS
 from quotelake.sources import files
+from quotelake.sources.staging import stage_table
 from quotelake.sources.workdir import new_workdir
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -573,3 +575,91 @@ SELECT count(*) AS num_workers, round(avg(a), 6) AS avg_response_time_ms,
   CAST(sum(t) AS BIGINT) AS total_execution_time_ms FROM w""")
 def latency_two_level(spark, sf):
     return health.latency_two_level(_latencies(spark, sf), "user_id")
+
+
+# Offsets: gaps and repeated reads
+
+# Messages of the first so many k are lost, and the topic has two partitions, one with most.
+LOST = 7
+
+
+@query(f"""WITH {WITH_K},
+seen AS (SELECT CASE WHEN user_id % 5 = 0 THEN 1 ELSE 0 END AS "partition", event_id AS o FROM k WHERE k >= {LOST}
+  UNION ALL SELECT p, unnest([-1, (SELECT max(event_id) + 1 FROM events)]) FROM (VALUES (0), (1)) t(p)),
+steps AS (SELECT "partition", lag(o) OVER (PARTITION BY "partition" ORDER BY o) AS before, o FROM seen)
+SELECT 'quotes' AS topic, "partition", before + 1 AS from_offset, o - 1 AS to_offset, o - before - 1 AS missing
+FROM steps WHERE o - before > 1""")
+def offset_gaps(spark, sf):
+    events = _events(spark, sf)
+    arrived = events.filter(frames.k_number() >= LOST)
+    hot = F.when(F.col("user_id") % 5 == 0, 1).otherwise(0)
+    seen = frames.messages(arrived, hot)
+    expected = spark.range(2).select(
+        F.lit("quotes").alias("topic"), F.col("id").cast("int").alias("partition"), F.lit(0).cast("long").alias("first_offset"),
+        events.agg(F.max("event_id")).scalar().alias("last_offset"))
+    return offsets.offset_gaps(seen, expected, width=1000)
+
+
+# The first reading ends after eight tenths of the topic, the second begins after five.
+@query(f"""WITH {CLEAN_SQL}
+SELECT {FACT_TABLE_COLUMNS}, CASE WHEN "offset" < (SELECT max(event_id) * 8 // 10 FROM events) THEN 'first' ELSE 'second' END AS query_id
+FROM clean""")
+def repeated_reads(spark, sf):
+    facts = modelling.fact_rows(cleaning.clean_quotes(_parsed(spark, sf)))
+    last = _events(spark, sf).agg(F.max("event_id").alias("last"))
+    begin = last.select(F.expr("last * 5 div 10")).scalar()
+    first = facts.filter(F.col("offset") < last.select(F.expr("last * 8 div 10")).scalar()).select(
+        "*", F.lit("first").alias("query_id"), F.floor(F.col("offset") / 1000).alias("batch_id"))
+    second = facts.filter(F.col("offset") >= begin).withColumn(
+        "load_time", F.col("load_time") + F.expr("INTERVAL 1 HOUR")).select(
+        "*", F.lit("second").alias("query_id"), F.floor((F.col("offset") - begin) / 700).alias("batch_id"))
+    kept = offsets.drop_repeated_reads(first.unionByName(second))
+    return _zoneless(kept.drop("id", "processing_time", "load_time", "topic", "partition", "batch_id"), "event_time")
+
+
+# Tables bucketed by symbol
+
+def _saved(df: DataFrame, name: str, *order: str) -> DataFrame:
+    return layout.save_bucketed(df, f"quotelake_{name}_{uuid4().hex}", 16, "symbol", *order)
+
+
+def _saved_fact(spark: SparkSession, sf: str) -> DataFrame:
+    return _saved(_fact(spark, sf), "fact", "event_time")
+
+
+@query(f"WITH {FACT_SQL}, {LATEST_SQL} SELECT symbol, event_time, price, volume FROM latest")
+def bucketed_latest(spark, sf):
+    return layout.latest_per_symbol(_saved_fact(spark, sf), "price", "volume")
+
+
+@query(f"""WITH {FACT_SQL}, {DIM_SQL}
+SELECT fact.*, company_name, sector FROM fact JOIN dim USING (symbol)
+WHERE event_time >= (SELECT max(event_time) FROM fact) - INTERVAL 7 DAY""")
+def bucketed_dashboard(spark, sf):
+    fact, dim = _saved_fact(spark, sf), _saved(_dim(spark, sf), "dim")
+    return layout.with_bucketed_dim(serving.recent(fact, "7 DAY", _last_event(fact)), dim, ["company_name", "sector"])
+
+
+@query(f"WITH {FACT_SQL} SELECT id, price, event_time FROM fact WHERE symbol = 'S5'")
+def bucketed_symbol(spark, sf):
+    return _saved_fact(spark, sf).filter(F.col("symbol") == "S5").select("id", "price", "event_time")
+
+
+# Mergeable distinct counts
+
+SKETCH_DAYS = (date(2024, 1, 8), date(2024, 1, 21))
+
+
+@query(f"""WITH {FACT_SQL}, {DIM_SQL}
+SELECT sector, count(DISTINCT symbol) AS n_symbols, true AS within_5_percent FROM fact JOIN dim USING (symbol)
+WHERE CAST(event_time AS DATE) BETWEEN '{SKETCH_DAYS[0]}' AND '{SKETCH_DAYS[1]}' GROUP BY sector""")
+def distinct_symbols_sketch(spark, sf):
+    """Symbols traded per sector in two weeks: exact, beside the union of the days' stored sketches."""
+    traded = _fact(spark, sf).select("symbol", F.to_date("event_time").alias("trade_date")).distinct()
+    named = serving.with_dim(traded, _dim(spark, sf), ["sector"])
+    days = stage_table(sketches.distinct_partials(named, "symbol", ("trade_date", "sector")), "distinct-symbols")
+    within = F.col("trade_date").between(*map(F.lit, SKETCH_DAYS))
+    about = sketches.merged_distinct(days.filter(within), ("sector",), "about")
+    exact = named.filter(within).groupBy("sector").agg(F.count_distinct("symbol").alias("n_symbols"))
+    return exact.join(about, "sector").select(
+        "sector", "n_symbols", (F.abs(F.col("about") - F.col("n_symbols")) <= 0.05 * F.col("n_symbols")).alias("within_5_percent"))

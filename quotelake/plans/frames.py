@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _k() -> Column:
+def k_number() -> Column:
     return F.regexp_extract("props", r'"k": *(\d+)', 1).cast("bigint")
 
 
@@ -34,7 +34,7 @@ def quotes(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("id"),
         _symbol("user_id").alias("symbol"),
         F.col("value").cast(MONEY).alias("price"),
-        _k().alias("volume"),
+        k_number().alias("volume"),
         _at().alias("event_time"),
     ).select(
         "id", "symbol", "price", "volume",
@@ -100,7 +100,7 @@ def part_dim(part: DataFrame) -> DataFrame:
 def latencies(events: DataFrame) -> DataFrame:
     """events with a processing time of k * 37 ms after the event."""
     start = F.col("ts").cast("timestamp")
-    end = F.timestamp_add("MILLISECOND", _k() * 37, start)
+    end = F.timestamp_add("MILLISECOND", k_number() * 37, start)
     return events.select(
         F.col("event_id").alias("id"), "user_id", "event_type",
         start.alias("event_time"), end.alias("processing_time"))
@@ -115,8 +115,9 @@ FAULTS = {
 }
 
 
-def messages(events: DataFrame) -> DataFrame:
-    """events -> topic rows: a JSON quote each, faulty where k is in ``FAULTS``."""
+def messages(events: DataFrame, partition: Column | None = None) -> DataFrame:
+    """events -> topic rows: a JSON quote each, faulty where k is in ``FAULTS``. All are of
+    partition 0 unless ``partition`` says otherwise."""
     code = {name: k for k, name in FAULTS.items()}
     k = F.col("k")
 
@@ -127,8 +128,9 @@ def messages(events: DataFrame) -> DataFrame:
         return F.when(k != code[fault], value)
 
     base = events.select(
-        "event_id", "user_id", "event_type", "value", _k().alias("k"),
-        F.col("ts").cast("timestamp").alias("at"), _symbol("user_id").alias("plain"))
+        "event_id", "user_id", "event_type", "value", k_number().alias("k"),
+        F.col("ts").cast("timestamp").alias("at"), _symbol("user_id").alias("plain"),
+        (F.lit(0) if partition is None else partition).cast("int").alias("partition"))
     symbol = unless("symbol_long", unless("symbol_empty", F.col("plain"), F.lit("")),
                     F.rpad(F.col("plain"), 21, "X"))
     symbol = null_if("symbol_null", symbol)
@@ -160,7 +162,7 @@ def messages(events: DataFrame) -> DataFrame:
         F.col("plain").cast("binary").alias("key"),
         body.cast("binary").alias("value"),
         F.lit("quotes").alias("topic"),
-        F.lit(0).alias("partition"),
+        "partition",
         F.col("event_id").alias("offset"),
         F.col("at").alias("timestamp"),
     )
@@ -169,7 +171,7 @@ def messages(events: DataFrame) -> DataFrame:
 def vendor_payloads(events: DataFrame) -> DataFrame:
     """events -> vendor payload texts; some lack fields, the root, or valid content."""
     k = F.col("k")
-    base = events.select(_k().alias("k"), "value", "event_id",
+    base = events.select(k_number().alias("k"), "value", "event_id",
                          _symbol("user_id").alias("symbol"),
                          F.col("ts").cast("timestamp").alias("fetched_at"))
     fields = F.map_from_arrays(
@@ -188,3 +190,19 @@ def vendor_payloads(events: DataFrame) -> DataFrame:
         .otherwise(payload)
     )
     return base.select("event_id", "symbol", payload.alias("payload"), "fetched_at")
+
+
+# Deliveries in which the stream queries get their rows.
+ARRIVALS = 4
+
+
+def arrivals(rows: DataFrame, time: str, number: str, late: bool = True) -> DataFrame:
+    """Rows with ``arrival``, the delivery that brings them: the quarters of the time they span,
+    in order. With ``late``, of ten rows one comes two deliveries after its quarter's."""
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    span = rows.agg(F.min(micros).alias("first"), F.max(micros).alias("last"))
+    placed = rows.withColumns({"__at": micros, "__first": span.select("first").scalar(), "__last": span.select("last").scalar()})
+    quarter = F.expr(f"{ARRIVALS} * (__at - __first) div (__last - __first + 1)")
+    delay = F.when(F.col(number) % 10 == 3, 2).otherwise(0) if late else F.lit(0)
+    return placed.withColumn("arrival", F.least(F.lit(ARRIVALS - 1), (quarter + delay).cast("int"))).drop(
+        "__at", "__first", "__last")

@@ -57,21 +57,12 @@ NO_PARTITION = -1
 FACT_MEASURES = ("price", "volume", "day_high", "day_low", "change", "change_percent")
 FACT_COLUMNS = ("symbol", *FACT_MEASURES, "event_time", "processing_time", "load_time")
 
-# Batch directories add these two to the markers and to tables without them.
+# The folders of a micro-batch add these two.
 BATCH_KEYS = [
     T.StructField("query_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ]
 
-# What the marker of a batch, or of a compaction of one table, says.
-COMMIT = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("dates", T.ArrayType(T.DateType())),
-    T.StructField("table", T.StringType()),
-    T.StructField("replaces", T.ArrayType(T.StringType())),
-    T.StructField("committed_at", T.TimestampType()),
-])
-
 FACT = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("symbol", T.StringType()),
@@ -122,6 +113,19 @@ DAILY_PARTIAL = T.StructType([
     T.StructField("load_time", T.TimestampType()),
 ])
 
+DAILY = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("trade_date", T.DateType()),
+    T.StructField("num_transactions", T.LongType()),
+    T.StructField("avg_price", T.DoubleType()),
+    T.StructField("max_price", MONEY),
+    T.StructField("min_price", MONEY),
+    T.StructField("total_volume", T.DecimalType(38, 0)),
+    T.StructField("highest_day_high", MONEY),
+    T.StructField("lowest_day_low", MONEY),
+    T.StructField("load_time", T.TimestampType()),
+])
+
 QUARANTINE = T.StructType([
     T.StructField("reject_reason", T.StringType()),
     T.StructField("raw_value", T.StringType()),
@@ -132,6 +136,13 @@ QUARANTINE = T.StructType([
     T.StructField("offset", T.LongType()),
 ])
 
+BATCH_METRICS = T.StructType([
+    T.StructField("started_at", T.TimestampType()),
+    T.StructField("num_input_rows", T.LongType()),
+    T.StructField("batch_ms", T.LongType()),
+    T.StructField("figures", T.MapType(T.StringType(), T.LongType())),
+])
+
 DELETES = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("deleted_at", T.TimestampType()),

@@ -12,8 +12,9 @@ from quotelake.operators.cleaning import accepted, flag_quotes, rejected
 from quotelake.operators.health import WINDOW_SECONDS, throughput_windows
 from quotelake.operators.ingest import parse_quotes
 from quotelake.operators.modelling import dim_changes, fact_rows, first_quotes
-from quotelake.operators.serving import daily_partials
-from quotelake.streaming.tables import Tables, commit, is_committed, new_try, write_batch, write_part, written_dates
+from quotelake.operators.serving import daily_partials, with_dim
+from quotelake.operators.sketches import quantile_partials
+from quotelake.streaming.tables import DAILY_DAY, FACT_DAY, Tables, read_dim, refresh_daily, write_batch, written_dates
 
 # Fixed value: trigger interval of the fact writer.
 FACT_TRIGGER = "5 seconds"
@@ -34,34 +35,32 @@ def flag_messages(messages: DataFrame, volume=None, **options) -> DataFrame:
 def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
                after_write: BatchHook | None = None, backfill: bool = False,
                zero_as_null: bool = False) -> None:
-    """Write one batch of flagged rows: dimension, facts, daily rows, quarantine, marker.
+    """Write one batch of flagged rows: dimension, facts, quarantine, daily parts, daily summary.
 
-    The dimension comes from the same rows, so no fact lacks its symbol. Readers see the
-    four tables' rows when the marker is written, last, after ``after_write``; a batch that
-    has one is left alone. The batch is parsed once and kept while the tables are written;
-    lost blocks are computed again from the source.
+    The dimension comes from the same rows and is first, so no fact lacks its symbol. A
+    repeated try replaces what an earlier one wrote. The batch is parsed once and kept while
+    the tables are written; lost blocks are computed again from the source.
     """
-    spark = flagged.sparkSession
-    if is_committed(spark, tables, query_id, batch_id):
-        return
     flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+    batch = (query_id, batch_id)
     try:
         if flagged.isEmpty():
             return
         clean = accepted(flagged)
         changes = dim_changes(clean)
-        facts = fact_rows(clean).withColumn("event_date", F.to_date("event_time"))
-        name = new_try(query_id, batch_id)
-        write_part(changes, tables, "dim", name)
-        write_part(facts.hint("rebalance", "event_date") if backfill else facts, tables, "fact", name)
-        write_part(daily_partials(facts, zero_as_null, F.max("load_time").alias("load_time")), tables, "daily", name)
+        facts = fact_rows(clean).withColumn(FACT_DAY, F.to_date("event_time"))
+        write_batch(changes, tables.dim, *batch)
+        write_batch(facts.hint("rebalance", FACT_DAY) if backfill else facts, tables.fact, *batch, FACT_DAY)
         bad = rejected(flagged).select(
             "reject_reason", "raw_value", "symbol", "processing_time",
             "topic", "partition", "offset")
-        write_part(bad, tables, "quarantine", name)
+        write_batch(bad, tables.quarantine, *batch)
+        parts = daily_partials(facts, zero_as_null, F.max("load_time").alias("load_time"))
+        write_batch(parts, tables.daily_parts, *batch, DAILY_DAY)
+        if days := written_dates(facts):
+            refresh_daily(flagged.sparkSession, tables, days)
         if after_write:
             after_write(changes, facts)
-        commit(spark, tables, query_id, batch_id, name, written_dates(facts))
     finally:
         flagged.unpersist()
 
@@ -95,6 +94,30 @@ def start_star_job(messages: DataFrame, tables: Tables, checkpoint: str,
     return (writer.queryName(name) if name else writer).start()
 
 
+def start_enriched_job(messages: DataFrame, tables: Tables, path: str, checkpoint: str,
+                       trigger: dict, **options) -> StreamingQuery:
+    """Facts with company and sector from the dimension as each batch leaves it.
+
+    A batch adds its changes to the dimension and then joins its facts with it, so a symbol
+    renamed by a batch has its new name from that batch on, and a replayed batch sees the
+    dimension as at its first try. Options are those of ``flag_messages``.
+    """
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        spark, query_id = batch.sparkSession, stream_query_id(batch.sparkSession)
+        clean = accepted(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if clean.isEmpty():
+                return
+            write_batch(dim_changes(clean), tables.dim, query_id, batch_id)
+            dim = read_dim(spark, tables, (query_id, batch_id))
+            write_batch(with_dim(fact_rows(clean), dim, ["company_name", "sector"]), path, query_id, batch_id)
+        finally:
+            clean.unpersist()
+
+    return (flag_messages(messages, **options).writeStream.foreachBatch(run_batch).trigger(**trigger)
+            .option("checkpointLocation", checkpoint).start())
+
+
 def start_first_seen_job(clean: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Keep each symbol's first quote in a table of batch directories.
 
@@ -109,6 +132,16 @@ def start_first_seen_job(clean: DataFrame, path: str, checkpoint: str, trigger:
             .option("checkpointLocation", checkpoint).start())
 
 
+def start_sketch_job(rows: DataFrame, column: str, by: tuple[str, ...], path: str, checkpoint: str,
+                     trigger: dict) -> StreamingQuery:
+    """Keep one quantile sketch per batch and group; ``sketches.merged_quantiles`` reads them."""
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        write_batch(quantile_partials(batch, column, by), path, stream_query_id(batch.sparkSession), batch_id)
+
+    return (rows.writeStream.foreachBatch(run_batch).trigger(**trigger)
+            .option("checkpointLocation", checkpoint).start())
+
+
 def start_throughput_job(messages: DataFrame, path: str, checkpoint: str, trigger: dict,
                          time_column: str = "timestamp", delay: str | None = None,
                          seconds: int = WINDOW_SECONDS) -> StreamingQuery:

@@ -7,6 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quotelake.operators.health import WINDOW_SECONDS, throughput_windows
 from quotelake.operators.serving import with_dim
+from quotelake.schema import SOURCE_COORDINATES
+from quotelake.streaming.metrics import state_rows
+
 
 def first_seen_within(quotes: DataFrame, delay: str) -> DataFrame:
     """First-seen symbols with state bounded by a watermark: a symbol may come again later."""
@@ -17,6 +20,41 @@ def first_seen_within(quotes: DataFrame, delay: str) -> DataFrame:
     )
 
 
+def symbol_sessions(quotes: DataFrame, idle: str, delay: str) -> DataFrame:
+    """When each symbol was quoted: from its first quote to ``idle`` after its last.
+
+    State is an open session per symbol, and leaves when the watermark passes its end; a
+    symbol that comes again later than that is first seen anew. Sessions of a batch are merged
+    per task before the shuffle, so a hot symbol ships one row per task and session.
+    """
+    return (quotes.withWatermark("event_time", delay)
+            .groupBy("symbol", F.session_window("event_time", idle).alias("session"))
+            .agg(F.count("*").alias("quotes"))
+            .select("symbol", F.col("session.start").alias("session_start"),
+                    F.col("session.end").alias("session_end"), "quotes"))
+
+
+def once_per_window(messages: DataFrame, delay: str, seconds: int = WINDOW_SECONDS) -> DataFrame:
+    """Messages per closed window, each message once.
+
+    A message read again within ``delay`` is not counted again. Messages at or before the
+    watermark are late: they are dropped, one by one, by the first of the two stateful
+    operators (``DEDUPE`` in the progress), so that its figure of dropped rows counts
+    messages; that of the window counts groups of a task. State holds the coordinates of the
+    messages of ``delay``, so keep it short where there are many.
+    """
+    once = messages.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(list(SOURCE_COORDINATES))
+    return throughput_windows(once, "timestamp", seconds)
+
+
+DEDUPE = "dedupeWithinWatermark"
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Messages that :func:`once_per_window` dropped as late, by the reported batches."""
+    return sum(state_rows(query, DEDUPE, "numRowsDroppedByWatermark"))
+
+
 def throughput_stream(messages: DataFrame, time_column: str = "timestamp",
                       delay: str | None = None, seconds: int = WINDOW_SECONDS) -> DataFrame:
     """Rows per window. With ``delay``: closed windows, append mode. Without: complete mode."""

@@ -1,36 +1,30 @@
-"""Replay-safe tables of the streaming job.
+"""Tables of the streaming job, as folders that Spark's writer replaces whole.
 
-Each try of a micro-batch writes directories of its own, ``event_date=<d>/batch=<try>`` in
-the fact table, ``trade_date=<d>/batch=<try>`` in the daily one, ``batch=<try>`` in the
-others, and then one marker that names the try and its dates. Readers take the directories
-that markers name, of the dates asked for, and list no others: a batch is visible in all
-tables at once or in none, and a try without a marker never is. A batch that has its marker
-is not written again. Summary tables hold what each batch adds; readers fold the batches.
+A micro-batch writes its rows under its query and batch number, below their date in the fact
+table and the daily parts. A repeated try of a batch replaces the same folders (in tables with
+dates by dynamic partition overwrite), so a replay changes nothing. The daily summary is
+stored final: a batch computes the dates it touches anew, from the daily parts of all batches,
+and replaces just these. Readers leave files and partitions to Spark.
 
-A reader's driver holds one marker per batch, as Spark holds the files to read;
-:func:`compact` keeps the directories few while the stream runs.
+A job writes the dimension before the facts and the daily summary after its parts. A reader
+may see a batch in one table and not yet in the next; it never sees a fact without its symbol.
+One job at a time writes under a root. :func:`rewrite_tables` makes large files of many small.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
-from uuid import uuid4
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quotelake import schema
 from quotelake.operators.modelling import first_quotes, merge_dim
+from quotelake.operators.offsets import drop_repeated_reads
 from quotelake.operators.serving import daily_partials, finish_daily, merge_daily
 
-# Name, columns and date column of the tables that a batch writes.
-PARTS = {
-    "fact": (schema.FACT, "event_date"),
-    "dim": (schema.DIM, None),
-    "daily": (schema.DAILY_PARTIAL, "trade_date"),
-    "quarantine": (schema.QUARANTINE, None),
-}
+FACT_DAY, DAILY_DAY = "event_date", "trade_date"
 
 
 @dataclass(frozen=True)
@@ -45,6 +39,10 @@ class Tables:
     def dim(self) -> str:
         return f"{self.root}/dim"
 
+    @property
+    def daily_parts(self) -> str:
+        return f"{self.root}/daily_parts"
+
     @property
     def daily(self) -> str:
         return f"{self.root}/daily"
@@ -57,123 +55,72 @@ class Tables:
     def deletes(self) -> str:
         return f"{self.root}/deletes"
 
-    @property
-    def commits(self) -> str:
-        return f"{self.root}/commits"
 
+def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int, day: str | None = None) -> None:
+    """Write the folders of one micro-batch, below those of ``day`` if given, replacing an earlier try."""
+    if day is None:
+        df.write.mode("overwrite").parquet(f"{path}/query_id={query_id}/batch_id={batch_id}")
+    else:
+        _replace(df.withColumns({"query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast("long")}),
+                 path, day, *(k.name for k in schema.BATCH_KEYS))
 
-def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
-    """Write the directory of one micro-batch, replacing an earlier try."""
-    df.write.mode("overwrite").parquet(f"{path}/query_id={query_id}/batch_id={batch_id}")
 
-
-def _read(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame | None:
-    """The table, or None before its first batch."""
-    try:
-        return spark.read.schema(columns).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _replace(df: DataFrame, path: str, *partitions: str) -> None:
+    """Replace the partitions that the frame has rows of."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions).parquet(path))
 
 
 def _empty(spark: SparkSession, columns: T.StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(field.dataType).alias(field.name) for field in columns])
 
 
-def _scan(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
-    columns = T.StructType([*columns.fields, *schema.BATCH_KEYS])
-    found = _read(spark, path, columns)
-    return _empty(spark, columns) if found is None else found
-
-
-def new_try(query_id: str, batch_id: int) -> str:
-    return f"{query_id}-{batch_id}-{uuid4().hex}"
-
-
-def write_part(df: DataFrame, tables: Tables, table: str, name: str) -> None:
-    """Write a try's directories of one table, each date's apart."""
-    path, day = f"{tables.root}/{table}", PARTS[table][1]
-    if day is None:
-        df.write.parquet(f"{path}/batch={name}")
-    else:
-        # Dynamic overwrite stages a job's files in a folder of its own, so that jobs with
-        # one target do not meet; no other try has these partitions.
-        (df.withColumn("batch", F.lit(name)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(day, "batch").parquet(path))
-
+def _read(spark: SparkSession, path: str, columns: T.StructType, within: str = "") -> DataFrame:
+    """The table, or its folders that match ``within``; empty before the first batch."""
+    try:
+        return spark.read.schema(columns).option("basePath", path).parquet(f"{path}/{within}" if within else path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return _empty(spark, columns)
 
-def written_dates(facts: DataFrame) -> list[date | None]:
-    return [day for (day,) in facts.select("event_date").distinct().collect()]
 
+def _scan(spark: SparkSession, path: str, columns: T.StructType, within: str = "") -> DataFrame:
+    """The rows of all batches, with ``schema.BATCH_KEYS``."""
+    return _read(spark, path, T.StructType([*columns.fields, *schema.BATCH_KEYS]), within)
 
-def commit(spark: SparkSession, tables: Tables, query_id: str, batch_id: int, name: str, dates: list[date | None],
-           table: str | None = None, replaces: list[str] | None = None) -> None:
-    """Make a try's directories visible; with ``replaces``, in place of those of one table."""
-    marker = spark.createDataFrame([(name, dates, table, replaces or [])], "name string, dates array<date>, table string, replaces array<string>")
-    marker = marker.select("*", F.current_timestamp().alias("committed_at")).coalesce(1)
-    write_batch(marker, tables.commits, query_id, batch_id)
 
+def _days(column: str, days: list[date]) -> str:
+    """Pattern of the folders of these dates."""
+    return f"{column}={{{','.join(map(str, days))}}}"
 
-def is_committed(spark: SparkSession, tables: Tables, query_id: str, batch_id: int) -> bool:
-    path = f"{tables.commits}/query_id={query_id}/batch_id={batch_id}"
-    marker = _read(spark, path, schema.COMMIT)
-    return marker is not None and not marker.isEmpty()
 
+def _between(column: str, first: date | None, last: date | None) -> str:
+    if not first or not last:
+        return ""
+    return _days(column, [first + timedelta(n) for n in range(max(1, (last - first).days + 1))])
 
-def _markers(spark: SparkSession, tables: Tables) -> list[Row]:
-    return sorted(_scan(spark, tables.commits, schema.COMMIT).collect(), key=lambda m: (m.committed_at, m.name))
 
+def _bounded(df: DataFrame, column: str, first: date | None, last: date | None) -> DataFrame:
+    for bound, keep in ((first, F.col(column) >= F.lit(first)), (last, F.col(column) <= F.lit(last))):
+        df = df.filter(keep) if bound else df
+    return df
 
-def _live(markers: list[Row], table: str) -> dict[date | None, list[str]]:
-    """The names to read, by date; under None for tables without dates.
 
-    Of two compactions of the same directories, the first counts.
-    """
-    dated = PARTS[table][1] is not None
-    live: dict[date | None, list[str]] = {}
-    for marker in markers:
-        if marker.table is None:
-            for day in marker.dates if dated else [None]:
-                live.setdefault(day, []).append(marker.name)
-    for marker in markers:
-        if marker.table == table:
-            names = live.get(marker.dates[0], [])
-            if set(marker.replaces) <= set(names):
-                live[marker.dates[0]] = [n for n in names if n not in marker.replaces] + [marker.name]
-    return live
-
-
-def _directory(tables: Tables, table: str, day: date | None, name: str) -> str:
-    column = PARTS[table][1]
-    value = "__HIVE_DEFAULT_PARTITION__" if day is None else day
-    return f"{tables.root}/{table}/" + (f"{column}={value}/" if column else "") + f"batch={name}"
-
-
-def _load(spark: SparkSession, tables: Tables, table: str, live: dict[date | None, list[str]]) -> DataFrame:
-    columns = PARTS[table][0]
-    paths = [_directory(tables, table, day, name) for day, names in live.items() for name in names]
-    if not paths:
-        return _empty(spark, columns)
-    stored = T.StructType([*columns.fields, T.StructField("batch", T.StringType())])
-    return spark.read.schema(stored).option("basePath", f"{tables.root}/{table}").parquet(*paths).drop("batch")
+def written_dates(facts: DataFrame) -> list[date]:
+    return [day for (day,) in facts.select(FACT_DAY).distinct().collect()]
 
 
-def _table(spark: SparkSession, tables: Tables, table: str, first: date | None = None,
-           last: date | None = None) -> DataFrame:
-    """The committed rows of a table, of the dates from ``first`` to ``last``."""
-    live = _live(_markers(spark, tables), table)
-    if first or last:
-        live = {day: names for day, names in live.items()
-                if day and (first is None or first <= day) and (last is None or day <= last)}
-    return _load(spark, tables, table, live)
+def refresh_daily(spark: SparkSession, tables: Tables, dates: list[date]) -> None:
+    """Compute the daily summary of these dates anew and replace them."""
+    parts = _scan(spark, tables.daily_parts, schema.DAILY_PARTIAL, _days(DAILY_DAY, dates))
+    merged = merge_daily(_without_deleted(parts, tables), F.max("load_time").alias("load_time"))
+    _replace(finish_daily(merged, "load_time").repartition(DAILY_DAY), tables.daily, DAILY_DAY)
 
 
 def _without_deleted(rows: DataFrame, tables: Tables) -> DataFrame:
     """Rows not covered by a later delete of their symbol."""
     deletes = _read(rows.sparkSession, tables.deletes, schema.DELETES)
-    if deletes is None:
-        return rows
     last = deletes.groupBy("symbol").agg(F.max("deleted_at").alias("deleted_at"))
     gone = (rows["symbol"] == last["symbol"]) & (rows["load_time"] <= last["deleted_at"])
     return rows.join(last, gone, "left_anti")
@@ -181,17 +128,27 @@ def _without_deleted(rows: DataFrame, tables: Tables) -> DataFrame:
 
 def read_fact(spark: SparkSession, tables: Tables, first: date | None = None, last: date | None = None) -> DataFrame:
     """The facts, or those of the dates from ``first`` to ``last``: other dates are not even listed."""
-    return _without_deleted(_table(spark, tables, "fact", first, last), tables)
+    return _facts(spark, tables, first, last).drop(*(k.name for k in schema.BATCH_KEYS))
+
 
+def _facts(spark: SparkSession, tables: Tables, first: date | None = None, last: date | None = None) -> DataFrame:
+    rows = _scan(spark, tables.fact, schema.FACT, _between(FACT_DAY, first, last))
+    return _without_deleted(_bounded(rows, FACT_DAY, first, last), tables)
 
-def read_dim(spark: SparkSession, tables: Tables) -> DataFrame:
-    """The dimension: one row per symbol."""
-    return merge_dim(_table(spark, tables, "dim"))
+
+def read_dim(spark: SparkSession, tables: Tables, until: tuple[str, int] | None = None) -> DataFrame:
+    """The dimension: one row per symbol. ``until``: as a query and batch number left it."""
+    changes = _scan(spark, tables.dim, schema.DIM)
+    if until:
+        query_id, batch_id = until
+        changes = changes.filter((F.col("query_id") != query_id) | (F.col("batch_id") <= batch_id))
+    return merge_dim(changes.drop("query_id", "batch_id"))
 
 
 def read_daily(spark: SparkSession, tables: Tables, first: date | None = None, last: date | None = None) -> DataFrame:
-    """The daily summary, folded from what each batch added; dates as in :func:`read_fact`."""
-    return finish_daily(merge_daily(_without_deleted(_table(spark, tables, "daily", first, last), tables)))
+    """The stored daily summary; dates as in :func:`read_fact`."""
+    rows = _read(spark, tables.daily, schema.DAILY, _between(DAILY_DAY, first, last))
+    return _without_deleted(_bounded(rows, DAILY_DAY, first, last), tables).drop("load_time")
 
 
 def read_first_seen(spark: SparkSession, path: str) -> DataFrame:
@@ -201,7 +158,7 @@ def read_first_seen(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_quarantine(spark: SparkSession, tables: Tables) -> DataFrame:
-    return _table(spark, tables, "quarantine")
+    return _scan(spark, tables.quarantine, schema.QUARANTINE).drop(*(k.name for k in schema.BATCH_KEYS))
 
 
 def read_throughput(spark: SparkSession, path: str) -> DataFrame:
@@ -225,63 +182,33 @@ def delete_symbol_rows(spark: SparkSession, tables: Tables, symbol: str) -> None
     ).write.mode("append").parquet(tables.deletes)
 
 
-def compact(spark: SparkSession, tables: Tables, before: date) -> int:
-    """Copy the many directories of each date before ``before``, and of the tables without
-    dates, into one each; how many were written. The stream may go on meanwhile.
-
-    The copy becomes visible by its marker, in place of just the directories it was made
-    of; what arrives late for a date stays beside it. Rows keep their load time, so deletes
-    hold as before. The directories replaced stay, for readers that began earlier.
-    """
-    markers, written = _markers(spark, tables), 0
-    for table, (_, column) in PARTS.items():
-        for day, names in _live(markers, table).items():
-            if len(names) < 2 or (column and (day is None or day >= before)):
-                continue
-            rows = _load(spark, tables, table, {day: names})
-            if table == "dim":
-                rows = merge_dim(rows)
-            elif column:
-                rows = rows.drop(column).hint("rebalance").sortWithinPartitions(
-                    "symbol", *(["event_time"] if table == "fact" else []))
-            else:
-                rows = rows.hint("rebalance")
-            query_id = f"compact-{uuid4().hex}"
-            name = new_try(query_id, 0)
-            rows.write.parquet(_directory(tables, table, day, name))
-            commit(spark, tables, query_id, 0, name, [day], table, names)
-            written += 1
-    return written
-
-
 def rewrite_tables(spark: SparkSession, source: Tables, target: Tables,
                    drop_repeated_offsets: bool = False, zero_as_null: bool = False) -> Tables:
-    """Copy the tables into a new root, many small batch directories becoming one.
+    """Copy the tables into a new root, many small batch folders becoming one.
 
-    Batches that a running stream commits meanwhile may be missing. The source stays as it was. Files are
+    Batches that a running stream writes meanwhile may be missing. The source stays as it was. Files are
     balanced by date with hot dates split and sorted by symbol and time, so that a scan
     for a symbol skips row groups; deletes are applied and batches folded.
     ``drop_repeated_offsets`` also removes messages a second query read again from the
-    start of the topic; it shuffles every fact, so it is off by default. Messages without
+    start of the topic; only batches whose offsets overlap are shuffled for it. Messages without
     an offset (partition ``schema.NO_PARTITION``, from text files) all stay: equal ones
     may be quotes of their own. ``zero_as_null`` must be what the job was started with.
     """
-    facts = read_fact(spark, source)
+    facts = _facts(spark, source)
     if drop_repeated_offsets:
-        numbered = F.col("partition") != schema.NO_PARTITION
-        facts = facts.filter(numbered).dropDuplicates(list(schema.SOURCE_COORDINATES)).unionByName(
-            facts.filter(~numbered))
-    facts = facts.hint("rebalance", "event_date").sortWithinPartitions(
-        "event_date", "symbol", "event_time")
-    name = new_try("base", 0)
-    write_part(facts, target, "fact", name)
-    write_part(read_dim(spark, source), target, "dim", name)
-    days = written_dates(facts)
+        facts = drop_repeated_reads(facts)
+    facts = facts.drop(*(k.name for k in schema.BATCH_KEYS)).hint("rebalance", FACT_DAY).sortWithinPartitions(
+        FACT_DAY, "symbol", "event_time")
+    base = ("base", 0)
+    write_batch(facts, target.fact, *base, FACT_DAY)
+    write_batch(read_dim(spark, source), target.dim, *base)
     if drop_repeated_offsets:
-        partials = daily_partials(_load(spark, target, "fact", {day: [name] for day in days}), zero_as_null)
+        partials = daily_partials(_scan(spark, target.fact, schema.FACT), zero_as_null)
     else:
-        partials = merge_daily(_without_deleted(_table(spark, source, "daily"), source))
-    write_part(partials.withColumn("load_time", F.current_timestamp()), target, "daily", name)
-    write_part(read_quarantine(spark, source), target, "quarantine", name)
-    commit(spark, target, "base", 0, name, days)
+        partials = merge_daily(_without_deleted(_scan(spark, source.daily_parts, schema.DAILY_PARTIAL), source))
+    write_batch(partials.withColumn("load_time", F.current_timestamp()), target.daily_parts, *base, DAILY_DAY)
+    write_batch(read_quarantine(spark, source), target.quarantine, *base)
+    days = written_dates(_scan(spark, target.fact, schema.FACT))
+    if days:
+        refresh_daily(spark, target, days)
     return target

@@ -16,7 +16,7 @@ from quotelake.operators.ingest import parse_quotes
 from quotelake.plans import frames
 from quotelake.schema import TOPIC
 from quotelake.sources import files
-from quotelake.streaming import job, queries, tables
+from quotelake.streaming import job, metrics, queries, tables
 
 NOW = {"availableNow": True}
 WALL_CLOCK = ["processing_time", "load_time", "created_at", "updated_at"]
@@ -80,7 +80,7 @@ def test_star_job_over_micro_batches_equals_batch(spark, topic, folder, expected
     star = tables.Tables(f"{folder}/star")
     query = run_star(spark, topic, star, f"{folder}/checkpoint")
     assert_tables(spark, star, expected)
-    batches = os.listdir(f"{star.commits}/query_id={query.id}")
+    batches = os.listdir(f"{star.quarantine}/query_id={query.id}")
     assert sum(b.startswith("batch_id=") for b in batches) == 4
     metrics = [p["observedMetrics"]["quotes"] for p in query.recentProgress if p["numInputRows"]]
     assert sum(m["read"] for m in metrics) == 1000 == spark.read.parquet(topic).count()
@@ -99,46 +99,49 @@ def test_a_batch_that_fails_after_its_write_leaves_no_duplicates(
 
     with pytest.raises(StreamingQueryException):
         run_star(spark, topic, star, f"{folder}/checkpoint", after_write=fail_once)
-    assert os.path.isdir(star.fact)  # written but not committed: in no table
     found = stored(spark, star)
     seen = found["fact"].count() + found["quarantine"].count()
-    assert found["daily"].agg(F.sum("num_transactions")).first()[0] == (found["fact"].count() or None)
-    assert (seen == 0) == (failing_batch == 0) and seen < 1000
+    assert found["daily"].agg(F.sum("num_transactions")).first()[0] == found["fact"].count()
+    assert 0 < seen < 1000
     run_star(spark, topic, star, f"{folder}/checkpoint", after_write=fail_once)
     assert len(calls) == 5
     assert calls[failing_batch] == calls[failing_batch + 1]  # the batch keeps its time
     assert_tables(spark, star, expected)
 
 
-def test_a_committed_batch_is_not_written_again(spark, messages, folder, expected):
+def files_below(path):
+    return {f"{at}/{name}": os.stat(f"{at}/{name}").st_mtime_ns for at, _, names in os.walk(path)
+            for name in names if name.endswith(".parquet")}
+
+
+def test_a_batch_written_again_changes_nothing(spark, messages, folder, expected):
     star = tables.Tables(f"{folder}/star")
     for _ in range(2):
         job.write_star(job.flag_messages(messages), star, "q", 0)
-    assert_tables(spark, star, expected)
-
-
-def test_compaction_beside_the_stream_keeps_the_tables(spark, messages, folder, expected):
-    star, last = tables.Tables(f"{folder}/star"), date(2024, 1, 15)
-    parts = messages.withColumn("part", F.col("offset") % 4)
-
-    def write(part):
-        job.write_star(job.flag_messages(parts.filter(F.col("part") == part).drop("part")), star, "q", part)
-
-    write(0), write(1)
-    before = tables._markers(spark, star)
-    old = tables.read_fact(spark, star)
-    count = old.count()
-    assert tables.compact(spark, star, last) > 4
-    assert tables.compact(spark, star, last) == 0
-    assert tables.read_fact(spark, star).count() == count == old.count()  # an earlier reader goes on
-    days = {day: len(names) for day, names in tables._live(tables._markers(spark, star), "fact").items()}
-    assert all(n == 1 for day, n in days.items() if day < last) and max(days.values()) == 2
-    write(2), write(3)
-    assert_tables(spark, star, expected)
-    rival = tables.new_try("late", 0)  # a second compaction of the same directories counts for nothing
-    day, names = next((d, n) for d, n in tables._live(before, "fact").items() if d < last)
-    tables.commit(spark, star, "late", 0, rival, [day], "fact", names)
-    assert_tables(spark, star, expected)
+        assert_tables(spark, star, expected)
+    assert len({name.split("query_id=")[1].split("/")[0] for name in files_below(star.fact)}) == 1
+
+
+def test_a_batch_replaces_only_the_dates_it_touches(spark, messages, folder, expected):
+    star, day = tables.Tables(f"{folder}/star"), date(2024, 1, 15)
+    early = messages.filter(F.to_date("timestamp") < day)
+    late = messages.filter(F.to_date("timestamp") >= day)
+    job.write_star(job.flag_messages(early), star, "q", 0)
+    before = files_below(star.daily)
+    job.write_star(job.flag_messages(late), star, "q", 1)
+    after = files_below(star.daily)
+    # An event time that fell out takes the broker's, so dates are those of the batch.
+    assert before.items() <= after.items() and len(after) > len(before)
+    for n in range(2, 5):  # further batches of one date: the date keeps one set of files
+        job.write_star(job.flag_messages(messages.filter(F.to_date("timestamp") == day)), star, "q", n)
+    kept = {k: v for k, v in files_below(star.daily).items() if f"trade_date={day}" not in k}
+    assert kept == {k: v for k, v in after.items() if f"trade_date={day}" not in k}
+    one_day = tables.read_daily(spark, star, day, day)
+    assert len(one_day.inputFiles()) == 1
+    again = rows(tables.read_daily(spark, star, day + timedelta(1)))
+    assert again == rows(expected["daily"].filter(F.col("trade_date") > day))
+    counted = one_day.agg(F.sum("num_transactions")).first()[0]
+    assert counted == 4 * expected["daily"].filter(F.col("trade_date") == day).agg(F.sum("num_transactions")).first()[0]
 
 
 def test_reads_of_a_day_list_its_directories_only(spark, topic, folder, expected):
@@ -371,3 +374,113 @@ def test_when_one_query_ends_the_others_are_stopped(spark, topic, folder):
     queries.start_append(files.stream_topic_files(spark, topic), f"{folder}/out", f"{folder}/c", NOW)
     queries.run_until_any_ends(spark)
     assert not endless.isActive and not spark.streams.active
+
+
+def deliveries(messages, late=True):
+    """The rows of each delivery, as the registered queries get them."""
+    placed = frames.arrivals(messages, "timestamp", "offset", late)
+    return [placed.filter(F.col("arrival") == n).drop("arrival") for n in range(frames.ARRIVALS)]
+
+
+def run_deliveries(spark, parts, folder, start):
+    """One run of a query per delivery, with one checkpoint."""
+    runs = []
+    for part in parts:
+        files.write_topic_files(part, f"{folder}/topic")
+        runs.append(start(files.stream_topic_files(spark, f"{folder}/topic")))
+        queries.run_available(runs[-1])
+    return runs
+
+
+def data_batches(runs):
+    return sum(p["numInputRows"] > 0 for run in runs for p in run.recentProgress)
+
+
+def test_windows_and_late_messages_are_all_messages(spark, messages, folder):
+    parts = deliveries(messages)
+    last = parts[-1]
+    runs = run_deliveries(spark, [*parts[:-1], last.unionByName(last)], folder, lambda stream: queries.start_append(
+        queries.once_per_window(stream, "12 hours", 3600), f"{folder}/out", f"{folder}/c", NOW))
+    assert data_batches(runs) == 4
+    late = sum(queries.late_rows(run) for run in runs)
+    assert late > 0
+    end = messages.agg(F.max("timestamp")).first()[0] - timedelta(hours=12)
+    mark, on_time = None, None
+    for part in parts:
+        kept = part if mark is None else part.filter(F.col("timestamp") > F.lit(mark))
+        on_time = kept if on_time is None else on_time.unionByName(kept)
+        top = part.agg(F.max("timestamp")).first()[0]
+        top = top.replace(microsecond=top.microsecond // 1000 * 1000) - timedelta(hours=12)
+        mark = top if mark is None else max(mark, top)
+    # The last delivery came twice: its second copies are dropped unless late once more.
+    lost = sum(p.count() for p in parts) - on_time.count()
+    twice = last.count() - on_time.join(last, "offset", "left_semi").count()
+    assert late == lost + twice
+    closed = health.throughput_windows(on_time, seconds=3600).filter(F.col("window_end") <= F.lit(end))
+    assert rows(spark.read.parquet(f"{folder}/out")) == rows(closed)
+
+
+def test_the_listener_has_every_batch(spark, topic, folder, expected):
+    listener = metrics.MetricsListener(spark, f"{folder}/metrics")
+    spark.streams.addListener(listener)
+    try:
+        query = run_star(spark, topic, tables.Tables(f"{folder}/star"), f"{folder}/checkpoint")
+        listener.wait(query)
+    finally:
+        spark.streams.removeListener(listener)
+    found = metrics.read_metrics(spark, f"{folder}/metrics", "read", "rejected")
+    assert found.count() == 4 and {r.query_id for r in found.collect()} == {str(query.id)}
+    sums = found.agg(F.sum("read"), F.sum("rejected"), F.sum("num_input_rows")).first()
+    assert tuple(sums) == (1000, expected["quarantine"].count(), 1000)
+    assert not listener.failures and metrics.read_metrics(spark, f"{folder}/none").count() == 0
+
+
+def test_a_renamed_symbol_has_its_new_name_from_its_batch_on(spark, folder):
+    def part(sector, offset):
+        body = quote(sector=sector, event_time=f"2024-01-0{offset + 1}T00:00:00")
+        return spark.createDataFrame([(None, body.encode(), "t", 0, offset, datetime(2024, 1, 9))], TOPIC)
+
+    star = tables.Tables(f"{folder}/star")
+
+    def start(stream):
+        return job.start_enriched_job(stream, star, f"{folder}/out", f"{folder}/c", NOW)
+
+    runs = run_deliveries(spark, [part("old", 0), part("old", 1), part("new", 2), part("new", 3)], folder, start)
+    assert data_batches(runs) == 4
+    found = spark.read.parquet(f"{folder}/out")
+    assert {r.offset: r.sector for r in found.collect()} == {0: "old", 1: "old", 2: "new", 3: "new"}
+    replayed = tables.read_dim(spark, star, (str(runs[0].id), 1))
+    assert [r.sector for r in replayed.collect()] == ["old"]
+
+
+def test_sessions_leave_the_state(spark, folder):
+    def part(*hours):
+        return spark.createDataFrame([(None, quote(symbol=s, event_time=(datetime(2024, 1, 1) + timedelta(hours=h)).isoformat()).encode(),
+                                       "t", 0, i, datetime(2024, 1, 1)) for i, (s, h) in enumerate(hours)], TOPIC)
+
+    def start(stream):
+        return queries.start_append(queries.symbol_sessions(cleaning.clean_quotes(parse_quotes(stream)), "10 hours", "1 hour"),
+                                    f"{folder}/out", f"{folder}/c", NOW)
+
+    runs = run_deliveries(spark, [
+        part(*((f"S{i}", i % 5) for i in range(40))), part(("S1", 12), ("S2", 12)), part(("S3", 40)), part(("S1", 80), ("S4", 81))],
+        folder, start)
+    held = [metrics.state_rows(run, "sessionWindowStateStoreSaveExec", "numRowsTotal") for run in runs]
+    assert data_batches(runs) == 4 and held[0][0] == 40 and held[-1][-1] == 2, held
+    found = [(r.symbol, r.session_start.hour + 24 * (r.session_start.day - 1), r.quotes) for r in spark.read.parquet(f"{folder}/out").collect()]
+    assert len(found) == 42 and {("S1", 1, 1), ("S1", 12, 1), ("S2", 2, 2), ("S3", 40, 1)} <= set(found)
+
+
+def test_sketches_of_batches_merge(spark, events, folder):
+    from quotelake.operators import sketches
+    timed = frames.latencies(events).select("event_type", "id", (F.col("id") * 37 % 1009).alias("latency_ms"))
+    by, fractions = ("event_type",), {"p50": 0.5, "p99": 0.99}
+    parts = [sketches.quantile_partials(timed.filter(F.col("id") % 4 == n), "latency_ms", by) for n in range(4)]
+    whole = sketches.merged_quantiles(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]), by, fractions)
+    assert {r.event_type: r.n for r in whole.collect()} == {r.event_type: r["count"] for r in timed.groupBy(*by).count().collect()}
+    held = sketches.quantiles_hold(timed, "latency_ms", by, whole, fractions).collect()
+    assert held and all(r.p50_holds and r.p99_holds for r in held)
+    off = whole.withColumn("p50", F.col("p99"))
+    assert not any(r.p50_holds for r in sketches.quantiles_hold(timed, "latency_ms", by, off, fractions).collect())
+    empty = timed.limit(0)
+    assert sketches.merged_quantiles(sketches.quantile_partials(empty, "latency_ms", by), by, fractions).count() == 0
