@@ -64,6 +64,12 @@ def equal_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(and_, (a.eqNullSafe(b) for a, b in zip(left, right, strict=True)))
 
 
+def null_marked(*columns: str) -> list[Column]:
+    """The columns and whether each is null, for hashes: these pass over nulls, so that a value
+    in one column and the same in the next would be equal."""
+    return [x for c in columns for x in (F.col(c), F.col(c).isNull())]
+
+
 def table_bytes(df: DataFrame) -> int:
     """Upper estimate of the memory of a staged frame, by its rows and the length of its strings."""
     texts = [F.coalesce(F.sum(F.octet_length(name)), F.lit(0))

@@ -91,14 +91,17 @@ def host_verdicts(judged: DataFrame, host: str = "source") -> DataFrame:
         F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("bad")), "hosts")
     mean, strength = beta_prior(hosts)
     low = posterior_low(F.col("bad"), F.col("n"), F.lit(mean), strength, HOST_Z)
-    return hosts.withColumn("host_failed", low > MAX_HOST_RATE)
+    return hosts.withColumns({"prior_rate": F.lit(mean), "prior_strength": F.lit(strength), "host_low": low,
+                              "host_failed": low > MAX_HOST_RATE})
 
 
 def judge(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """doc_id, host, the measures, base_failed, host_failed and kept of every document."""
+    """doc_id, host, the measures and base_failed of every document; documents and failures of
+    its host, the prior, the lower bound of the host's rate, host_failed; kept."""
     judged = stage_table(measure(docs, text, ("doc_id", host)).withColumn("base_failed", base_failed()),
                          "measures")
-    verdicts = host_verdicts(judged, host).select(host, "host_failed")
+    verdicts = host_verdicts(judged, host).select(
+        host, F.col("n").alias("host_n"), F.col("bad").alias("host_bad"), "prior_rate", "prior_strength", "host_low", "host_failed")
     return attach(judged, verdicts, [host]).withColumn(
         "kept", ~(F.col("base_failed") | F.col("host_failed")))
 

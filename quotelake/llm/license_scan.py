@@ -27,12 +27,11 @@ from __future__ import annotations
 
 import math
 from functools import reduce
-from operator import or_
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quotelake.llm.common import attach, stage_table, words
+from quotelake.llm.common import attach, null_marked, stage_table, words
 
 STATEMENT = 0.8
 WHOLE = 0.5
@@ -165,20 +164,20 @@ def statements(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataF
 
     keys = key_terms(vectors, min(STATEMENT, WHOLE))
 
-    def hint(text: Column) -> Column:
-        return reduce(or_, (F.contains(text, F.lit(k)) for k in keys))
+    def has(column: str, of: list[str]) -> Column:
+        return F.arrays_overlap(column, F.array(*map(F.lit, of)))
 
-    # Small letters are made once per text: a column of its own, used by all hints.
-    hinted = files.select("row_key", "text", F.lower("text").alias("low"))
+    # Terms come out of a generator: what is asked of them does not make them again.
+    listed = files.select("row_key", "text", F.explode(F.array(terms(F.col("text")))).alias("terms"))
     hinted = stage_table(
-        hinted.select("row_key", "text", hint(F.col("low")).alias("of_line"), F.exists(F.array(*map(F.lit, rare)), lambda k: F.contains("low", k)).alias("of_text"))
+        listed.select("row_key", "text", has("terms", keys).alias("of_line"), has("terms", rare).alias("of_text"))
         .filter("of_line or of_text"), "licence-hints")
     long = hinted.filter("of_text").select("row_key", terms(F.col("text")).alias("terms"))
-    long = stage_table(long.filter(F.arrays_overlap("terms", F.array(*map(F.lit, rare)))), "licence-long").dropDuplicates(["row_key"])
+    long = stage_table(long, "licence-long").dropDuplicates(["row_key"])
     hinted = hinted.filter("of_line").select("row_key", "text")
     lines = hinted.select("row_key", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    lines = lines.filter(hint(F.lower("text"))).select("row_key", "line", terms(F.col("text")).alias("terms"))
-    units = stage_table(lines.filter(F.arrays_overlap("terms", F.array(*map(F.lit, keys)))), "licence-lines")
+    lines = lines.select("row_key", "line", F.explode(F.array(terms(F.col("text")))).alias("terms"))
+    units = stage_table(lines.filter(has("terms", keys)), "licence-lines")
     wholes = hinted.join(units.select("row_key").distinct(), "row_key", "left_semi").select(
         "row_key", terms(F.col("text")).alias("terms"))
     weights = frequency.select("term", (F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1).alias("idf"))
@@ -232,7 +231,7 @@ def directory(path: Column) -> Column:
 def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """file_id, path, licence, origin ('statement', 'directory' or null) and from_dir of every
     file of (file_id, path, text)."""
-    keyed = files.select("file_id", "path", "text", F.xxhash64("file_id", "path", "text").alias("row_key"))
+    keyed = files.select("file_id", "path", "text", F.xxhash64(*null_marked("file_id", "path", "text")).alias("row_key"))
     stated = statements(keyed, templates)
     rows = keyed.select("file_id", "path", "row_key", directory(F.col("path")).alias("dir"))
     own = attach(rows, stated, ["row_key"])

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quotelake.llm.common import GAP, WORD, attach, prefix_sums, shuffle_key, stage_table, words
+from quotelake.llm.common import GAP, WORD, attach, null_marked, prefix_sums, shuffle_key, stage_table, words
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5        # of all words
@@ -56,8 +56,8 @@ def golden_points(i: Column) -> Column:
 
 def row_key() -> tuple[Column, Column]:
     """128 bits that equal rows share."""
-    return (F.xxhash64("doc_id", "source", "text").alias("key_a"),
-            F.xxhash64("text", "source", "doc_id").alias("key_b"))
+    return (F.xxhash64(*null_marked("doc_id", "source", "text")).alias("key_a"),
+            F.xxhash64(*null_marked("text", "source", "doc_id")).alias("key_b"))
 
 
 def sized(docs: DataFrame, seed: str = "mix") -> DataFrame:

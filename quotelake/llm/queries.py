@@ -20,6 +20,9 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 2
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
+# Shards of the query: small, so that the given tables are split many times.
+SHARD_BYTES = 256 * 1024
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -32,6 +35,11 @@ def query(sql: str | None = None) -> Callable[[Build], Build]:
     return register
 
 
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Figures to six places, to be compared with those of another engine."""
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
 # DuckDB: words of a text, and the 60-bit key of common.shuffle_key.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -47,8 +55,9 @@ _TRIM = license_scan.PUNCTUATION.replace("'", "''")
 
 @query(f"""
 WITH files AS (
-    SELECT doc_id, text, source || '/' || lang || '/' || doc_id // 16 AS dir,
-           source || '/' || lang || '/' || doc_id // 16 || '/' || doc_id || '.txt' AS path FROM documents),
+    SELECT doc_id, text, dir, dir || '/' || doc_id || '.txt' AS path FROM (
+        SELECT *, source || '/' || doc_id // 512 || CASE WHEN doc_id % 4 > 0 THEN '/m' || doc_id % 5 ELSE '' END
+               || CASE WHEN doc_id % 4 > 1 THEN '/n' || doc_id // 5 % 5 ELSE '' END AS dir FROM documents)),
 templates(template, text) AS (VALUES {_TEMPLATES}),
 units AS (
     SELECT doc_id, -1 AS line, '' AS template, text FROM files
@@ -80,10 +89,13 @@ SELECT f.doc_id, path, coalesce(licence, given) AS licence,
 FROM files f LEFT JOIN own USING (doc_id) LEFT JOIN near ON near.doc_id = f.doc_id AND near.n = 1
 """)
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as files: a directory per source, language and sixteen numbers."""
-    folder = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 16).cast("string"))
-    files = read_table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("file_id"), F.concat(folder, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), "text")
+    """The documents as files: a directory per source and 512 numbers, in which a quarter of them
+    lie; the others lie one and two directories below."""
+    doc_id = F.col("doc_id")
+    below = (F.when(doc_id % 4 > 0, F.concat(F.lit("/m"), doc_id % 5)).otherwise(""),
+             F.when(doc_id % 4 > 1, F.concat(F.lit("/n"), F.floor(doc_id / 5) % 5)).otherwise(""))
+    path = F.concat(F.col("source"), F.lit("/"), F.floor(doc_id / 512), *below, F.lit("/"), doc_id, F.lit(".txt"))
+    files = read_table(spark, sf_dir, "documents").select(doc_id.alias("file_id"), path.alias("path"), "text")
     return license_scan.scan(files).withColumnRenamed("file_id", "doc_id")
 
 
@@ -99,13 +111,13 @@ fits AS (
     SELECT doc_id, bytes, h, d, total,
            row_number() OVER (PARTITION BY doc_id, h ORDER BY d) AS n
     FROM hashed JOIN sums ON h >> (60 - d) = p
-    WHERE total <= {sharding.LIMIT_BYTES} OR d = 60)
+    WHERE total <= {SHARD_BYTES} OR d = 60)
 SELECT doc_id, bytes, substr(bin((h >> (60 - d)) + (1::BIGINT << d)), 2) AS shard,
-       CAST(d AS INTEGER) AS depth, total AS shard_bytes, total > {sharding.LIMIT_BYTES} AS oversized
+       CAST(d AS INTEGER) AS depth, total AS shard_bytes, total > {SHARD_BYTES} AS oversized
 FROM fits WHERE n = 1
 """)
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(read_table(spark, sf_dir, "documents"))
+    return sharding.shard(read_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
 @query()
@@ -212,13 +224,15 @@ hosts AS (
     FROM base GROUP BY source),
 prior AS ({_PRIOR.format(table="hosts")}),
 verdicts AS (
-    SELECT source, {_bound("mean", host_quality.HOST_Z)} > {host_quality.MAX_HOST_RATE} AS host_failed
+    SELECT source, CAST(n AS BIGINT) AS host_n, CAST(bad AS BIGINT) AS host_bad, round(mean, 6) AS prior_rate,
+           round(strength, 6) AS prior_strength, {_bound("mean", host_quality.HOST_Z)} AS low
     FROM hosts, prior)
-SELECT base.*, host_failed, NOT (base_failed OR host_failed) AS kept
+SELECT base.*, host_n, host_bad, prior_rate, prior_strength, round(low, 6) AS host_low, low > {host_quality.MAX_HOST_RATE} AS host_failed,
+       NOT (base_failed OR low > {host_quality.MAX_HOST_RATE}) AS kept
 FROM base JOIN verdicts ON base.source IS NOT DISTINCT FROM verdicts.source
 """)
 def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_quality.judge(read_table(spark, sf_dir, "documents"))
+    return _rounded(host_quality.judge(read_table(spark, sf_dir, "documents")), "prior_rate", "prior_strength", "host_low")
 
 
 @query()
@@ -255,21 +269,22 @@ domain_rates AS (
     SELECT domain, (bad + suffix_rate * strength) / (n + strength) AS domain_rate
     FROM domains JOIN suffix_rates USING (suffix), domain_prior),
 blocked AS (
-    SELECT host, {_bound("domain_rate", url_reputation.Z)} > {url_reputation.MAX_RATE} AS blocked
+    SELECT host, domain, n, bad, {_bound("domain_rate", url_reputation.Z)} AS low
     FROM hosts JOIN domain_rates USING (domain), host_prior),
 rules(kind, domain, start) AS (VALUES {", ".join(f"('{k}', '{d}', '{p}')" for k, d, p in URL_RULES)}),
 matched AS (
     SELECT page_id, kind, domain || start AS rule,
-           row_number() OVER (PARTITION BY page_id ORDER BY length(domain || start) DESC) AS n
+           row_number() OVER (PARTITION BY page_id ORDER BY length(domain || start) DESC) AS nth
     FROM parsed JOIN rules ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start))
-SELECT p.page_id, p.host, path, rule, coalesce(kind, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
-FROM parsed p JOIN blocked USING (host) LEFT JOIN matched m ON m.page_id = p.page_id AND m.n = 1
+SELECT p.page_id, p.host, path, rule, coalesce(kind, CASE WHEN low > {url_reputation.MAX_RATE} THEN 'block' ELSE 'allow' END) AS verdict,
+       b.domain, CAST(n AS BIGINT) AS site_n, CAST(bad AS BIGINT) AS site_bad, round(low, 6) AS site_low
+FROM parsed p JOIN blocked b USING (host) LEFT JOIN matched m ON m.page_id = p.page_id AND m.nth = 1
 """)
 def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels are outcomes of the pages with their number."""
     labels = read_table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
-    return url_reputation.filter_urls(read_table(spark, sf_dir, "pages"), labels, URL_RULES)
+    return _rounded(url_reputation.filter_urls(read_table(spark, sf_dir, "pages"), labels, URL_RULES), "site_low")
 
 
 _HALF = f"""greatest({chat_windows.LEAST_HALF}, ({chat_windows.BUDGET} - {chat_windows.HISTORY}

@@ -54,6 +54,7 @@ class TokenFiles:
 
 # Signs but for the apostrophe, and letters whose small forms are letters again: the
 # tokenizer takes a word of such letters apart from the signs that follow.
+FILE_TOKENS = 1 << 26
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 SIMPLE = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*$"
 LETTERS = re.compile("[a-zß-öø-ÿ]+")
@@ -247,14 +248,15 @@ def _file_bounds(docs: DataFrame, files: int) -> np.ndarray:
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, files: int | None = None) -> TokenFiles:
-    """Encode the documents and write the records."""
+    """Encode the documents and write the records, by default to files of ``FILE_TOKENS`` at most, about."""
     spark = docs.sparkSession
     ship_package(spark)
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = id_type(tokenizer, end_id)
     staged = stage_table(encoded(docs, tokenizer, end_id, kind), "token-ids", compression="zstd")
     ranked = id_ranks(staged, kind)
     table = ranked.toPandas()  # bounded by the vocabulary
+    if not files:
+        files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(table["n"].sum()) // FILE_TOKENS))
     rank_of = np.zeros(int(table["id"].max()) + 1 if len(table) else 1, dtype=np.uint32)
     rank_of[table["id"].to_numpy()] = table["rank"].to_numpy()
     bounds = _file_bounds(staged, files)

@@ -5,7 +5,8 @@ of a suffix towards the rate of all pages, of a registered domain towards its su
 host towards its domain. A host whose rate of bad pages is above the limit by the lower
 bound of its posterior is blocked. All pages of an unlabelled host get what its domain gives.
 
-A null url or one without ``://`` has an empty host and path, which form a group like any
+Reputation is that of the host without user name and port; an address in numbers is a domain of
+its own under the empty suffix. A null url or one without ``://`` has an empty host and path, which form a group like any
 other. Several labels of one page count as one, bad if any is bad; null labels count as
 not bad. Repeated pages are judged each. Empty tables give an empty result or the even prior.
 """
@@ -40,14 +41,24 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def site(host: Column) -> Column:
+    """A host without user name and port: what reputation belongs to."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+
+
+def is_address(host: Column) -> Column:
+    """Whether a host is an IPv4 or IPv6 address: it has no domain above it."""
+    return host.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$|^\[.*\]$")
+
+
 def suffix(host: Column) -> Column:
     last_two = F.substring_index(host, ".", -2)
-    return F.when(last_two.isin(*SECOND_LEVEL), last_two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(is_address(host), F.lit("")).when(last_two.isin(*SECOND_LEVEL), last_two).otherwise(F.substring_index(host, ".", -1))
 
 
 def registered_domain(host: Column) -> Column:
     last_two = F.substring_index(host, ".", -2)
-    return F.when(last_two.isin(*SECOND_LEVEL), F.substring_index(host, ".", -3)).otherwise(last_two)
+    return F.when(is_address(host), host).when(last_two.isin(*SECOND_LEVEL), F.substring_index(host, ".", -3)).otherwise(last_two)
 
 
 def with_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
@@ -59,7 +70,7 @@ def with_domains(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFra
         return fallback
     rules = stage_table(suffixes.select(F.translate("suffix", UPPER, LOWER).alias("rule")).dropna().distinct(), "suffix-rules")
     size = F.size(F.split("host", r"\."))
-    ends = hosts.select("host", F.explode(F.sequence(F.lit(1), size)).alias("labels")).withColumn(
+    ends = hosts.filter(~is_address(F.col("host"))).select("host", F.explode(F.sequence(F.lit(1), size)).alias("labels")).withColumn(
         "end", F.expr("substring_index(host, '.', -labels)"))
     wild = F.concat(F.lit("*"), F.regexp_replace("end", r"^[^.]*", ""))
     tries = ends.select("host", "labels", F.explode(F.array("end", wild, F.concat(F.lit("!"), "end"))).alias("rule"))
@@ -84,10 +95,10 @@ def match_rules(rules: Sequence[Rule], host: Column, path: Column) -> tuple[Colu
 
 
 def outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """host, bad (null: unlabelled) of every page, by labels of (page_id, bad)."""
+    """host (the url's site), bad (null: unlabelled) of every page, by labels of (page_id, bad)."""
     once = labels.groupBy(F.col("page_id").alias("__id")).agg(
         F.max(F.coalesce(F.col("bad"), F.lit(False)).cast("int")).alias("bad"))
-    return (pages.select(F.col("page_id"), url_host(F.col("url")).alias("host"))
+    return (pages.select(F.col("page_id"), site(url_host(F.col("url"))).alias("host"))
             .join(once, F.col("page_id") == F.col("__id"), "left").select("host", "bad"))
 
 
@@ -114,10 +125,15 @@ def reputation(observed: DataFrame, max_rate: float = MAX_RATE, z: float = Z,
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule], suffixes: DataFrame | None = None) -> DataFrame:
-    """page_id, host, path, rule and verdict of every page."""
-    verdicts = reputation(outcomes(pages, labels), suffixes=suffixes).select("host", "blocked")
-    parsed = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
+    """page_id, host, path, rule and verdict of every page; domain, labelled and bad pages of its
+    site, and the lower bound of the site's rate."""
+    sites = reputation(outcomes(pages, labels), suffixes=suffixes).select(
+        F.col("host").alias("site"), "domain", F.col("n").alias("site_n"), F.col("bad").alias("site_bad"),
+        F.col("low").alias("site_low"), "blocked")
+    host = url_host(F.col("url"))
+    parsed = pages.select("page_id", host.alias("host"), url_path(F.col("url")).alias("path"), site(host).alias("site"))
     rule, verdict = match_rules(rules, F.col("host"), F.col("path"))
-    return attach(parsed, verdicts, ["host"]).select(
+    return attach(parsed, sites, ["site"]).select(
         "page_id", "host", "path", rule.alias("rule"),
-        F.coalesce(verdict, F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"))
+        F.coalesce(verdict, F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"),
+        "domain", "site_n", "site_bad", "site_low")
