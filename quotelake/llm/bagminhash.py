@@ -41,6 +41,7 @@ BANDS = 20
 PERCENT = 80
 BLOCK = 512
 ROW_BYTES = 500  # of a row's numbers in Python
+SIGNED_BYTES = 1 << 20  # of texts whose signatures are drawn together
 # Texts at the threshold share fewer slots in one case of 300,000.
 LEAST_EQUAL = int(SLOTS * PERCENT / 100 - 4.5 * (SLOTS * PERCENT * (100 - PERCENT)) ** 0.5 / 100)
 
@@ -144,7 +145,7 @@ def banded(docs: DataFrame) -> DataFrame:
     """doc_id, node and the band hashes of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, SIGNED_BYTES):
                 times = signatures([shingle_bag(t.as_py()) for t in part.column(2)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), _lists(band_hashes(times), pa.int64())],
@@ -233,7 +234,7 @@ def _members(docs: DataFrame, places: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, SIGNED_BYTES):
                 bags = [shingle_bag(t.as_py()) for t in part.column(0)]
                 times = signatures(bags)
                 hashes = band_hashes(times)

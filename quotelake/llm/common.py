@@ -23,6 +23,7 @@ BROADCAST_BYTES = 16 * 1024 * 1024
 
 # Rows per Arrow batch: the usual ten thousand are meant for numbers, not for documents.
 BATCH_DOCUMENTS = 1000
+BATCH_BYTES = 8 * 1024 * 1024
 
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -31,8 +32,9 @@ ROOT = Path(__file__).resolve().parents[2]
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package, unless the driver was started with it on
     ``PYTHONPATH``, which workers inherit, or it was shipped before. Batches sent to them
-    hold ``BATCH_DOCUMENTS`` rows from now on."""
+    hold ``BATCH_DOCUMENTS`` rows and ``BATCH_BYTES``, or a longer row, from now on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_DOCUMENTS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if str(ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or "quotelake.zip" in context._python_includes:
         return

@@ -14,13 +14,15 @@ The smallest doc_id with a shared window keeps it. A passage is a run of shared
 one character after the last, that one document keeps. Those that a document keeps itself may
 overlap. Of the others count the characters outside of kept ones, from ``MIN_CHARS`` in a row,
 divided where the passage changes. A part under ``MIN_CHARS`` goes with the part beside it if
-their passages go ``AVERAGE`` characters into each other; else it is no passage, and is left.
+their passages go ``OVERLAP`` characters into each other; else it is no passage, and is left.
 Without the passages that others keep, each shared window is left in the document that keeps it.
 
 Rows equal in doc_id and text are one document. A null doc_id is after all others. Null and
 empty texts have no anchor; one text of any length is handled by one task. An empty table
 gives no rows. ``find_repeats`` reads doc_id and text only; ``remove_repeats`` keeps all columns.
-``chunk_ends`` cuts a text at gear hashes under a bound; passages do not depend on it.
+
+Content-defined chunks alone lose passages: a chunk cut by what stands beside a passage is in no
+other document. So digests are those of anchors and windows, not of chunks.
 """
 
 from __future__ import annotations
@@ -35,9 +37,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from quotelake.llm.common import ship_package, stage_table
 from quotelake.llm.text_slices import slices
 
-AVERAGE = 40
-LONG = 160
-REACH = 24
+OVERLAP = 40  # characters by which passages go into each other that are told as one
 KEY = 32
 MIN_CHARS = 100
 
@@ -56,55 +56,6 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return total
 
 
-def local_lows(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Whether each hash is the smallest within ``reach`` places, by doubling the window."""
-    low = np.pad(hashes, reach, constant_values=np.iinfo(hashes.dtype).max)
-    done, width = 1, 2 * reach + 1
-    while done < width:
-        step = min(done, width - done)
-        low = np.minimum(low[:-step], low[step:])
-        done += step
-    return hashes == low
-
-
-def spread_ends(ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The ends without those that follow equal ones too closely."""
-    if len(ends) < 3:
-        return ends
-    gap = np.diff(ends, prepend=0)
-    near = np.append(False, hashes[ends[1:] - 1] == hashes[ends[:-1] - 1]) & (gap <= REACH)
-    near[1:] &= ~near[:-1] | (gap[1:] == gap[:-1])
-    place = np.arange(len(ends))
-    nth = place - np.maximum.accumulate(np.where(near, 0, place))
-    keep = nth % -(-AVERAGE // gap) == 0
-    keep[-1] = True
-    return ends[keep]
-
-
-def chunk_ends(data: np.ndarray) -> np.ndarray:
-    """Where the chunks of a text's UTF-8 bytes end, after whole characters."""
-    if not len(data):
-        return np.zeros(0, np.int64)
-    last = np.append((data[1:] & 0xC0) != 0x80, True)  # the last byte of its character
-    hashes = gear_hash(data)
-    whole = np.flatnonzero(last) + 1
-    ends = np.flatnonzero((hashes < (1 << 16) // AVERAGE) & last) + 1
-    ends = np.union1d(ends, [len(data)])
-    begins = np.concatenate(([0], ends[:-1]))
-    long = ends - begins > LONG
-    if long.any():
-        lows = np.flatnonzero(local_lows(np.where(last, hashes, np.iinfo(hashes.dtype).max)) & last) + 1
-        ends = np.union1d(ends, lows[long[np.searchsorted(ends, lows)]])
-    ends = spread_ends(ends, hashes)
-    begins = np.concatenate(([0], ends[:-1]))
-    extra = (ends - begins - 1) // LONG
-    if extra.any():
-        cuts = np.repeat(begins, extra) + LONG * (
-            np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra) + 1)
-        ends = np.union1d(ends, whole[np.searchsorted(whole, cuts)])  # to the end of the character
-    return ends
-
-
 BASE = 0x9E3779B97F4A7C15  # odd: powers have inverses modulo 2^64
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -286,13 +237,13 @@ def resolve(spans: Sequence[tuple[int, int, int, int]], own: int, min_chars: int
             parts.append([begin, end, heap[0][0], heap[0][3], *heap[0][1:3]])
         last = heap[0]
     # A short part takes what its run has in the part beside it, if enough is left there; else
-    # both are one, if the runs go ``AVERAGE`` characters into each other.
+    # both are one, if the runs go ``OVERLAP`` characters into each other.
     whole: list[list[int]] = []
     for part in parts:
         if whole and whole[-1][1] == part[0]:
             before = whole[-1]
             room = part[1] - before[0] >= 2 * min_chars
-            into = part[4] <= part[0] - AVERAGE or before[5] >= part[0] + AVERAGE
+            into = part[4] <= part[0] - OVERLAP or before[5] >= part[0] + OVERLAP
             if part[1] - part[0] < min_chars <= before[1] - before[0]:
                 if room and part[4] <= part[1] - min_chars:
                     before[1] = part[0] = part[1] - min_chars

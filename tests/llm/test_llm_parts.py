@@ -163,47 +163,6 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
 
 # ---- repeats
 
-def test_chunks_cover_the_text_and_resist_insertion():
-    rng = np.random.default_rng(2)
-    text = " ".join("".join(rng.choice(list("abcdefé漢"), 6)) for _ in range(2000)).encode()
-    data = np.frombuffer(text, np.uint8)
-    ends = substring_dedup.chunk_ends(data)
-    assert ends[-1] == len(data) and (np.diff(ends, prepend=0) > 0).all()
-    pieces = [text[a:b] for a, b in zip([0, *ends], ends)]
-    for piece in pieces:
-        piece.decode()
-    moved = b"inserted " + text[:5000] + "mehr für".encode() + text[5000:] if (text[5000] & 0xC0) != 0x80 else b"zz" + text
-    other = np.frombuffer(moved, np.uint8)
-    again = substring_dedup.chunk_ends(other)
-    known = set(pieces)
-    changed = sum(moved[a:b] not in known for a, b in zip([0, *again], again))
-    assert changed <= 8
-    assert max(np.diff(substring_dedup.chunk_ends(np.zeros(5000, np.uint8)), prepend=0)) <= substring_dedup.LONG
-
-
-def test_one_word_over_and_over_is_cut_alike_anywhere():
-    def pieces(text):
-        raw = text.encode()
-        ends = substring_dedup.chunk_ends(np.frombuffer(raw, np.uint8)).tolist()
-        return [(raw[a:b], b - a) for a, b in zip([0, *ends], ends)]
-
-    rng = np.random.default_rng(4)
-    for word in ("The", "Lyatble", "réeuxon", "Ed", "漢字", "x"):
-        run = f"{word} " * 120
-        heads, tails = (["".join(rng.choice(list("abcdefgh \n"), int(n))) for n in rng.integers(0, 400, 20)] for _ in "ab")
-        found = [pieces(head + run + tail) for head, tail in zip(heads, tails)]
-        for one, other in zip(found, found[1:]):
-            known = {piece for piece, _ in other}
-            longest = length = 0
-            for piece, size in one:
-                length = length + size if piece in known else 0
-                longest = max(longest, length)
-            assert len(one) < (len(run.encode()) + 400) / 10
-            assert longest >= len(run.encode()) - 2 * (substring_dedup.REACH + substring_dedup.AVERAGE + 16)
-    lows = substring_dedup.local_lows(hashes := rng.integers(0, 9, 300).astype(np.uint16), 5)
-    assert lows.tolist() == [h == hashes[max(i - 5, 0):i + 6].min() for i, h in enumerate(hashes)]
-
-
 def test_gear_hash_is_a_sum_over_sixteen_bytes():
     data = np.frombuffer(bytes(range(40, 100)), np.uint8)
     got = substring_dedup.gear_hash(data)
@@ -225,9 +184,8 @@ def test_repeats_of_odd_rows(odd, none, clashing):
 def test_adjacent_passages_of_different_keepers_are_each_left_once(spark):
     rng = np.random.default_rng(11)
 
-    def passage(n):  # up to a chunk's end, so that chunks do not go over to what follows
-        text = " ".join("".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(n))
-        return text[:substring_dedup.chunk_ends(np.frombuffer(text.encode(), np.uint8))[-2]]
+    def passage(n):
+        return " ".join("".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(n))
 
     a, b, ends = passage(90), passage(90), [passage(60) for _ in range(6)]
     docs = spark.createDataFrame([(3, ends[0] + a + ends[1]), (5, ends[2] + a + b + ends[3]), (9, ends[4] + b + ends[5])],
@@ -345,7 +303,8 @@ def test_licences_of_odd_paths(spark, none):
         (4, "z.py", "text"), (5, None, "Licensed under the Apache License, Version 2.0.\n" + LONG), (6, "a/b/c/own.py", LONG + "\nAll rights reserved."),
         (7, "a/b/LICENSE", "licensed under the apache license, version 2.0"), (8, "b/x", ""), (8, "b/x", ""), (None, "a/b/c/d/n.py", "x"),
         (9, "ab/x.py", "the License of the kings, under which all Version numbers are 2.0 or the like, was long")]
-    files = spark.createDataFrame(rows, "file_id long, path string, text string").withColumn("dir", F.lit("clash"))
+    files = spark.createDataFrame(rows, "file_id long, path string, text string").select("*", *(F.lit("clash").alias(n) for n in (
+        "dir", "row_key", "low", "of_line", "of_text", "terms", "term", "template", "line", "licence", "from_dir")))
     got = {(r.file_id, r.path): (r.licence, r.origin, r.from_dir) for r in license_scan.scan(files).collect()}
     expected = {1: ("MIT", "statement", None), 2: ("Apache-2.0", "directory", "a/b"), 3: ("Apache-2.0", "directory", "a/b"),
                 4: (None, None, None), 5: ("Apache-2.0", "statement", None), 6: ("all-rights-reserved", "statement", None),
@@ -454,6 +413,23 @@ def test_mix_of_odd_rows(odd, none, clashing):
     assert mixing.taken_words(none).collect() == [] and mixing.mixed_documents(none).collect() == []
 
 
+@pytest.mark.parametrize("flip", [False, True])
+def test_a_null_is_no_value_of_the_next_column(spark, flip):
+    rows = [(1, None, "alpha"), (1, "alpha", None), (1, "alpha", "beta"), (None, "alpha", "1")]
+    docs = spark.createDataFrame(rows[::-1] if flip else rows, "doc_id long, source string, text string").coalesce(1)
+    mixed = sorted(map(repr, mixing.mixed_documents(docs).collect()))
+    taken = {(r.doc_id, r.source, r.size): r.taken for r in mixing.taken_words(docs).collect()}
+    assert len({r.key_a for r in mixing.taken_words(docs).collect()}) == 4
+    words = {r: (r[2] or "") for r in rows}
+    expected = [repr(r) for row in rows for r in [next(x for x in docs.collect() if tuple(x) == row)] * int(
+        taken.get((row[0], row[1], len(words[row].split())), 0)) if words[row]]
+    assert mixed == sorted(expected)
+    files = spark.createDataFrame([(1, None, "Released under the MIT License."), (1, "Released under the MIT License.", None)],
+                                  "file_id long, path string, text string").coalesce(1)
+    found = license_scan.scan(files.orderBy(F.col("path").isNull()) if flip else files).collect()
+    assert {(r.path, r.licence) for r in found} == {(None, "MIT"), ("Released under the MIT License.", None)}
+
+
 def test_golden_points_are_spread(spark):
     points = [r.x for r in spark.range(1000).select(mixing.golden_points(F.col("id")).alias("x")).collect()]
     for cut in (0.1, 0.37, 0.5, 0.9):
@@ -482,6 +458,25 @@ def test_urls_and_rules(spark):
         9: ("y:", "//z.com/p", None, "allow"), 10: ("badexample.com", "/en/", "com/", "allow"), 11: ("h.com:80", "/en/", None, "allow")}
 
 
+def test_pages_and_labels_may_repeat_or_be_missing(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x"), (1, "http://a.org/x"), (2, "http://a.org/y"), (None, "http://b.org/"), (3, None)],
+                                  "page_id long, url string").select("*", *(F.lit("clash").alias(n) for n in ("site", "n", "low", "domain", "bad", "path")))
+    labels = spark.createDataFrame([(1, True), (1, None), (2, None), (9, True), (None, True)], "page_id long, bad boolean")
+    got = url_reputation.filter_urls(pages, labels, []).collect()
+    assert len(got) == 5 and {(r.host, r.site_n, r.site_bad) for r in got} == {("a.org", 3, 2), ("b.org", 0, 0), ("", 0, 0)}
+    assert url_reputation.filter_urls(pages.limit(0), labels, queries.URL_RULES).collect() == []
+    assert url_reputation.filter_urls(pages, labels.limit(0), []).count() == 5
+
+
+def test_ports_user_names_and_addresses(spark):
+    urls = ["http://shop.example.org:8080/a", "http://u:p@shop.example.org/b", "http://10.0.0.1/", "http://99.7.0.1:80/", "http://[::1]:80/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.host, r.domain, r.site_n) for r in url_reputation.filter_urls(
+        pages, spark.createDataFrame([(0, False), (2, True)], "page_id long, bad boolean"), []).collect()}
+    assert got == {0: ("shop.example.org:8080", "example.org", 1), 1: ("u:p@shop.example.org", "example.org", 1),
+                   2: ("10.0.0.1", "10.0.0.1", 1), 3: ("99.7.0.1:80", "99.7.0.1", 0), 4: ("[::1]:80", "[::1]", 0)}
+
+
 def test_reputation_is_shrunk_to_the_domain(spark):
     rows = [("bad.spam.org", int(i % 20 != 0)) for i in range(400)] + [("one.spam.org", 0)] * 2 + [("one.fine.net", 1)]
     rows += [(f"h{i % 15}.fine.net", int(i % 25 == 0)) for i in range(900)] + [("new.spam.org", None), ("new.fine.net", None), ("", None)]
@@ -542,6 +537,12 @@ def test_control_strings_come_back(spark):
     assert chat_windows.windows(frame.limit(0)).collect() == []
 
 
+def test_a_very_long_turn(spark):
+    rows = [(1, 0, "user", "short"), (1, 1, "assistant", "\\<|x\n " * 100_000), (1, 2, "assistant", "")]
+    formatted = chat_windows.windows(spark.createDataFrame(rows, CHAT))
+    assert digests(formatted) == expected_digests(rows)
+
+
 @pytest.mark.parametrize("block", [5, 1024])
 def test_windows_keep_the_budget_and_every_target_once(spark, monkeypatch, block):
     monkeypatch.setattr(chat_windows, "TURNS_PER_BLOCK", block)
