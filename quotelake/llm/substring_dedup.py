@@ -6,7 +6,9 @@ lie in the window. Equal anchors that follow each other closely, as in repetitio
 are thinned as far as each window still has one. An anchor is a candidate only. What counts
 is its context, the windows in which its hash is the smallest. Are all contexts of an anchor
 the same, they are shared; else every window of ``MIN_CHARS`` characters in each
-different context is digested, and those are shared that stand in two documents. So every
+different context is digested, and those are shared that stand in two documents: in one task
+per anchor, which gets the contexts' characters, or for anchors of more than ``GROUP`` contexts
+by a row per window. So every
 shared passage of ``MIN_CHARS`` characters is found, to its first and last character; two texts
 are taken as equal by 64-bit digests.
 
@@ -34,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quotelake.llm.common import ship_package, stage_table
+from quotelake.llm.common import attach, ship_package, stage_table
 from quotelake.llm.text_slices import slices
 
 OVERLAP = 40  # characters by which passages go into each other that are told as one
@@ -56,6 +58,10 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return total
 
 
+_NONE = 2 ** 63 - 1
+GROUP = 4096        # contexts of an anchor that one task compares
+TOGETHER = 8192     # contexts that a task compares at once, about
+
 BASE = 0x9E3779B97F4A7C15  # odd: powers have inverses modulo 2^64
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -203,6 +209,76 @@ def context_windows(docs: DataFrame, contexts: DataFrame, min_chars: int) -> Dat
     return texts.join(listed, F.col("node") == F.col("__node")).select("text", "contexts").mapInArrow(run, _WINDOW)
 
 
+_PART = "digest long, context long, lead int, tail int, low long, high long, first_id long, part string"
+_HIT = "__context long, held_by long, `from` int, `to` int"
+
+
+def context_parts(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """The contexts with their characters, cut from one of the texts that hold them."""
+    names = ["digest", "context", "lead", "tail", "low", "high", "first_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0):
+                lists = part.column(1)
+                values, sizes = lists.flatten(), lists.value_lengths().to_numpy()
+                starts, leads, tails = (values.field(n).to_numpy().tolist() for n in ("start", "lead", "tail"))
+                texts = np.repeat(np.arange(part.num_rows), sizes).tolist()
+                held = part.column(0).to_pylist()
+                cut = [held[i][start - lead:start + tail] for i, start, lead, tail in zip(texts, starts, leads, tails)]
+                yield pa.RecordBatch.from_arrays([*(values.field(n) for n in names), pa.array(cut, pa.string())], names=[*names, "part"])
+
+    listed = contexts.groupBy(F.col("node").alias("__node")).agg(F.collect_list(F.struct("start", *names)).alias("contexts"))
+    texts = docs.select(_node().alias("node"), "text")
+    return texts.join(listed, F.col("node") == F.col("__node")).select("text", "contexts").mapInArrow(run, _PART)
+
+
+def shared_runs(rows: pa.Table, min_chars: int) -> pa.RecordBatch:
+    """The runs of shared windows in the contexts of whole groups: where they begin and end from
+    the anchor's start, and the first document that holds them."""
+    lead, tail, low, high, first_id = (rows[n].to_numpy() for n in ("lead", "tail", "low", "high", "first_id"))
+    codes = code_points("".join(rows["part"].to_pylist()))
+    offsets = np.cumsum(lead + tail, dtype=np.int64) - (lead + tail)
+    sizes = (lead + tail - min_chars + 1).astype(np.int64)
+    of = np.repeat(np.arange(len(lead)), sizes)
+    begins = offsets[of] + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    found, place = np.unique(Digests(codes).of(begins, begins + min_chars), return_inverse=True)
+    least, most, held = np.full(len(found), _NONE), np.full(len(found), -_NONE), np.full(len(found), _NONE)
+    np.minimum.at(least, place, low[of])
+    np.maximum.at(most, place, high[of])
+    np.minimum.at(held, place, first_id[of])
+    hit = (least != most)[place]
+    context, at, by = of[hit], (begins - offsets[of] - lead[of])[hit], held[place[hit]]
+    order = np.lexsort((at, by, context))
+    context, at, by = context[order], at[order], by[order]
+    new = np.append(True, (context[1:] != context[:-1]) | (by[1:] != by[:-1]) | (at[1:] != at[:-1] + 1))[:len(at)]
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(at))[:len(begin)] - 1
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows["context"].to_numpy()[context[begin]]), pa.array(by[begin]), pa.array(at[begin].astype(np.int32)),
+         pa.array((at[end] + min_chars).astype(np.int32))], names=["__context", "held_by", "from", "to"])
+
+
+def small_groups(parts: DataFrame, min_chars: int) -> DataFrame:
+    """The shared runs of anchors with few contexts: an anchor's contexts are compared in one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            digest = batch.column(0).to_numpy()
+            waiting.append(batch)
+            size += batch.num_rows
+            whole = int(np.searchsorted(digest, digest[-1])) if len(digest) else 0
+            if size >= TOGETHER and whole:  # the last group may go on
+                waiting[-1] = batch.slice(0, whole)
+                yield shared_runs(pa.Table.from_batches(waiting), min_chars)
+                waiting, size = [batch.slice(whole)], batch.num_rows - whole
+        if size:
+            yield shared_runs(pa.Table.from_batches(waiting), min_chars)
+
+    return parts.repartition("digest").sortWithinPartitions("digest").mapInArrow(run, _HIT)
+
+
 Passage = tuple[int, int, int, int, bool]  # start, end, first_id, copies, kept
 
 
@@ -260,10 +336,7 @@ def resolve(spans: Sequence[tuple[int, int, int, int]], own: int, min_chars: int
             + [(a, b, first, copies, False) for a, b, first, copies, *_ in whole if b - a >= min_chars])
 
 
-_NONE = 2 ** 63 - 1
-
-
-def find_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def find_repeats(docs: DataFrame, min_chars: int = MIN_CHARS, group: int = GROUP) -> DataFrame:
     """One row per repeated passage: doc_id, node, start and n_chars (characters), first_id
     (of the document that keeps it), copies (most of one anchor), kept."""
     found = anchor_rows(docs, min_chars)  # worked out twice: less than to write and read it
@@ -273,21 +346,27 @@ def find_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         F.min(F.coalesce("doc_id", none)).alias("first_id"),
         (F.min("context") != F.max("context")).alias("mixed"))
     shared = totals.filter("low != high").select(F.col("digest").alias("__digest"), "copies", "first_id", "mixed")
-    repeats = stage_table(found.join(shared, F.col("digest") == F.col("__digest")).drop("digest", "__digest"), "repeats")
+    repeats = stage_table(found.join(shared, F.col("digest") == F.col("__digest")).drop("__digest"), "repeats")
     mixed = repeats.filter("mixed")
     one = F.min(F.struct("node", "start", "lead", "tail"))
-    contexts = mixed.groupBy("context").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.coalesce("doc_id", none)).alias("first_id"),
-        *(one[name].alias(name) for name in ("node", "start", "lead", "tail")))
-    windows = stage_table(context_windows(docs, contexts, min_chars), "windows")
+    contexts = stage_table(mixed.groupBy("context").agg(
+        F.min("digest").alias("digest"), F.min("node").alias("low"), F.max("node").alias("high"),
+        F.min(F.coalesce("doc_id", none)).alias("first_id"), one.alias("one")).select("*", "one.*").drop("one"), "contexts")
+    crowded = stage_table(contexts.groupBy("digest").agg(F.count("*").alias("n")).filter(F.col("n") > group).select(
+        "digest", F.lit(True).alias("crowded")), "crowded")
+    contexts = attach(contexts, crowded, ["digest"])
+    few = small_groups(context_parts(docs, contexts.filter("crowded is null")), min_chars)
+    # Anchors of many contexts: a row per window, so that no group is one task's.
+    windows = stage_table(context_windows(docs, contexts.filter("crowded"), min_chars), "windows")
     held = windows.groupBy(F.col("window").alias("__window")).agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.min("first_id").alias("held_by"))
     in_context = Window.partitionBy("context", "held_by").orderBy("at")
-    hits = (windows.select("context", "at", "window")
+    many = (windows.select("context", "at", "window")
             .join(held.filter("low != high"), F.col("window") == F.col("__window"))
             .withColumn("run", F.col("at") - F.dense_rank().over(in_context))
             .groupBy(F.col("context").alias("__context"), "held_by", "run")
-            .agg(F.min("at").alias("from"), (F.max("at") + min_chars).alias("to")))
+            .agg(F.min("at").alias("from"), (F.max("at") + min_chars).alias("to")).drop("run"))
+    hits = stage_table(few.unionByName(many), "hits")
     span = [F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "first_id", "copies"]
     spans = (repeats.filter("not mixed").select(
         "doc_id", "node", (F.col("start") - F.col("lead")).alias("start"),

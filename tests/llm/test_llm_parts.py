@@ -228,7 +228,8 @@ def test_every_shared_window_of_51_words_is_found(spark):
             assert passage in left[2 * i] and passage not in left[2 * i + 1]
 
 
-def test_passages_equal_brute_force(spark):
+@pytest.mark.parametrize("group", [substring_dedup.GROUP, 2, 0])
+def test_passages_equal_brute_force(spark, group):
     rng = np.random.default_rng(3)
     size = substring_dedup.MIN_CHARS
     pieces = ["".join(rng.choice(list("ab é"), rng.integers(40, 260))) for _ in range(12)] + ["ab" * 90, "a" * 150]
@@ -239,7 +240,7 @@ def test_passages_equal_brute_force(spark):
             holders.setdefault(text[k:k + size], set()).add((i, text))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {}
-    for r in substring_dedup.find_repeats(docs).collect():
+    for r in substring_dedup.find_repeats(docs, group=group).collect():
         found.setdefault(r.doc_id, []).append(r)
     for i, text in rows:
         own, others = set(), set()
