@@ -1,16 +1,21 @@
-"""Substring dedup: anchors chosen by a gear rolling hash, passages by exact windows around them.
+"""Substring dedup: content-defined chunks cut by a gear rolling hash, deduplicated by digest.
 
-Wherever ``MIN_CHARS`` characters stand in two texts, both choose an anchor of ``KEY``
+Wherever ``MIN_CHARS`` characters stand in two texts, both choose the same anchor of ``KEY``
 characters in them: that of the smallest gear hash (of its last 16 characters) among all that
-lie in the window. Equal anchors that follow each other closely, as in repetitions of a word,
-are thinned as far as each window still has one. An anchor is a candidate only. What counts
-is its context, the windows in which its hash is the smallest. Are all contexts of an anchor
-the same, they are shared; else every window of ``MIN_CHARS`` characters in each
-different context is digested, and those are shared that stand in two documents: in one task
-per anchor, which gets the contexts' characters, or for anchors of more than ``GROUP`` contexts
-by a row per window. So every
-shared passage of ``MIN_CHARS`` characters is found, to its first and last character; two texts
-are taken as equal by 64-bit digests.
+lie in the window. An anchor's chunk is what its windows cover together, from ``MIN_CHARS`` to
+about 170 characters: where it begins and ends is decided by gear hashes alone, so an insertion
+changes the chunks that reach over it and no others. Neighbouring chunks overlap, and every
+window of ``MIN_CHARS`` characters lies in a chunk. (Chunks cut apart lose passages: those at
+either end go over into what stands beside it, and what is left may be too short.) Equal anchors
+that follow each other closely, as in repetitions of a word, are thinned as far as each window
+still has one.
+
+Chunks are deduplicated by digest. Of an anchor whose chunks are all equal, the chunk is shared.
+Of an anchor with several chunks, each different one is compared by the digests of its windows,
+and those are shared that stand in two documents: in one task per anchor, which gets the chunks'
+characters, or for anchors of more than ``GROUP`` chunks by a row per window. So every shared
+passage of ``MIN_CHARS`` characters is found, to its first and last character; two texts are
+taken as equal by 64-bit digests.
 
 The smallest doc_id with a shared window keeps it. A passage is a run of shared windows, each
 one character after the last, that one document keeps. Those that a document keeps itself may
@@ -22,9 +27,6 @@ Without the passages that others keep, each shared window is left in the documen
 Rows equal in doc_id and text are one document. A null doc_id is after all others. Null and
 empty texts have no anchor; one text of any length is handled by one task. An empty table
 gives no rows. ``find_repeats`` reads doc_id and text only; ``remove_repeats`` keeps all columns.
-
-Content-defined chunks alone lose passages: a chunk cut by what stands beside a passage is in no
-other document. So digests are those of anchors and windows, not of chunks.
 """
 
 from __future__ import annotations
@@ -59,8 +61,8 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
 
 
 _NONE = 2 ** 63 - 1
-GROUP = 4096        # contexts of an anchor that one task compares
-TOGETHER = 8192     # contexts that a task compares at once, about
+GROUP = 4096        # chunks of an anchor that one task compares
+TOGETHER = 8192     # chunks that a task compares at once, about
 
 BASE = 0x9E3779B97F4A7C15  # odd: powers have inverses modulo 2^64
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -131,11 +133,11 @@ def anchors(codes: np.ndarray, digests: Digests, min_chars: int = MIN_CHARS) ->
     return begins, found, lead, tail
 
 
-_ANCHOR = "doc_id long, node long, start int, lead int, tail int, digest long, context long"
+_ANCHOR = "doc_id long, node long, start int, lead int, tail int, digest long, chunk long"
 
 
 def anchor_rows(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, node (of the text), start of every anchor, characters of its context before the
+    """doc_id, node (of the text), start of every anchor, characters of its chunk before the
     start and from it on, and digests of both."""
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
         counts, columns = [], []
@@ -153,7 +155,7 @@ def anchor_rows(docs: DataFrame, min_chars: int) -> DataFrame:
         joined = [np.concatenate([c[i] for c in columns] or [np.zeros(0)]).astype(k) for i, k in enumerate(kinds)]
         return pa.RecordBatch.from_arrays(
             [part.column(0).take(repeat), part.column(1).take(repeat), *map(pa.array, joined)],
-            names=["doc_id", "node", "start", "lead", "tail", "digest", "context"])
+            names=["doc_id", "node", "start", "lead", "tail", "digest", "chunk"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,18 +170,18 @@ def _node() -> Column:
     return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
 
 
-_WINDOW = "context long, at int, window long, low long, high long, first_id long"
+_WINDOW = "chunk long, at int, window long, low long, high long, first_id long"
 
 
-def context_windows(docs: DataFrame, contexts: DataFrame, min_chars: int) -> DataFrame:
-    """The digest of each window of ``min_chars`` characters in each context of (context, node,
+def chunk_windows(docs: DataFrame, chunks: DataFrame, min_chars: int) -> DataFrame:
+    """The digest of each window of ``min_chars`` characters in each chunk of (chunk, node,
     start, lead, tail, low, high, first_id), and at: where it begins, from the anchor's start."""
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
         columns = [[] for _ in range(6)]
         flat = {}
         lists = part.column(1)
         values, stops = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
-        for name in ("context", "start", "lead", "tail", "low", "high", "first_id"):
+        for name in ("chunk", "start", "lead", "tail", "low", "high", "first_id"):
             flat[name] = values.field(name).to_numpy(zero_copy_only=False)
         for text, begin, stop in zip(part.column(0), [0, *stops[:-1].tolist()], stops.tolist()):
             codes = code_points(text.as_py())
@@ -189,13 +191,13 @@ def context_windows(docs: DataFrame, contexts: DataFrame, min_chars: int) -> Dat
             sizes = flat["lead"][begin:stop] + flat["tail"][begin:stop] - min_chars + 1
             of = np.repeat(np.arange(stop - begin), sizes)
             begins = firsts[of] + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            columns[0].append(flat["context"][begin:stop][of])
+            columns[0].append(flat["chunk"][begin:stop][of])
             columns[1].append((begins - starts[of]).astype(np.int32))
             columns[2].append(digests.of(begins, begins + min_chars))
             for column, name in zip(columns[3:], ("low", "high", "first_id")):
                 column.append(flat[name][begin:stop][of])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns],
-                                          names=["context", "at", "window", "low", "high", "first_id"])
+                                          names=["chunk", "at", "window", "low", "high", "first_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,19 +205,19 @@ def context_windows(docs: DataFrame, contexts: DataFrame, min_chars: int) -> Dat
                 for i in range(0, part.num_rows, 16):
                     yield rows(part.slice(i, 16))
 
-    listed = contexts.groupBy(F.col("node").alias("__node")).agg(
-        F.collect_list(F.struct("context", "start", "lead", "tail", "low", "high", "first_id")).alias("contexts"))
+    listed = chunks.groupBy(F.col("node").alias("__node")).agg(
+        F.collect_list(F.struct("chunk", "start", "lead", "tail", "low", "high", "first_id")).alias("chunks"))
     texts = docs.select(_node().alias("node"), "text")
-    return texts.join(listed, F.col("node") == F.col("__node")).select("text", "contexts").mapInArrow(run, _WINDOW)
+    return texts.join(listed, F.col("node") == F.col("__node")).select("text", "chunks").mapInArrow(run, _WINDOW)
 
 
-_PART = "digest long, context long, lead int, tail int, low long, high long, first_id long, part string"
-_HIT = "__context long, held_by long, `from` int, `to` int"
+_PART = "digest long, chunk long, lead int, tail int, low long, high long, first_id long, part string"
+_HIT = "__chunk long, held_by long, `from` int, `to` int"
 
 
-def context_parts(docs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """The contexts with their characters, cut from one of the texts that hold them."""
-    names = ["digest", "context", "lead", "tail", "low", "high", "first_id"]
+def chunk_texts(docs: DataFrame, chunks: DataFrame) -> DataFrame:
+    """The chunks with their characters, cut from one of the texts that hold them."""
+    names = ["digest", "chunk", "lead", "tail", "low", "high", "first_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,13 +230,13 @@ def context_parts(docs: DataFrame, contexts: DataFrame) -> DataFrame:
                 cut = [held[i][start - lead:start + tail] for i, start, lead, tail in zip(texts, starts, leads, tails)]
                 yield pa.RecordBatch.from_arrays([*(values.field(n) for n in names), pa.array(cut, pa.string())], names=[*names, "part"])
 
-    listed = contexts.groupBy(F.col("node").alias("__node")).agg(F.collect_list(F.struct("start", *names)).alias("contexts"))
+    listed = chunks.groupBy(F.col("node").alias("__node")).agg(F.collect_list(F.struct("start", *names)).alias("chunks"))
     texts = docs.select(_node().alias("node"), "text")
-    return texts.join(listed, F.col("node") == F.col("__node")).select("text", "contexts").mapInArrow(run, _PART)
+    return texts.join(listed, F.col("node") == F.col("__node")).select("text", "chunks").mapInArrow(run, _PART)
 
 
 def shared_runs(rows: pa.Table, min_chars: int) -> pa.RecordBatch:
-    """The runs of shared windows in the contexts of whole groups: where they begin and end from
+    """The runs of shared windows in the chunks of whole groups: where they begin and end from
     the anchor's start, and the first document that holds them."""
     lead, tail, low, high, first_id = (rows[n].to_numpy() for n in ("lead", "tail", "low", "high", "first_id"))
     codes = code_points("".join(rows["part"].to_pylist()))
@@ -248,19 +250,19 @@ def shared_runs(rows: pa.Table, min_chars: int) -> pa.RecordBatch:
     np.maximum.at(most, place, high[of])
     np.minimum.at(held, place, first_id[of])
     hit = (least != most)[place]
-    context, at, by = of[hit], (begins - offsets[of] - lead[of])[hit], held[place[hit]]
-    order = np.lexsort((at, by, context))
-    context, at, by = context[order], at[order], by[order]
-    new = np.append(True, (context[1:] != context[:-1]) | (by[1:] != by[:-1]) | (at[1:] != at[:-1] + 1))[:len(at)]
+    chunk, at, by = of[hit], (begins - offsets[of] - lead[of])[hit], held[place[hit]]
+    order = np.lexsort((at, by, chunk))
+    chunk, at, by = chunk[order], at[order], by[order]
+    new = np.append(True, (chunk[1:] != chunk[:-1]) | (by[1:] != by[:-1]) | (at[1:] != at[:-1] + 1))[:len(at)]
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(at))[:len(begin)] - 1
     return pa.RecordBatch.from_arrays(
-        [pa.array(rows["context"].to_numpy()[context[begin]]), pa.array(by[begin]), pa.array(at[begin].astype(np.int32)),
-         pa.array((at[end] + min_chars).astype(np.int32))], names=["__context", "held_by", "from", "to"])
+        [pa.array(rows["chunk"].to_numpy()[chunk[begin]]), pa.array(by[begin]), pa.array(at[begin].astype(np.int32)),
+         pa.array((at[end] + min_chars).astype(np.int32))], names=["__chunk", "held_by", "from", "to"])
 
 
 def small_groups(parts: DataFrame, min_chars: int) -> DataFrame:
-    """The shared runs of anchors with few contexts: an anchor's contexts are compared in one task."""
+    """The shared runs of anchors with few chunks: an anchor's chunks are compared in one task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
         size = 0
@@ -344,34 +346,34 @@ def find_repeats(docs: DataFrame, min_chars: int = MIN_CHARS, group: int = GROUP
     totals = found.groupBy("digest").agg(
         F.count("*").alias("copies"), F.min("node").alias("low"), F.max("node").alias("high"),
         F.min(F.coalesce("doc_id", none)).alias("first_id"),
-        (F.min("context") != F.max("context")).alias("mixed"))
+        (F.min("chunk") != F.max("chunk")).alias("mixed"))
     shared = totals.filter("low != high").select(F.col("digest").alias("__digest"), "copies", "first_id", "mixed")
     repeats = stage_table(found.join(shared, F.col("digest") == F.col("__digest")).drop("__digest"), "repeats")
     mixed = repeats.filter("mixed")
     one = F.min(F.struct("node", "start", "lead", "tail"))
-    contexts = stage_table(mixed.groupBy("context").agg(
+    chunks = stage_table(mixed.groupBy("chunk").agg(
         F.min("digest").alias("digest"), F.min("node").alias("low"), F.max("node").alias("high"),
-        F.min(F.coalesce("doc_id", none)).alias("first_id"), one.alias("one")).select("*", "one.*").drop("one"), "contexts")
-    crowded = stage_table(contexts.groupBy("digest").agg(F.count("*").alias("n")).filter(F.col("n") > group).select(
+        F.min(F.coalesce("doc_id", none)).alias("first_id"), one.alias("one")).select("*", "one.*").drop("one"), "chunks")
+    crowded = stage_table(chunks.groupBy("digest").agg(F.count("*").alias("n")).filter(F.col("n") > group).select(
         "digest", F.lit(True).alias("crowded")), "crowded")
-    contexts = attach(contexts, crowded, ["digest"])
-    few = small_groups(context_parts(docs, contexts.filter("crowded is null")), min_chars)
-    # Anchors of many contexts: a row per window, so that no group is one task's.
-    windows = stage_table(context_windows(docs, contexts.filter("crowded"), min_chars), "windows")
+    chunks = attach(chunks, crowded, ["digest"])
+    few = small_groups(chunk_texts(docs, chunks.filter("crowded is null")), min_chars)
+    # Anchors of many chunks: a row per window, so that no group is one task's.
+    windows = stage_table(chunk_windows(docs, chunks.filter("crowded"), min_chars), "windows")
     held = windows.groupBy(F.col("window").alias("__window")).agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.min("first_id").alias("held_by"))
-    in_context = Window.partitionBy("context", "held_by").orderBy("at")
-    many = (windows.select("context", "at", "window")
+    in_chunk = Window.partitionBy("chunk", "held_by").orderBy("at")
+    many = (windows.select("chunk", "at", "window")
             .join(held.filter("low != high"), F.col("window") == F.col("__window"))
-            .withColumn("run", F.col("at") - F.dense_rank().over(in_context))
-            .groupBy(F.col("context").alias("__context"), "held_by", "run")
+            .withColumn("run", F.col("at") - F.dense_rank().over(in_chunk))
+            .groupBy(F.col("chunk").alias("__chunk"), "held_by", "run")
             .agg(F.min("at").alias("from"), (F.max("at") + min_chars).alias("to")).drop("run"))
     hits = stage_table(few.unionByName(many), "hits")
     span = [F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "first_id", "copies"]
     spans = (repeats.filter("not mixed").select(
         "doc_id", "node", (F.col("start") - F.col("lead")).alias("start"),
         (F.col("start") + F.col("tail")).alias("end"), "first_id", "copies")
-        .unionByName(mixed.join(hits, F.col("context") == F.col("__context")).select(
+        .unionByName(mixed.join(hits, F.col("chunk") == F.col("__chunk")).select(
             "doc_id", "node", (F.col("start") + F.col("from")).alias("start"),
             (F.col("start") + F.col("to")).alias("end"), F.col("held_by").alias("first_id"), "copies")))
 

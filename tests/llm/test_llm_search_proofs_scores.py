@@ -13,7 +13,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from quotelake.llm import interpolated_lm, lexical_search, merkle, queries, varints
+from quotelake.llm import interpolated_lm, lexical_search, merkle, varints
 from quotelake.llm.common import read_table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -81,11 +81,11 @@ ITEMS = [(1, "a b c"), (2, "word3x3 word976x976 same"), (3, None), (4, ""), (Non
          (5, "a b c d e f g same x A-B,c"), (6, "nowhere")]
 
 
-@pytest.mark.parametrize("k", [1, 3, 50])
-def test_search_of_odd_rows(spark, odd, clashing, k):
+def test_search_of_odd_rows(spark, clashing):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    for docs in (odd, clashing):
-        rows = lexical_search.search(lexical_search.build_index(docs), items.withColumn("term", F.lit("clash")), k).collect()
+    index = lexical_search.build_index(clashing)
+    for k in (1, 3, 50):
+        rows = lexical_search.search(index, items.withColumn("term", F.lit("clash")), k).collect()
         assert sorted(((r.item_id, r["rank"], r.doc_id, r.score) for r in rows), key=repr) == best_documents(
             [(r[0], r[1]) for r in ODD_ROWS], ITEMS, k)
 
@@ -202,14 +202,14 @@ def manifest_rows(docs):
     return [(r.doc_id, r.source, r.lang, r.n_chars, r.text) for r in docs.collect()]
 
 
-def test_manifest_of_odd_rows(odd, clashing, none):
-    expected = expected_manifest(manifest_rows(odd))
-    assert checked(odd) == checked(clashing) == expected
+def test_manifest_of_odd_rows(clashing, none):
+    expected = expected_manifest(manifest_rows(clashing))
+    assert checked(clashing) == expected
     assert {r[-1] for r in expected} == {True, False}
     assert checked(none) == []
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 4, 10, 28])
+@pytest.mark.parametrize("n", [1, 4, 28])
 def test_manifest_of_few_rows(spark, n):
     docs = spark.createDataFrame([(i, f"t\n{i}", "en", "s" if n < 5 else f"s{i % 2 * i}", 3) for i in range(n)], DOCS)
     assert checked(docs) == expected_manifest(manifest_rows(docs))
@@ -298,16 +298,14 @@ def same_scores(docs, rows, order):
 SMALL_TEXTS = [(i, " ".join(random.Random(i).choices("abcdefgh", [20, 9, 5, 4, 3, 2, 1, 1], k=i % 37))) for i in range(160)]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 3])
 def test_scores_equal_dictionaries(spark, order):
     rows = [*SMALL_TEXTS, *((r[0], r[1]) for r in ODD_ROWS if r[1] is None or len(r[1]) < 5000)]
     same_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows, order)
 
 
-def test_scores_of_odd_rows(spark, odd, clashing, none):
-    scores = {tuple(r)[:5] for r in interpolated_lm.score(odd).collect()}
-    assert scores == {tuple(r)[:5] for r in interpolated_lm.score(clashing).collect()}
-    assert interpolated_lm.score(odd).count() == len(ODD_ROWS)
+def test_scores_of_odd_rows(spark, clashing, none):
+    same_scores(clashing, [(r[0], r[1]) for r in ODD_ROWS], 2)
     assert interpolated_lm.score(none).collect() == []
     held = spark.createDataFrame([(i, "a b") for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1], "doc_id long, text string")
     assert all(r.held_out and r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in interpolated_lm.score(held).collect())
@@ -332,7 +330,6 @@ def test_probabilities_of_a_context_add_up_to_one(spark):
 
 
 def test_contexts_help_on_held_out_documents(spark):
-    rows = [r for r in queries.op13_deleted_interpolation(spark, SF_SMALL).collect() if r.held_out]
-    assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
     docs = [(r.doc_id, r.text) for r in read_table(spark, SF_SMALL, "documents").collect()]
-    same_scores(read_table(spark, SF_SMALL, "documents"), docs, 2)
+    held = [r for r in same_scores(read_table(spark, SF_SMALL, "documents"), docs, interpolated_lm.ORDER) if r[1]]
+    assert held and sum(r[6] for r in held) > sum(r[5] for r in held)
