@@ -34,6 +34,19 @@ def throughput_windows(df: DataFrame, time_column: str = "timestamp",
     )
 
 
+def partition_windows(df: DataFrame, time_column: str = "timestamp",
+                      seconds: int = WINDOW_SECONDS, delay: str | None = None) -> DataFrame:
+    """Rows per tumbling window and topic partition, with the first and last offset counted."""
+    if delay:
+        df = df.withWatermark(time_column, delay)
+    return (
+        df.groupBy(F.window(time_column, f"{seconds} seconds"), "topic", "partition")
+        .agg(F.count("*").alias("records"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                "topic", "partition", "records", "first_offset", "last_offset")
+    )
+
+
 def throughput_latest(windows: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
     """The newest window and its rate."""
     return windows.select(

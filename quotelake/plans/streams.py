@@ -153,7 +153,7 @@ def stream_throughput(spark, sf):
 def _throughput(spark: SparkSession, sf: str, name: str) -> DataFrame:
     folder = _message_topic(spark, sf, name)
     queries.run_available(job.start_throughput_job(
-        _delivered(spark, folder).select("timestamp"), f"{folder}/windows", f"{folder}/checkpoint",
+        _delivered(spark, folder).drop("key", "value"), f"{folder}/windows", f"{folder}/checkpoint",
         AVAILABLE_NOW))
     windows = tables.read_throughput(spark, f"{folder}/windows")
     return _zoneless(windows, "window_start", "window_end")

@@ -151,5 +151,9 @@ DELETES = T.StructType([
 THROUGHPUT = T.StructType([
     T.StructField("window_start", T.TimestampType()),
     T.StructField("window_end", T.TimestampType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
     T.StructField("records", T.LongType()),
+    T.StructField("first_offset", T.LongType()),
+    T.StructField("last_offset", T.LongType()),
 ])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelake.operators.cleaning import accepted, flag_quotes, rejected
-from quotelake.operators.health import WINDOW_SECONDS, throughput_windows
+from quotelake.operators.health import WINDOW_SECONDS, partition_windows
 from quotelake.operators.ingest import parse_quotes
 from quotelake.operators.modelling import dim_changes, fact_rows, first_quotes
 from quotelake.operators.serving import daily_partials, with_dim
@@ -145,7 +145,8 @@ def start_sketch_job(rows: DataFrame, column: str, by: tuple[str, ...], path: st
 def start_throughput_job(messages: DataFrame, path: str, checkpoint: str, trigger: dict,
                          time_column: str = "timestamp", delay: str | None = None,
                          seconds: int = WINDOW_SECONDS) -> StreamingQuery:
-    """Keep the row count of every window, open ones too, in a table of batch directories.
+    """Keep the row count of every window and topic partition, open windows too, in a table of
+    batch folders that ``tables.read_throughput`` adds up.
 
     Update mode: a batch writes only the windows it changed, where complete mode would
     write all of them again. Without ``delay`` no row is too late and state keeps one
@@ -155,7 +156,7 @@ def start_throughput_job(messages: DataFrame, path: str, checkpoint: str, trigge
         write_batch(batch, path, stream_query_id(batch.sparkSession), batch_id)
 
     return (
-        throughput_windows(messages, time_column, seconds, delay)
+        partition_windows(messages, time_column, seconds, delay)
         .writeStream.outputMode("update").foreachBatch(run_batch)
         .trigger(**trigger).option("checkpointLocation", checkpoint).start()
     )

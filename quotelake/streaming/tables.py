@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from quotelake import schema
 from quotelake.operators.modelling import first_quotes, merge_dim
@@ -162,13 +162,22 @@ def read_quarantine(spark: SparkSession, tables: Tables) -> DataFrame:
 
 
 def read_throughput(spark: SparkSession, path: str) -> DataFrame:
-    """Rows per window: the last, so highest, count written.
+    """Rows per window, over all queries that counted them.
 
-    Counts of different queries are not added: a query that replaces one whose checkpoint
-    was lost reads, and counts, the topic again.
+    Of a query, the last counts of a window and topic partition stand. Those of several
+    queries are added where their offsets lie apart, as when one goes on where another ended;
+    where they overlap, as when a query whose checkpoint was lost reads the topic again, the
+    highest counts.
     """
-    written = _scan(spark, path, schema.THROUGHPUT)
-    return written.groupBy("window_start", "window_end").agg(F.max("records").alias("records"))
+    of_window = ("window_start", "window_end", "topic", "partition")
+    counted = _scan(spark, path, schema.THROUGHPUT).groupBy("query_id", *of_window).agg(
+        F.max("records").alias("records"), F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"))
+    order = Window.partitionBy(*of_window).orderBy("first_offset", "last_offset", "query_id")
+    reach = F.max("last_offset").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.sum(F.when(F.col("first_offset") > F.col("reach"), 1).otherwise(0)).over(order)
+    runs = counted.withColumn("reach", reach).withColumn("run", apart).groupBy(*of_window, "run").agg(
+        F.max("records").alias("records"))
+    return runs.groupBy("window_start", "window_end").agg(F.sum("records").alias("records"))
 
 
 def delete_symbol_rows(spark: SparkSession, tables: Tables, symbol: str) -> None:

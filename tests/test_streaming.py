@@ -321,6 +321,15 @@ def test_throughput_in_update_mode_keeps_late_rows(spark, topic, messages, folde
     assert rows(tables.read_throughput(spark, f"{folder}/windows")) == expected
 
 
+def test_throughput_of_a_query_that_goes_on_is_added(spark, messages, folder):
+    """An old query ends, a new one begins at the latest offset, in the middle of a window."""
+    for n, part in enumerate((messages.filter("offset < 500"), messages.filter("offset >= 500"))):
+        files.write_topic_files(part, f"{folder}/topic{n}")
+        queries.run_available(job.start_throughput_job(
+            files.stream_topic_files(spark, f"{folder}/topic{n}"), f"{folder}/windows", f"{folder}/c{n}", NOW, seconds=86400))
+    assert rows(tables.read_throughput(spark, f"{folder}/windows")) == rows(health.throughput_windows(messages, seconds=86400))
+
+
 def test_throughput_in_append_mode_has_closed_windows(spark, topic, messages, folder):
     windows = queries.throughput_stream(
         files.stream_topic_files(spark, topic, 1), delay="40 days", seconds=3600)
