@@ -244,11 +244,9 @@ def expected_scores(rows, order):
                     for size in range(1, order + 1):
                         grams[tuple(tokens[at - size + 1:at + 1])] += 1
                         seen[tuple(tokens[at - size + 1:at])] += 1
-        return grams, seen
+        return grams, seen, sum(len(g) == 1 for g in grams)
 
-    def parts(tokens, at, grams, seen):
-        n = seen[()]
-        distinct = sum(len(g) == 1 for g in grams)
+    def parts(tokens, at, grams, seen, distinct):
         ml, bucket = [1 / (distinct + 1)], 0
         for size in range(1, order + 1):
             context = tuple(tokens[at - size + 1:at])
@@ -257,8 +255,8 @@ def expected_scores(rows, order):
                 bucket = (size - 1) * interpolated_lm.POWERS + int(math.log2(seen[context]))
         return bucket, ml
 
-    grams, seen = count((0,))
-    evidence = [parts(t, at, grams, seen) for _, r, t in docs if r == 1 for at in range(order - 1, len(t))]
+    counted = count((0,))
+    evidence = [parts(t, at, *counted) for _, r, t in docs if r == 1 for at in range(order - 1, len(t))]
     weights = interpolated_lm.even_weights(order)
     even = weights.copy()
     for _ in range(interpolated_lm.ROUNDS):
@@ -271,14 +269,14 @@ def expected_scores(rows, order):
             weights[bucket] = (share + even[bucket]) / (share + even[bucket]).sum()
         if np.abs(weights - before).max() < interpolated_lm.CLOSE:
             break
-    grams, seen = count((0, 1))
-    n, distinct = seen[()], sum(len(g) == 1 for g in grams)
+    grams, seen, distinct = count((0, 1))
+    n = seen[()]
     out = []
     for i, r, tokens in docs:
         total = base = 0.0
         known = 0
         for at in range(order - 1, len(tokens)):
-            bucket, ml = parts(tokens, at, grams, seen)
+            bucket, ml = parts(tokens, at, grams, seen, distinct)
             c = grams.get((tokens[at],), 0)
             known += c > 0
             total += math.log10(float(weights[bucket] @ np.array(ml)))
