@@ -14,18 +14,24 @@ lines, laid so that one of its ``ANCHORS`` rarest terms stands in its place. A s
 line makes alone is looked for in two and three lines. The whole text counts before a header,
 this before a line and this before several lines.
 
+A tag (``SPDX-License-Identifier: MIT``) and its identifier are one term, so a line with a tag
+is as near to that tag's template as the line has few other words; a tag of another identifier
+is another term. Tags are compared to lines only: a short file with a tag is no licence file.
+Expressions of several identifiers (``MIT OR Apache-2.0``) state none.
+
 Vectors stay sparse. A template's heaviest terms, those without which no text can reach the
 threshold, pick the lines that are compared at all; terms are counted per task before they
 are shuffled. Directories are made distinct before they are joined.
 
-Null texts state nothing; null paths have no directory. Of several best templates or files
-the first by name counts. Repeated rows are judged each. An empty table gives no rows; other
+Null texts state nothing; null paths have no directory. Of several best templates (equal to nine
+places) or files the first by name counts. Repeated rows are judged each. An empty table gives no rows; other
 columns are not read.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from functools import reduce
 from pathlib import Path
 
@@ -75,16 +81,25 @@ HEADERS |= {f"{name}-{version}": _GNU.format(what=what, colon=";" if version < "
                 ("GPL", "program", "", "2.0", "2"), ("GPL", "program", "", "3.0", "3"),
                 ("LGPL", "library", "Lesser", "2.1", "2.1"), ("LGPL", "library", "Lesser", "3.0", "3"))}
 
+# Identifiers in tags: fixed values. Those of the GNU licences have forms of their own.
+TAG = "spdx-license-identifier:"
+TAGS = {f"SPDX-License-Identifier: {name}{form}": name
+        for names, forms in ((("Apache-2.0", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "MIT", "MPL-2.0"), ("",)),
+                             (("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0"), ("", "+", "-only", "-or-later")))
+        for name in names for form in forms}
+
 TEXTS = {path.stem: path.read_text() for path in sorted((Path(__file__).parent / "licences").glob("*.txt"))}
 
 
 def terms(text: Column) -> Column:
-    trimmed = F.transform(words(F.lower(text)), lambda w: F.btrim(w, F.lit(PUNCTUATION)))
+    joined = F.regexp_replace(F.lower(text), TAG + r"[ \t(]+", TAG)
+    trimmed = F.transform(words(joined), lambda w: F.btrim(w, F.lit(PUNCTUATION)))
     return F.filter(trimmed, lambda w: w != "")
 
 
 def _plain_terms(text: str) -> list[str]:
-    return [t for t in (w.strip(PUNCTUATION) for w in text.lower().split()) if t]
+    joined = re.sub(TAG + r"[ \t(]+", TAG, text.lower())
+    return [t for t in (w.strip(PUNCTUATION) for w in joined.split()) if t]
 
 
 def _idf(files: int, with_term: int) -> float:
@@ -147,22 +162,24 @@ def _cosines(units: DataFrame, weights: DataFrame, vectors: DataFrame, keys: lis
     return products.join(norms, keys).select(*keys, "template", (F.col("product") / F.col("norm")).alias("cosine"))
 
 
-def statements(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def statements(files: DataFrame, templates: dict[str, str] = TEMPLATES, tags: dict[str, str] = TAGS) -> DataFrame:
     """row_key of every file that states a licence, its licence and whether it is a licence file."""
     spark = files.sparkSession
-    vocabulary = sorted({t for of in (templates, HEADERS, TEXTS) for text in of.values() for t in _plain_terms(text)})
+    tag_texts = {tag: tag for tag in tags}
+    vocabulary = sorted({t for of in (templates, tag_texts, HEADERS, TEXTS) for text in of.values() for t in _plain_terms(text)})
     frequency = stage_table(
         files.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
         .groupBy("term").agg(F.count("*").alias("df")), "licence-terms")
     counts = {r["term"]: r["df"] for r in frequency.filter(F.col("term").isin(vocabulary)).collect()}
     total = files.count()
     vectors = template_weights(counts, total, templates)
-    table = _vector_table(spark, vectors)
+    of_tags = template_weights(counts, total, tag_texts)
+    table, line_table = _vector_table(spark, vectors), _vector_table(spark, vectors | of_tags)
     headers, texts = (template_weights(counts, total, of) for of in (HEADERS, TEXTS))
     rare_of_headers, rare_of_texts = (rare_terms(of, counts, total, STATEMENT) for of in (headers, texts))
     rare = sorted({t for of in (rare_of_headers, rare_of_texts) for some in of.values() for t in some})
 
-    keys = key_terms(vectors, min(STATEMENT, WHOLE))
+    keys = key_terms(vectors | of_tags, min(STATEMENT, WHOLE))
 
     def has(column: str, of: list[str]) -> Column:
         return F.arrays_overlap(column, F.array(*map(F.lit, of)))
@@ -182,11 +199,11 @@ def statements(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataF
         "row_key", terms(F.col("text")).alias("terms"))
     weights = frequency.select("term", (F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1).alias("idf"))
 
-    best = F.max(F.struct("rank", "cosine", F.col("order")))
-    names = sorted({*templates, *HEADERS, *TEXTS}, reverse=True)  # of equal cosines the first name has the largest number
+    best = F.max(F.struct("rank", F.round("cosine", 9), F.col("order")))
+    names = sorted({*templates, *tags, *HEADERS, *TEXTS}, reverse=True)  # of equal cosines the first name has the largest number
     number = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "template string, order int")
     of_line = stage_table(
-        _cosines(units, weights, table, ["row_key", "line"]).filter(F.col("cosine") >= STATEMENT), "licence-stated")
+        _cosines(units, weights, line_table, ["row_key", "line"]).filter(F.col("cosine") >= STATEMENT), "licence-stated")
     of_whole = _cosines(wholes, weights, table, ["row_key"]).groupBy("row_key").agg(F.max("cosine").alias("whole"))
 
     # Two and three lines around one with a key, in files of which no line states a licence.
@@ -219,7 +236,7 @@ def statements(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataF
     own = found.join(F.broadcast(number), "template").groupBy("row_key").agg(best.alias("best"))
     return stage_table(
         own.join(of_whole, "row_key", "left").select(
-            "row_key", F.element_at(F.array(*map(F.lit, names)), F.col("best.order") + 1).alias("licence"),
+            "row_key", F.element_at(F.array(*(F.lit(tags.get(n, n)) for n in names)), F.col("best.order") + 1).alias("licence"),
             ((F.col("best.rank") == 3) | (F.coalesce("whole", F.lit(0.0)) >= WHOLE)).alias("is_licence_file")), "licences")
 
 

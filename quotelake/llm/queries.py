@@ -49,7 +49,8 @@ def _key(*parts: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
-_TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in license_scan.TEMPLATES.items())
+_TEMPLATES = ", ".join([*(f"('{name}', '{name}', '{text}')" for name, text in license_scan.TEMPLATES.items()),
+                        *(f"('{tag}', '{name}', '{tag}')" for tag, name in license_scan.TAGS.items())])
 _TRIM = license_scan.PUNCTUATION.replace("'", "''")
 
 
@@ -58,13 +59,14 @@ WITH files AS (
     SELECT doc_id, text, dir, dir || '/' || doc_id || '.txt' AS path FROM (
         SELECT *, source || '/' || doc_id // 512 || CASE WHEN doc_id % 4 > 0 THEN '/m' || doc_id % 5 ELSE '' END
                || CASE WHEN doc_id % 4 > 1 THEN '/n' || doc_id // 5 % 5 ELSE '' END AS dir FROM documents)),
-templates(template, text) AS (VALUES {_TEMPLATES}),
+templates(template, licence, text) AS (VALUES {_TEMPLATES}),
 units AS (
     SELECT doc_id, -1 AS line, '' AS template, text FROM files
     UNION ALL SELECT doc_id, i, '', string_split(text, chr(10))[i] FROM files, unnest(range(1, len(string_split(text, chr(10))) + 1)) t(i)
     UNION ALL SELECT NULL, -2, template, text FROM templates),
 tokens AS (
-    SELECT doc_id, line, template, trim(unnest(regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+')), '{_TRIM}') AS term FROM units),
+    SELECT doc_id, line, template, trim(unnest(regexp_extract_all(
+        regexp_replace(lower(text), '{license_scan.TAG}[ \t(]+', '{license_scan.TAG}', 'g'), '[^\x20\x09-\x0D]+')), '{_TRIM}') AS term FROM units),
 tf AS (SELECT doc_id, line, template, term, count(*) AS tf FROM tokens WHERE term <> '' GROUP BY ALL),
 idf AS (
     SELECT term, ln((1 + (SELECT count(*) FROM files)) / (1 + count(DISTINCT doc_id) FILTER (line = -1))) + 1 AS idf
@@ -75,11 +77,12 @@ cosines AS (
     SELECT d.doc_id, d.line, t.template, sum(d.u * t.u) AS c
     FROM unit d JOIN unit t ON d.term = t.term AND d.line >= -1 AND t.line = -2 GROUP BY ALL),
 own AS (
-    SELECT doc_id, first(template ORDER BY c DESC, template) AS licence
-    FROM cosines WHERE line >= 0 AND c >= {license_scan.STATEMENT} GROUP BY doc_id),
+    SELECT doc_id, first(licence ORDER BY round(c, 9) DESC, template) AS licence
+    FROM cosines JOIN templates USING (template) WHERE line >= 0 AND c >= {license_scan.STATEMENT} GROUP BY doc_id),
 speaking AS (
     SELECT dir, first(licence ORDER BY path) AS given FROM files JOIN own USING (doc_id)
-    WHERE doc_id IN (SELECT doc_id FROM cosines WHERE line = -1 AND c >= {license_scan.WHOLE}) GROUP BY dir),
+    WHERE doc_id IN (SELECT doc_id FROM cosines WHERE line = -1 AND c >= {license_scan.WHOLE} AND NOT starts_with(template, 'SPDX'))
+    GROUP BY dir),
 near AS (
     SELECT f.doc_id, s.dir, given, row_number() OVER (PARTITION BY f.doc_id ORDER BY length(s.dir) DESC) AS n
     FROM files f JOIN speaking s ON f.dir = s.dir OR starts_with(f.dir, s.dir || '/') OR s.dir = '')

@@ -5,12 +5,14 @@ import math
 import struct
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import oracle
 import public_tokenizers
 from quotelake.llm import (bagminhash, chat_windows, common, decontaminate, host_quality, license_scan, mixing, queries,
                            sharding, substring_dedup, token_files, url_reputation)
@@ -337,6 +339,36 @@ def test_licence_texts_headers_and_wrapped_statements(spark):
         assert got[i] == expected, (i, got[i])
 
 
+def test_licence_tags(spark):
+    code = "\n".join(f"let w{i} = w{i * 7 % 31} + mit;" for i in range(60))
+    rows = [
+        (1, "a/x.c", f"// SPDX-License-Identifier: MIT\n{code}"), (2, "a/y.py", f"#!/bin/sh\n# spdx-license-identifier:\t(GPL-3.0-or-later)\n{code}"),
+        (3, "b/z.css", f"/* SPDX-License-Identifier: LGPL-2.1+ */\n{code}"), (4, "b/w.html", f"<!-- SPDX-License-Identifier: CC-BY-SA-4.0 -->\n{code}"),
+        (5, "c/of.c", f"// SPDX-License-Identifier: Zlib\n{code}"), (6, "c/empty.c", f"// SPDX-License-Identifier:\n{code}"),
+        (7, "c/two.c", f"// SPDX-License-Identifier: MIT OR Apache-2.0\n{code}"), (8, "c/said.c", f"{code}\nmit license identifier\n"),
+        (9, "d/tag.c", "SPDX-License-Identifier: MIT"), (10, "d/other.c", "w1 w2 mit"),
+        (11, "d/text.c", f"{license_scan.HEADERS['Apache-2.0']}\nSPDX-License-Identifier: MIT\n{code}"),
+        (12, "e/both.c", f"SPDX-License-Identifier: MPL-2.0\nReleased under the MIT License.\n{code}"),
+        *((20 + i, "f/x.c", "// SPDX-License-Identifier: Apache-2.0\n" + code) for i in range(12))]
+    files = spark.createDataFrame(rows, "file_id long, path string, text string")
+    got = {r.file_id: (r.licence, r.origin) for r in license_scan.scan(files).collect()}
+    stated = {1: "MIT", 2: "GPL-3.0", 3: "LGPL-2.1", 4: "CC-BY-SA-4.0", 9: "MIT", 11: "Apache-2.0", 12: "MIT",
+              **{20 + i: "Apache-2.0" for i in range(12)}}
+    assert got == {i: (stated[i], "statement") if i in stated else (None, None) for i, _, _ in rows}
+
+
+def test_licence_tags_equal_sql(spark, tmp_path):
+    lines = [*license_scan.TAGS, *license_scan.TEMPLATES.values(), "SPDX-License-Identifier: Zlib", "// SPDX-License-Identifier:\tMIT"]
+    rows = [(i, None if i % 50 == 49 else "\n".join(
+        [" ".join(f"w{(i * k + k * k) % 83}" for k in range(60)), *([lines[i % 41]] if i % 41 < len(lines) else []), "last words"]), f"s{i % 2}")
+        for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+        difference = oracle.compare(queries.op1_license_scan(spark, str(tmp_path)), con, queries.ORACLES["op1_license_scan"])
+    assert difference is None, difference
+
+
 # ---- sharding, mixing
 
 @pytest.mark.parametrize("limit", [300, 5_000, 10 ** 9])
