@@ -92,7 +92,8 @@ TEXTS = {path.stem: path.read_text() for path in sorted((Path(__file__).parent /
 
 
 def terms(text: Column) -> Column:
-    joined = F.regexp_replace(F.lower(text), TAG + r"[ \t(]+", TAG)
+    small = F.lower(text)
+    joined = F.when(F.contains(small, F.lit(TAG)), F.regexp_replace(small, TAG + r"[ \t(]+", TAG)).otherwise(small)
     trimmed = F.transform(words(joined), lambda w: F.btrim(w, F.lit(PUNCTUATION)))
     return F.filter(trimmed, lambda w: w != "")
 
