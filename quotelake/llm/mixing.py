@@ -6,9 +6,10 @@ sources' shares of the target, which makes the schedule of slots; the k-th slot
 takes its k-th block, starting again at the first block when the stream ends. A source's
 last slot is cut so that it gives exactly its target, rounded down.
 
-The sources are the list a mix is configured by and are handled by the driver; documents,
-blocks and slots are not. Sums over documents run within (source, part of the hashed order),
-so a hot source is spread. A null source is a source and the last one; null and empty texts
+Sources, documents, blocks and slots are tables; the driver sees sums only. Sums over documents
+run within (source, part of the hashed order), so a hot source is spread. Points find their source
+by the cells of the unit interval that its share covers; points are uniform, so cells are even
+however uneven the shares. A null source is a source and the last one; null and empty texts
 have size 0 and are never taken; repeated rows count each; an empty table gives no rows.
 Other columns are not read.
 """
@@ -17,11 +18,10 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quotelake.llm.common import GAP, WORD, attach, null_marked, prefix_sums, shuffle_key, stage_table, words
+from quotelake.llm.common import (BROADCAST_BYTES, WORD, attach, null_marked, prefix_sums, shuffle_key, stage_table,
+                                  table_bytes, words)
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5        # of all words
@@ -30,21 +30,28 @@ BLOCK_WORDS = 1024
 ROWS_PER_BUCKET = 5_000
 GOLDEN = (math.sqrt(5) - 1) / 2
 CHUNK = 1 << 16
-
-
-def fill(sizes: list[int], weights: list[int], share: float = SHARE, most: float = MOST) -> list[float]:
-    """Share the target by weight; what a source cannot take goes to the others by weight."""
-    total, targets, open_ = share * sum(sizes), [0.0] * len(sizes), set(range(len(sizes)))
-    while open_:
-        level = total / sum(weights[i] for i in open_)
-        full = {i for i in open_ if most * sizes[i] <= level * weights[i]}
-        for i in full or open_:
-            targets[i] = float(most * sizes[i]) if full else level * weights[i]
-        if not full:
+SOURCES_PER_RANGE = 4096
+
+
+def fill(sources: DataFrame, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """Add ``target`` to a staged table of ``source_size`` and ``weight``: shares of the whole by
+    weight; what a source cannot take goes to the others by weight.
+
+    Each round finds the words per weight at which the open sources take what the full ones
+    leave, which fills more sources; the driver sees two sums a round.
+    """
+    limit = F.lit(most) * F.col("source_size")
+    whole = share * (sources.agg(F.sum("source_size")).first()[0] or 0)
+    level, full, open_weight = 0.0, F.lit(False), math.inf
+    while True:
+        row = sources.agg(F.sum(F.when(full, limit)).alias("taken"), F.sum(F.when(~full, F.col("weight"))).alias("weight")).first()
+        if not row["weight"] or row["weight"] >= open_weight:
             break
-        total -= sum(targets[i] for i in full)
-        open_ -= full
-    return targets
+        open_weight = row["weight"]
+        level = (whole - (row["taken"] or 0)) / open_weight
+        full = limit <= F.lit(level) * F.col("weight")
+    target = F.when(full, limit.cast("double")).otherwise(F.lit(level) * F.col("weight"))
+    return sources.withColumn("target", F.round(target, 6))
 
 
 def golden_points(i: Column) -> Column:
@@ -70,12 +77,13 @@ def sized(docs: DataFrame, seed: str = "mix") -> DataFrame:
 
 def source_targets(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """One row per source in code point order: source_no, source, source_size, target."""
-    rows = documents.groupBy("source").agg(F.sum("size").alias("source_size")).collect()
-    rows.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
-    targets = fill([r["source_size"] for r in rows], [weights[i % len(weights)] for i in range(len(rows))])
-    return documents.sparkSession.createDataFrame(
-        [(i, r["source"], r["source_size"], round(t, 6)) for i, (r, t) in enumerate(zip(rows, targets))],
-        "source_no int, source string, source_size long, target double")
+    last = F.col("source").asc_nulls_last()
+    ranged = stage_table(
+        documents.groupBy("source").agg(F.sum("size").alias("source_size")).repartitionByRange(last)
+        .withColumns({"range": F.spark_partition_id(), "one": F.lit(1).cast("long")}), "source-ranges")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("source_no") % len(weights) + 1).cast("int"))
+    listed = prefix_sums(ranged, [], "range", [last], "one", "source_no").withColumn("weight", weight)
+    return fill(stage_table(listed, "weights")).select("source_no", "source", "source_size", "target")
 
 
 def streams(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -89,68 +97,117 @@ def streams(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage_table(placed.drop("part"), "streams"), sources
 
 
+def _piece(block: Column, block_words: int) -> dict[str, Column]:
+    """Where a document's part in a block lies, in the block and in the document."""
+    begin = F.greatest(F.col("start"), block * block_words)
+    end = F.least(F.col("start") + F.col("size"), (block + 1) * block_words)
+    return {"in_block": begin - block * block_words, "first_word": begin - F.col("start"), "n_words": end - begin}
+
+
+def _blocks_of(block_words: int) -> Column:
+    return F.sequence(F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words))
+
+
 def blocks(placed: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per piece of a document in a block: where in the block and in the document."""
-    first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
-    begin = F.greatest("start", F.col("block") * block_words)
-    end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
-    return (placed.filter("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
+    return (placed.filter("size > 0").withColumn("block", F.explode(_blocks_of(block_words)))
             .select("source_no", "block", "doc_id", "start",
-                    (begin - F.col("block") * block_words).alias("in_block"),
-                    (begin - F.col("start")).alias("first_word"), (end - begin).alias("n_words")))
+                    *(c.alias(n) for n, c in _piece(F.col("block"), block_words).items())))
+
+
+def text_blocks(placed: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """:func:`blocks` with the pieces' words, joined by spaces; ``placed`` has ``text``."""
+    def piece(of_text: Column, block: Column) -> Column:
+        at = _piece(block, block_words)
+        cut = F.slice(of_text, (at["first_word"] + 1).cast("int"), at["n_words"].cast("int"))
+        return F.struct(block.alias("block"), *(c.alias(n) for n, c in at.items()), F.array_join(cut, " ").alias("text"))
+
+    # The outer transform, over one element, is what splits a text once and not for each piece.
+    pieces = F.transform(F.array(words(F.col("text"))),
+                         lambda of_text: F.transform(_blocks_of(block_words), lambda block: piece(of_text, block)))
+    return placed.filter("size > 0").select("source_no", "doc_id", "start", F.inline(pieces[0]))
+
+
+def _drawn(plan: DataFrame, total: int) -> DataFrame:
+    """position and source_no of each of the first ``total`` points: the source whose share of
+    the slots, laid side by side, the point falls into."""
+    cells = 1024 + 4 * plan.count()
+
+    def cell(x: Column) -> Column:
+        return F.least(F.floor(x * cells), F.lit(cells - 1))
+
+    ends = plan.select("source_no", (F.col("before") / total).alias("low"),
+                       ((F.col("before") + F.col("slots")) / total).alias("high"))
+    shares = stage_table(ends.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high"))))), "shares")
+    if table_bytes(shares) <= BROADCAST_BYTES:
+        shares = F.broadcast(shares)
+    points = plan.sparkSession.range(total).select(F.col("id").alias("position"), golden_points(F.col("id")).alias("x"))
+    return (points.withColumn("cell", cell(F.col("x"))).join(shares, "cell")
+            .filter((F.col("x") >= F.col("low")) & (F.col("x") < F.col("high"))).select("position", "source_no"))
 
 
 def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per slot: position, source_no, epoch, block and how many of its words count."""
-    spark = sources.sparkSession
-    plan = {r["source_no"]: r.asDict() for r in sources.collect()}
-    for r in plan.values():
-        size, target = r["source_size"], int(r["target"])
-        r["blocks"] = -(-size // block_words)
-        r["rest"] = target - target // size * size if size else 0
-        r["slots"] = target // size * r["blocks"] + -(-r["rest"] // block_words) if size else 0
-    total = sum(r["slots"] for r in plan.values())
-    shares = np.cumsum([plan[i]["slots"] for i in sorted(plan)]) / max(total, 1)
-
-    @F.pandas_udf("int")
-    def source_at(points: pd.Series) -> pd.Series:
-        return pd.Series(np.minimum(np.searchsorted(shares, points, side="right"), len(shares) - 1).astype("int32"))
-
-    drawn = stage_table(
-        spark.range(total).select(F.col("id").alias("position"), source_at(golden_points(F.col("id"))).alias("source_no"),
-                                  F.floor(F.col("id") / CHUNK).alias("chunk"), F.lit(1).cast("long").alias("one")),
-        "points")
+    one, of_range = F.lit(1).cast("long"), F.floor(F.col("source_no") / SOURCES_PER_RANGE)
+    slots = F.expr(f"target_words div source_size * blocks + (rest + {block_words - 1}) div {block_words}")
+    sized_plan = (sources.withColumn("target_words", F.floor("target")).filter("target_words > 0")
+                  .select("source_no", of_range.alias("range"), "target_words", "source_size",
+                          F.expr(f"(source_size + {block_words - 1}) div {block_words}").alias("blocks"),
+                          (F.col("target_words") % F.col("source_size")).alias("rest"))
+                  .withColumn("slots", slots))
+    plan = stage_table(prefix_sums(stage_table(sized_plan, "plan"), [], "range", ["source_no"], "slots", "before"),
+                       "plan-slots")
+    total = plan.agg(F.sum("slots")).first()[0] or 0
+    drawn = stage_table(_drawn(plan, total).withColumns({"chunk": F.floor(F.col("position") / CHUNK), "one": one}), "points")
     ranked = prefix_sums(drawn, ["source_no"], "chunk", ["position"], "one", "rank").select(
         "position", "source_no", "rank")
-    counts = {r[0]: r[1] for r in drawn.groupBy("source_no").count().collect()}
     # The sequence is off a source's share by a few slots: those are added at the end.
-    late = [(total + i, i, counts.get(i, 0), r["slots"]) for i, r in plan.items() if counts.get(i, 0) < r["slots"]]
-    if late:
-        more = spark.createDataFrame(late, "position long, source_no int, first long, slots long")
-        ranked = ranked.unionByName(more.select(
-            "position", "source_no", F.explode(F.sequence(F.col("first"), F.col("slots") - 1)).alias("rank")))
-    numbers = stage_table(spark.createDataFrame(
-        [(i, r["slots"], r["blocks"], r["rest"], r["source_size"]) for i, r in plan.items()],
-        "source_no int, slots long, blocks long, rest long, source_size long"), "plan")
+    counts = stage_table(drawn.groupBy("source_no").agg(F.count("*").alias("drawn")), "drawn")
+    late = (attach(plan, counts, ["source_no"]).withColumn("first", F.coalesce("drawn", F.lit(0)))
+            .withColumn("missing", F.col("slots") - F.col("first")).filter("missing > 0"))
+    placed = prefix_sums(stage_table(late.select("source_no", "range", "first", "slots", "missing"), "late"),
+                         [], "range", ["source_no"], "missing", "place")
+    more = (placed.withColumn("rank", F.explode(F.sequence(F.col("first"), F.col("slots") - 1)))
+            .select((F.lit(total) + F.col("place") + F.col("rank") - F.col("first")).alias("position"), "source_no", "rank"))
     # Words that count in the last slot; all others count whole.
     cut = F.when((F.col("rank") == F.col("slots") - 1) & (F.col("rest") > 0),
                  F.col("rest") - F.col("block") * block_words).otherwise(F.lit(block_words))
-    return (attach(ranked, numbers, ["source_no"], "inner").filter(F.col("rank") < F.col("slots"))
+    numbers = plan.select("source_no", "slots", "blocks", "rest")
+    return (attach(ranked.unionByName(more), numbers, ["source_no"], "inner").filter(F.col("rank") < F.col("slots"))
             .withColumn("epoch", F.floor(F.col("rank") / F.col("blocks")))
             .withColumn("block", F.col("rank") % F.col("blocks"))
             .select("position", "source_no", "epoch", "block", cut.alias("cut")))
 
 
+def _fill_slots(pieces: DataFrame, sources: DataFrame, block_words: int) -> DataFrame:
+    """The pieces at each position of their block, with ``taken``, their words that count."""
+    slots = schedule(sources, block_words).withColumnsRenamed({"source_no": "slot_source", "block": "slot_block"})
+    taken = F.least(F.col("n_words"), F.col("cut") - F.col("in_block"))
+    on = (F.col("slot_source") == F.col("source_no")) & (F.col("slot_block") == F.col("block"))
+    return slots.join(pieces, on).withColumn("taken", taken).filter("taken > 0")
+
+
 def mix(placed: DataFrame, sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix, one row per slot and piece of a document: position, in_block (the order in
     the slot), source_no, doc_id, start, first_word and n_words."""
-    slots = schedule(sources, block_words).alias("s")
-    pieces = blocks(placed, block_words).alias("p")
-    joined = slots.join(pieces, (F.col("s.source_no") == F.col("p.source_no"))
-                        & (F.col("s.block") == F.col("p.block")))
-    taken = F.least(F.col("n_words"), F.col("cut") - F.col("in_block"))
-    return joined.select("position", "in_block", "s.source_no", "epoch", "doc_id", "start", "first_word",
-                         taken.alias("n_words")).filter("n_words > 0")
+    filled = _fill_slots(blocks(placed, block_words), sources, block_words)
+    return filled.select("position", "in_block", "source_no", "epoch", "doc_id", "start", "first_word",
+                         F.col("taken").alias("n_words"))
+
+
+def mixed_texts(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix to be read from start to end: :func:`mix` with ``source`` and ``text``, the words
+    of each piece joined by spaces, in ranges of position and sorted by position and in_block."""
+    placed, sources = streams(docs)
+    texts = docs.select("text", *(k.alias(f"__{n}") for k, n in zip(row_key(), ("a", "b")))).dropDuplicates(["__a", "__b"])
+    whole = placed.join(texts, (F.col("key_a") == F.col("__a")) & (F.col("key_b") == F.col("__b")))
+    filled = _fill_slots(text_blocks(whole, block_words), sources, block_words)
+    cut = F.array_join(F.slice(F.split("text", " "), 1, F.col("taken").cast("int")), " ")
+    text = F.when(F.col("taken") < F.col("n_words"), cut).otherwise(F.col("text"))
+    named = attach(filled, sources.select("source_no", "source"), ["source_no"], "inner")
+    return (named.select("position", "in_block", "source", "epoch", "doc_id", "first_word",
+                         F.col("taken").alias("n_words"), text.alias("text"))
+            .repartitionByRange("position").sortWithinPartitions("position", "in_block"))
 
 
 def taken_words(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from hypothesis import given, settings, strategies as st
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import oracle
@@ -399,11 +399,12 @@ def test_rows_that_no_bit_divides_are_marked(spark, odd, none, clashing):
     assert sharding.shard(none).collect() == []
 
 
-@settings(max_examples=100, deadline=None)
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(0, 1000), min_size=1, max_size=12))
-def test_targets_stop_at_twice_the_source(sizes):
+def test_targets_stop_at_twice_the_source(spark, sizes):
     weights = [mixing.WEIGHTS[i % 3] for i in range(len(sizes))]
-    targets = mixing.fill(sizes, weights)
+    table = spark.createDataFrame(list(enumerate(zip(sizes, weights))), "i int, of struct<source_size:long, weight:int>")
+    targets = [r.target for r in sorted(mixing.fill(table.select("i", "of.*")).collect())]
     assert sum(targets) == pytest.approx(1.5 * sum(sizes))
     assert all(0 <= t <= 2 * s + 1e-6 for t, s in zip(targets, sizes))
     level = max((t / w for t, s, w in zip(targets, sizes, weights) if t < 2 * s - 1e-6), default=None)
@@ -432,6 +433,47 @@ def test_the_mix_takes_its_targets_in_an_even_order(spark, block):
                 assert abs(sum(s == n for _, s in slots[k:k + 100]) - 100 * target / total) <= 8
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_many_sources_meet_their_targets(spark, monkeypatch, broadcast):
+    # One source with half of all words, thousands with one or a few; several ranges of sources.
+    if not broadcast:
+        monkeypatch.setattr(mixing, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(mixing, "SOURCES_PER_RANGE", 100)
+    rows = [(i, "w " * (1 + i % 5), f"s{i}") for i in range(700)] + [(1000 + i, "w " * 50, "hot") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    placed, sources = mixing.streams(docs)
+    listed = sources.orderBy("source_no").collect()
+    assert [(r.source_no, r.source) for r in listed] == list(enumerate(sorted({s for _, _, s in rows})))
+    pieces = mixing.mix(placed, sources, 4).collect()
+    taken = {r.source_no: 0 for r in listed}
+    for r in pieces:
+        taken[r.source_no] += r.n_words
+    assert taken == {r.source_no: int(r.target) for r in listed}
+    slots = {(r.position, r.source_no) for r in pieces}
+    assert len(slots) == len({p for p, _ in slots})  # one source a position
+
+
+def test_mixed_texts_are_the_words_of_their_pieces(spark, odd, none, clashing):
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(1 + i * 7 % 40)), f"s{i % 4}" if i % 9 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    words = {i: t.split() for i, t, _ in rows}
+    got = mixing.mixed_texts(docs, 16)
+    pieces = got.collect()
+    assert [(r.position, r.in_block) for r in pieces] == sorted((r.position, r.in_block) for r in pieces)
+    assert all(r.text.split(" ") == words[r.doc_id][r.first_word:r.first_word + r.n_words] for r in pieces)
+    assert all(r.source == rows[r.doc_id][2] for r in pieces)
+    taken = {}
+    for r in pieces:
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.n_words
+    assert taken == {r.doc_id: r.taken for r in mixing.taken_words(docs).collect() if r.taken}
+    for frame in (odd, clashing):
+        pieces = mixing.mixed_texts(frame).collect()
+        assert sum(r.n_words for r in pieces) == sum(r.taken for r in mixing.taken_words(frame).collect())
+        assert all(len(r.text.split(" ")) == r.n_words <= mixing.BLOCK_WORDS for r in pieces)
+    assert mixing.mixed_texts(none).collect() == []
+
+
 def test_mix_of_odd_rows(odd, none, clashing):
     for docs in (odd, clashing):
         rows = mixing.taken_words(docs).collect()
