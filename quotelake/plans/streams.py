@@ -32,6 +32,9 @@ AVAILABLE_NOW = {"availableNow": True}
 BATCH_BYTES = 256 * 2**30
 # A query's input is cut into at least four micro-batches.
 BATCH_SHARE = 2 * frames.ARRIVALS
+# Bytes of a row group in the deliveries: Spark's smallest split. A row group is read by one
+# task; with the writer's default of 128 MiB one task would parse most of a micro-batch.
+ROW_GROUP_BYTES = 4 * 2**20
 
 Start = Callable[[DataFrame], StreamingQuery]
 
@@ -40,7 +43,8 @@ def _topic(spark: SparkSession, sf: str, name: str, rows: DataFrame, time: str,
            late: bool = True) -> str:
     """A work folder whose ``topic`` has the rows' deliveries, a folder each."""
     folder = new_workdir(spark, name)
-    frames.arrivals(rows, time, number, late).write.partitionBy("arrival").parquet(f"{folder}/topic")
+    delivered = frames.arrivals(rows, time, number, late)
+    delivered.write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("arrival").parquet(f"{folder}/topic")
     return folder
 
 

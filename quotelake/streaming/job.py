@@ -56,7 +56,7 @@ def write_star(flagged: DataFrame, tables: Tables, query_id: str, batch_id: int,
             "topic", "partition", "offset")
         write_batch(bad, tables.quarantine, *batch)
         parts = daily_partials(facts, zero_as_null, F.max("load_time").alias("load_time"))
-        write_batch(parts, tables.daily_parts, *batch, DAILY_DAY)
+        write_batch(parts.hint("rebalance", DAILY_DAY) if backfill else parts, tables.daily_parts, *batch, DAILY_DAY)
         if days := written_dates(facts):
             refresh_daily(flagged.sparkSession, tables, days)
         if after_write:
@@ -74,8 +74,8 @@ def start_star_job(messages: DataFrame, tables: Tables, checkpoint: str,
     ``trigger`` holds the arguments of ``DataStreamWriter.trigger``. ``after_write`` gets
     the dimension changes and facts of each batch, for a further sink such as a database;
     what it writes is repeated when a batch is. ``backfill`` is for batches of many days:
-    facts are first gathered by date, with hot dates split, so that a batch of n tasks
-    and d days writes about d files and not n times d. A live batch has one or two days
+    facts and daily parts are first gathered by date, with hot dates split, so that a batch of
+    n tasks and d days writes about d files each and not n times d. A live batch has one or two days
     and needs no such shuffle. ``zero_as_null`` is that of ``daily_partials``; other
     options are those of ``flag_messages``.
     """

@@ -13,7 +13,7 @@ from plan import physical
 from quotelake.__main__ import arguments, start
 from quotelake.operators import cleaning, health, modelling, serving
 from quotelake.operators.ingest import parse_quotes
-from quotelake.plans import frames
+from quotelake.plans import frames, streams
 from quotelake.schema import TOPIC
 from quotelake.sources import files
 from quotelake.streaming import job, metrics, queries, tables
@@ -169,6 +169,32 @@ def test_backfill_gathers_dates_into_few_files(spark, topic, folder, expected):
     assert files_of("backfill", backfill=True) < files_of("live")
 
 
+def test_backfill_gathers_daily_parts_by_date(spark, messages, folder, expected):
+    star = tables.Tables(f"{folder}/star")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        job.write_star(job.flag_messages(messages), star, "q", 0, backfill=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    days = expected["fact"].select("event_date").distinct().count()
+    assert days > 1 and len(files_below(star.daily_parts)) == days
+    assert_tables(spark, star, expected)
+
+
+def test_several_tasks_read_a_file_of_a_delivery(spark):
+    text = F.concat(*(F.sha2((F.col("id") * 4 + n).cast("string"), 256) for n in range(4)))
+    made = spark.range(0, 200_000, 1, 1).select(
+        F.lit(None).cast("binary").alias("key"), text.cast("binary").alias("value"), F.lit("quotes").alias("topic"),
+        F.lit(0).alias("partition"), F.col("id").alias("offset"), F.timestamp_seconds("id").alias("timestamp"))
+    folder = streams._topic(spark, "", "deliveries", made, "timestamp", "offset", late=False)
+    for arrival in range(frames.ARRIVALS):
+        read = spark.read.schema(TOPIC).parquet(f"{folder}/topic/arrival={arrival}")
+        assert len(read.inputFiles()) == 1
+        assert read.select(F.spark_partition_id()).distinct().count() >= 3
+    every = spark.read.schema(TOPIC).parquet(f"{folder}/topic/arrival=*")
+    assert made.exceptAll(every).isEmpty() and every.count() == 200_000
+
+
 def test_a_lost_checkpoint_repeats_facts_and_rewrite_removes_them(spark, topic, folder, expected):
     star, fresh = tables.Tables(f"{folder}/star"), tables.Tables(f"{folder}/fresh")
     run_star(spark, topic, star, f"{folder}/first")
