@@ -46,9 +46,10 @@ def _split(cells: DataFrame, above: int, depth: int, limit: int) -> DataFrame:
     fits = sums.filter((F.col("shard_bytes") <= limit) | (last & (F.col("d") == BITS)))
     keyed = cells.select("cell").withColumn("d", F.explode(F.sequence(F.lit(above), F.lit(depth)))).withColumn(
         "p", F.call_function("shiftright", F.col("cell"), (F.lit(depth) - F.col("d")).cast("int")))
-    first = keyed.join(fits, ["d", "p"]).groupBy("cell").agg(
+    # Merge joins: Spark takes the exploded cells for no larger than the file of cells, and broadcasts them.
+    first = keyed.join(fits.hint("merge"), ["d", "p"]).groupBy("cell").agg(
         F.min(F.struct("d", "shard_bytes")).alias("shard"))
-    return cells.select("cell").join(first, "cell", "left").select(
+    return cells.select("cell").join(first.hint("merge"), "cell", "left").select(
         "cell", F.col("shard.d").alias("depth"), F.col("shard.shard_bytes").alias("shard_bytes"))
 
 
@@ -65,7 +66,8 @@ def directory(rows: DataFrame, limit: int = LIMIT_BYTES) -> list[tuple[int, Data
         too_large = level.filter("depth is null")
         if not too_large.count():
             return levels
-        open_rows = open_rows.join(too_large, prefix(depth) == F.col("cell"), "left_semi")
+        # Its rows lie in the open cells of all levels above.
+        open_rows = attach(rows.withColumn("cell", prefix(depth)), too_large.select("cell").hint("merge"), ["cell"], "left_semi")
         above, depth = depth + 1, min(BITS, depth + 8)
 
 
@@ -75,8 +77,9 @@ def shard(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     levels = directory(rows, limit)
     placed = rows.withColumn("depth", F.lit(None).cast("int")).withColumn("shard_bytes", F.lit(None).cast("long"))
     for bits, level in levels:
+        # The hint holds beyond the size for a broadcast: a small file has many rows of this table.
         found = attach(placed.withColumn("cell", prefix(bits)), level.select(
-            "cell", F.col("depth").alias("here"), F.col("shard_bytes").alias("here_bytes")), ["cell"])
+            "cell", F.col("depth").alias("here"), F.col("shard_bytes").alias("here_bytes")).hint("merge"), ["cell"])
         placed = found.select("doc_id", "bytes", "hash", F.coalesce("depth", "here").alias("depth"),
                               F.coalesce("shard_bytes", "here_bytes").alias("shard_bytes"))
     # A leading 1 keeps the zeros of the prefix.

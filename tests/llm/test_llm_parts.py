@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import oracle
 import public_tokenizers
+from plan import executed
 from quotelake.llm import (bagminhash, chat_windows, common, decontaminate, host_quality, license_scan, mixing, queries,
                            sharding, substring_dedup, token_files, url_reputation)
 
@@ -399,6 +400,21 @@ def test_rows_that_no_bit_divides_are_marked(spark, odd, none, clashing):
     assert sharding.shard(none).collect() == []
 
 
+def test_no_directory_is_broadcast_for_its_small_file(spark, monkeypatch):
+    rows = [(i, "x" * (17 * i % 101)) for i in range(500)] + [(1000 + i, "y" * 400) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    measured = sharding.shard(docs, 300)
+    assert "BroadcastHashJoin" in executed(measured)
+    plans, stage_table = [], sharding.stage_table
+    monkeypatch.setattr(sharding, "stage_table", lambda df, name: plans.append(executed(df)) or stage_table(df, name))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    merged = sharding.shard(docs, 300)
+    plans.append(executed(merged))
+    assert len(plans) > 5 and not any("Broadcast" in p for p in plans)
+    assert sorted(merged.collect()) == sorted(measured.collect())
+    assert {r.doc_id for r in merged.collect() if r.oversized} == set(range(1000, 1009))
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(0, 1000), min_size=1, max_size=12))
 def test_targets_stop_at_twice_the_source(spark, sizes):
